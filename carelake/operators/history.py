@@ -31,25 +31,28 @@ def attribute_hash(attrs: Sequence[str]) -> F.Column:
                                       for a in attrs]), 256)
 
 
-def scd2_history(df: DataFrame, key: Sequence[str], attrs: Sequence[str], ts: str) -> DataFrame:
+def scd2_history(df: DataFrame, key: Sequence[str], attrs: Sequence[str], order: str | Sequence[str],
+                 date_col: str | None = None) -> DataFrame:
     """Versions from a dated feed of snapshots.
 
     A new version starts whenever the attribute hash differs from the previous
     snapshot of the key (``lag``); its validity ends the day before the next
-    version starts (``lead``); the last version is current. Partitioned by key:
-    no global ordering.
+    version starts (``lead``); the last version is current. ``order`` gives a
+    total order of snapshots within a key, ``date_col`` the validity date.
+    Partitioned by key: no global ordering.
     """
-    w = Window.partitionBy(*key).orderBy(ts)
+    order = [order] if isinstance(order, str) else list(order)
+    date_col = date_col or order[0]
+    w = Window.partitionBy(*key).orderBy(*order)
     h = df.withColumn(HASH, attribute_hash(attrs))
     changes = (h.withColumn("__prev", F.lag(HASH).over(w))
                 .where(F.col("__prev").isNull() | (F.col("__prev") != F.col(HASH)))
                 .drop("__prev"))
-    w2 = Window.partitionBy(*key).orderBy(ts)
     return (changes
-            .withColumn(VERSION, F.row_number().over(w2))
-            .withColumn(FROM, F.col(ts).cast("date"))
-            .withColumn(TO, F.date_sub(F.lead(F.col(ts).cast("date")).over(w2), 1))
-            .withColumn(CURRENT, F.lead(F.col(ts)).over(w2).isNull()))
+            .withColumn(VERSION, F.row_number().over(w))
+            .withColumn(FROM, F.col(date_col).cast("date"))
+            .withColumn(TO, F.date_sub(F.lead(F.col(date_col).cast("date")).over(w), 1))
+            .withColumn(CURRENT, F.lead(F.lit(1)).over(w).isNull()))
 
 
 def scd2_merge(current: DataFrame, incoming: DataFrame, key: Sequence[str],

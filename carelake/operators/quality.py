@@ -1,6 +1,6 @@
 """Declarative data-quality checks (Q01-Q13).
 
-Every check returns a one-row DataFrame ``(check, table_name, column_name,
+Every check returns a one-row DataFrame ``(check_name, table_name, column_name,
 failures, passed)`` computed by an aggregate on the executors; ``run_checks``
 unions them into one result table. Nothing is collected unless the caller asks.
 """
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 def _result(failures: DataFrame, check: str, table: str, column: str | None) -> DataFrame:
     """``failures`` is a one-row frame with column ``failures``."""
     return failures.select(
-        F.lit(check).alias("check"), F.lit(table).alias("table_name"),
+        F.lit(check).alias("check_name"), F.lit(table).alias("table_name"),
         F.lit(column).cast("string").alias("column_name"),
         F.col("failures").cast("bigint").alias("failures"),
         (F.col("failures") == 0).alias("passed"))
@@ -38,7 +38,7 @@ def not_null(df: DataFrame, cols: Sequence[str], table: str = "") -> DataFrame:
     stacked = agg.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.coalesce(F.col(c), F.lit(0)).alias("failures"))
         for c in cols])).alias("r")).select("r.*")
-    return stacked.select(F.lit("not_null").alias("check"), F.lit(table).alias("table_name"),
+    return stacked.select(F.lit("not_null").alias("check_name"), F.lit(table).alias("table_name"),
                           "column_name", F.col("failures").cast("bigint").alias("failures"),
                           (F.col("failures") == 0).alias("passed"))
 
