@@ -114,12 +114,15 @@ def with_surrogate_key(df: DataFrame, name: str, order_cols: Sequence[str],
                        descending: Sequence[str] = (),
                        rows_per_range: int = 1_000_000, min_ranges: int | None = None,
                        max_ranges: int = 2048, oversample: int = 32,
-                       start: int = 1) -> DataFrame:
+                       single_range_max: int = 200_000, start: int = 1) -> DataFrame:
     """Dense ``bigint`` key ``start..start+N-1`` following ``order_cols``.
 
     Equivalent to ``row_number() over (order by order_cols, tie_breakers)``
     with ascending NULLS LAST ordering. ``tie_breakers`` defaults to every other
     column, which makes the numbering reproducible.
+
+    When the count proves the input has at most ``single_range_max`` rows, one
+    range holds everything (a bounded single-task sort) and no sample is taken.
     """
     spark = df.sparkSession
     tup, _ = _order_tuple(df, order_cols, tie_breakers, descending)
@@ -131,14 +134,17 @@ def with_surrogate_key(df: DataFrame, name: str, order_cols: Sequence[str],
         min_ranges = spark.sparkContext.defaultParallelism
     m = int(min(max_ranges, max(min_ranges, math.ceil(n / rows_per_range))))
     m = max(1, min(m, n))
+    if n <= single_range_max:
+        m = 1
     tup_schema = base.schema[_TUP].dataType
 
     bounds: list = []
     heavy: set[int] = set()
     if m > 1:
         fraction = min(1.0, oversample * m * 1.5 / n)
-        sample = [r[0] for r in base.select(_TUP).sample(False, fraction, seed=17)
-                  .orderBy(_TUP).collect()]
+        # a few thousand key tuples at most; sorted here (the encoded tuples order
+        # the same way in Python as in Spark: flags, numbers, UTF-8 text)
+        sample = sorted(r[0] for r in base.select(_TUP).sample(False, fraction, seed=17).collect())
         s = len(sample)
         if s:
             picks = [sample[min(s - 1, (j + 1) * s // m)] for j in range(m - 1)]

@@ -288,3 +288,21 @@ class BoundWarehouse:
                             "finess", "region", "annee_enquete", "score_global", "taux_recommandation",
                             "nombre_reponses"))
         return self._m("fait_satisfaction", build)
+
+    # --- materialisation ----------------------------------------------------------------
+
+    DWH_TABLES = ["dim_temps", "dim_patient", "dim_etablissement", "dim_diagnostic", "dim_specialite",
+                  "dim_professionnel", "dim_mutuelle", "dim_localisation", "fait_hospitalisation",
+                  "fait_consultation", "fait_deces", "fait_satisfaction"]
+
+    def materialize(self, root: str) -> dict[str, str]:
+        """Write every dimension and fact to ``<root>/dwh/<name>`` in dependency
+        order; later tables are built from the written ones (lineage cut at each
+        table, as the reference materialises each model)."""
+        from carelake.sources.io import read_layer, write_layer
+        paths = {}
+        for name in self.DWH_TABLES:
+            df = getattr(self, name)()
+            paths[name] = write_layer(df, root, "dwh", name)
+            self._memo[name] = read_layer(self.spark, root, "dwh", name)
+        return paths

@@ -3,7 +3,8 @@
 The multi-grain marts re-attach group totals to every detail row (J11). A
 window aggregate would need a ``count(distinct)`` inside a window, which Spark
 does not plan, so each grain is a ``groupBy`` whose result (one row per group)
-joins back on the group keys. Grains are computed from one persisted base.
+joins back on the group keys. Grains are computed from one base written once
+to the checkpoint folder.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carelake.operators.measures import avg_if, sum_if, weighted_mean
+from carelake.session import checkpoint_dir
 
 
 def _ts(as_of):
@@ -91,6 +93,14 @@ def dm_satisfaction_analysis(fs, d_etab, as_of, year: int = 2020) -> DataFrame:
                       _ts(as_of).alias("date_chargement"))
 
 
+def _pin(base: DataFrame) -> DataFrame:
+    """Write the shared base once to the cluster's checkpoint folder: every grain
+    and the final re-attachment read it instead of recomputing the star join,
+    and the lineage is cut so a lost executor does not replay the whole chain."""
+    checkpoint_dir(base.sparkSession)
+    return base.checkpoint(eager=True)
+
+
 def _attach(base: DataFrame, grain: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
     """Left join of group totals on the group keys, 0 when absent."""
     g = grain.select(*[F.col(k).alias(f"__g_{k}") for k in keys], *measures)
@@ -130,6 +140,7 @@ def dm_consultations_agregees(fc, d_temps, d_etab, d_diag, d_pro, d_spec, d_pati
                     "categorie_cim10", "sk_professionnel", "nom_professionnel", "prenom_professionnel",
                     "specialite", "fonction", "sexe", "tranche_age", "age", "sk_patient",
                     "nombre_consultations", "duree_consultation"))
+    base = _pin(base)
     n, dur = F.col("nombre_consultations"), F.col("duree_consultation")
     g_etab = base.groupBy("sk_temps", "sk_etablissement").agg(
         F.sum(n).alias("nb_consultations_etablissement"), F.sum(dur).alias("duree_totale_etablissement"),
@@ -174,6 +185,7 @@ def dm_hospitalisations_agregees(fh, d_temps, d_etab, d_diag, d_patient, as_of,
                     "sk_diagnostic", "code_diagnostic", "libelle_diagnostic", "chapitre_cim10",
                     "categorie_cim10", "sexe", "tranche_age", "age", "sk_patient",
                     "nombre_hospitalisations", "jour_hospitalisation"))
+    base = _pin(base)
     n, days = F.col("nombre_hospitalisations"), F.col("jour_hospitalisation")
 
     def measures(suffix):
