@@ -16,6 +16,7 @@ import os
 import sys
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -74,8 +75,10 @@ def main() -> None:
                 wh.fait_deces(), wh.fait_satisfaction(), wh.dim_temps(), wh.dim_localisation(), wh.dim_patient(),
                 wh.dim_etablissement(), AS_OF),
         }
-        for name, df in m.items():
-            write_layer(df, root, "datamart", name, partition_by=("annee",))
+        # the marts are independent: submit their writes as concurrent jobs
+        with ThreadPoolExecutor(max_workers=4) as pool:
+            list(pool.map(lambda kv: write_layer(kv[1], root, "datamart", kv[0], partition_by=("annee",)),
+                          m.items()))
         return {name: read_layer(spark, root, "datamart", name) for name in m}
 
     dm = timed("marts_build", build_marts)

@@ -291,18 +291,35 @@ class BoundWarehouse:
 
     # --- materialisation ----------------------------------------------------------------
 
-    DWH_TABLES = ["dim_temps", "dim_patient", "dim_etablissement", "dim_diagnostic", "dim_specialite",
-                  "dim_professionnel", "dim_mutuelle", "dim_localisation", "fait_hospitalisation",
-                  "fait_consultation", "fait_deces", "fait_satisfaction"]
-
-    def materialize(self, root: str) -> dict[str, str]:
-        """Write every dimension and fact to ``<root>/dwh/<name>`` in dependency
-        order; later tables are built from the written ones (lineage cut at each
-        table, as the reference materialises each model)."""
+    # tables in dependency levels: a level only reads tables of earlier levels
+    DWH_LEVELS = [
+        ["dim_temps", "dim_patient", "dim_etablissement", "dim_diagnostic", "dim_specialite", "dim_mutuelle",
+         "dim_localisation"],
+        ["dim_professionnel", "fait_hospitalisation", "fait_deces", "fait_satisfaction"],
+        ["fait_consultation"],
+    ]
+    DWH_TABLES = [t for level in DWH_LEVELS for t in level]
+
+    def materialize(self, root: str, parallel: int = 4) -> dict[str, str]:
+        """Write every dimension and fact to ``<root>/dwh/<name>``, level by level.
+
+        Later levels are built from the written tables (lineage cut at each table,
+        as the reference materialises each model). Tables of one level are
+        independent and are submitted as concurrent Spark jobs.
+        """
+        from concurrent.futures import ThreadPoolExecutor
+
         from carelake.sources.io import read_layer, write_layer
         paths = {}
-        for name in self.DWH_TABLES:
+
+        def build(name):
             df = getattr(self, name)()
-            paths[name] = write_layer(df, root, "dwh", name)
-            self._memo[name] = read_layer(self.spark, root, "dwh", name)
+            return name, write_layer(df, root, "dwh", name)
+
+        for level in self.DWH_LEVELS:
+            with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+                for name, path in pool.map(build, level):
+                    paths[name] = path
+            for name in level:
+                self._memo[name] = read_layer(self.spark, root, "dwh", name)
         return paths

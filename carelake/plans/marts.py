@@ -109,14 +109,14 @@ def _attach(base: DataFrame, grain: DataFrame, keys: list[str], measures: list[s
     return j.withColumns({m: F.coalesce(F.col(m), F.lit(0)) for m in measures})
 
 
-def dm_consultations_agregees(fc, d_temps, d_etab, d_diag, d_pro, d_spec, d_patient, as_of,
-                              profile_by_age: bool = True) -> DataFrame:
+def dm_consultations_agregees(fc, d_temps, d_etab, d_diag, d_pro, d_spec, d_patient, as_of) -> DataFrame:
     """Consultation detail + establishment, diagnosis, professional and
     patient-profile totals for the same day (A11, J11).
 
-    ``profile_by_age`` reproduces the reference's profile grain, which groups by
-    age too but re-attaches on sex and band only (one detail row per distinct age
-    of its profile, T17c).
+    The profile grain is (day, sex, age band, age) and is re-attached on all four
+    keys. The reference re-attaches it on sex and band only, which repeats every
+    detail row once per distinct age of its group (T17c); that pairing is not
+    reproduced: each detail row carries the totals of its own profile.
     """
     t = F.broadcast(d_temps.select("sk_temps", "date_complete", "annee", "trimestre", "mois"))
     e = d_etab.select("sk_etablissement", "nom_etablissement",
@@ -151,7 +151,7 @@ def dm_consultations_agregees(fc, d_temps, d_etab, d_diag, d_pro, d_spec, d_pati
     g_pro = base.groupBy("sk_temps", "sk_professionnel").agg(
         F.sum(n).alias("nb_consultations_professionnel"), F.sum(dur).alias("duree_totale_professionnel"),
         F.count_distinct("sk_patient").alias("nb_patients_uniques_professionnel"))
-    prof_keys = ["sk_temps", "sexe", "tranche_age"] + (["age"] if profile_by_age else [])
+    prof_keys = ["sk_temps", "sexe", "tranche_age", "age"]
     g_prof = (base.where((F.col("sexe") != "I") & (F.col("tranche_age") != "Non renseigne"))
               .groupBy(*prof_keys).agg(
                   F.sum(n).alias("nb_consultations_profil"), F.sum(dur).alias("duree_totale_profil"),
@@ -164,14 +164,16 @@ def dm_consultations_agregees(fc, d_temps, d_etab, d_diag, d_pro, d_spec, d_pati
     out = _attach(out, g_pro, ["sk_temps", "sk_professionnel"],
                   ["nb_consultations_professionnel", "duree_totale_professionnel",
                    "nb_patients_uniques_professionnel"])
-    out = _attach(out, g_prof.drop("age") if profile_by_age else g_prof, ["sk_temps", "sexe", "tranche_age"],
+    out = _attach(out, g_prof, prof_keys,
                   ["nb_consultations_profil", "duree_totale_profil", "nb_patients_uniques_profil"])
     return out.drop("sk_patient").withColumn("date_chargement", _ts(as_of))
 
 
-def dm_hospitalisations_agregees(fh, d_temps, d_etab, d_diag, d_patient, as_of,
-                                 profile_by_age: bool = True) -> DataFrame:
-    """Stay detail + establishment, diagnosis, profile and region totals."""
+def dm_hospitalisations_agregees(fh, d_temps, d_etab, d_diag, d_patient, as_of) -> DataFrame:
+    """Stay detail + establishment, diagnosis, profile and region totals.
+
+    Profile totals are re-attached on (day, sex, band, age), see M45 (T17c).
+    """
     t = F.broadcast(d_temps.select("sk_temps", "date_complete", "annee", "trimestre", "mois"))
     e = d_etab.select("sk_etablissement", "nom_etablissement", F.col("region").alias("region_etablissement"),
                       F.col("departement").alias("departement_etablissement"))
@@ -199,7 +201,7 @@ def dm_hospitalisations_agregees(fh, d_temps, d_etab, d_diag, d_patient, as_of,
 
     g_etab = base.groupBy("sk_temps", "sk_etablissement").agg(*measures("etablissement"))
     g_diag = base.groupBy("sk_temps", "sk_etablissement", "sk_diagnostic").agg(*measures("diagnostic"))
-    prof_keys = ["sk_temps", "sexe", "tranche_age"] + (["age"] if profile_by_age else [])
+    prof_keys = ["sk_temps", "sexe", "tranche_age", "age"]
     g_prof = (base.where((F.col("sexe") != "I") & (F.col("tranche_age") != "Non renseigne"))
               .groupBy(*prof_keys).agg(*measures("profil")))
     g_reg = (base.where(F.col("region_etablissement").isNotNull()
@@ -207,7 +209,7 @@ def dm_hospitalisations_agregees(fh, d_temps, d_etab, d_diag, d_patient, as_of,
              .groupBy("sk_temps", "region_etablissement").agg(*measures("region")))
     out = _attach(base, g_etab, ["sk_temps", "sk_etablissement"], names("etablissement"))
     out = _attach(out, g_diag, ["sk_temps", "sk_etablissement", "sk_diagnostic"], names("diagnostic"))
-    out = _attach(out, g_prof.drop("age") if profile_by_age else g_prof, ["sk_temps", "sexe", "tranche_age"],
+    out = _attach(out, g_prof, prof_keys,
                   names("profil"))
     out = _attach(out, g_reg, ["sk_temps", "region_etablissement"], names("region"))
     return out.drop("sk_patient").withColumn("date_chargement", _ts(as_of))

@@ -457,7 +457,8 @@ cbase AS (
             ("etablissement", ["sk_temps", "sk_etablissement"], None, False),
             ("diagnostic", ["sk_temps", "sk_etablissement", "sk_diagnostic"], None, False),
             ("professionnel", ["sk_temps", "sk_professionnel"], None, False),
-            ("profil", ["sk_temps", "sexe", "tranche_age"], "sexe != 'I' AND tranche_age != 'Non renseigne'", False)]
+            ("profil", ["sk_temps", "sexe", "tranche_age", "age"], "sexe != 'I' AND tranche_age != 'Non renseigne'",
+             False)]
         out_cols = ("sk_temps, date_complete, annee, trimestre, mois, sk_etablissement, nom_etablissement, "
                     "region_etablissement, departement_etablissement, sk_diagnostic, code_diagnostic, "
                     "libelle_diagnostic, chapitre_cim10, categorie_cim10, sk_professionnel, nom_professionnel, "
@@ -478,7 +479,8 @@ hbase AS (
         noun, grains = "hospitalisations", [
             ("etablissement", ["sk_temps", "sk_etablissement"], None, True),
             ("diagnostic", ["sk_temps", "sk_etablissement", "sk_diagnostic"], None, True),
-            ("profil", ["sk_temps", "sexe", "tranche_age"], "sexe != 'I' AND tranche_age != 'Non renseigne'", True),
+            ("profil", ["sk_temps", "sexe", "tranche_age", "age"], "sexe != 'I' AND tranche_age != 'Non renseigne'",
+             True),
             ("region", ["sk_temps", "region_etablissement"],
              "region_etablissement IS NOT NULL AND region_etablissement != 'Non renseigne'", True)]
         out_cols = ("sk_temps, date_complete, annee, trimestre, mois, sk_etablissement, nom_etablissement, "
@@ -488,7 +490,7 @@ hbase AS (
         bname = "hbase"
     ctes, joins, sel = [base], [], []
     for g, keys, where, with_avg in grains:
-        group_keys = keys + (["age"] if g == "profil" else [])
+        group_keys = keys
         meas = [f"CAST(sum(n) AS BIGINT) AS nb_{noun}_{g}", f"CAST(sum(dur) AS BIGINT) AS duree_totale_{g}",
                 f"count(DISTINCT sk_patient) AS nb_patients_uniques_{g}"]
         if with_avg:
