@@ -110,7 +110,7 @@ def test_quality_alert_and_union(wh):
     u = wh["ods_satisfaction_unifie"]
     assert u.count() == 5
     ca = u.where("type_enquete = 'E-SATIS CA MCO'").first()
-    assert ca.score_pec_2 is None and ca.score_chambre is None and ca.score_extra_1 == 73.0
+    assert ca.score_pec_2 is None and ca.score_chambre is None and ca.score_extra_1 == 72.0
     assert u.where("annee_enquete = 2017").first().taux_recommandation is None
 
 
