@@ -421,6 +421,16 @@ def kpi11_q(spark, sf_dir):
     return kpi.kpi11(wh.fait_satisfaction(), wh.dim_temps())
 
 
+def kpi12_q(spark, sf_dir):
+    """Ranking over the pre-aggregated consultation mart, above a threshold."""
+    return kpi.kpi12(grains_consultation(spark, sf_dir), year=1998, threshold=1, n=20)
+
+
+def kpi13_q(spark, sf_dir):
+    """Top specialties of one region over the pre-aggregated consultation mart."""
+    return kpi.kpi13(grains_consultation(spark, sf_dir), year=1998, region="EUROPE", n=10)
+
+
 # --- windows and aggregates -------------------------------------------------------------------------
 
 def share_of_total(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -542,6 +552,16 @@ def dq_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile({n: table(spark, sf_dir, n) for n in names}, names)
 
 
+def dq_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A published-table contract checked on the customer table."""
+    from carelake.operators.contract import conform, contract_violations
+    spec = [("c_custkey", "bigint", None), ("c_name", "string", 18), ("c_mktsegment", "string", 9),
+            ("c_phone", "string", 15)]
+    c = table(spark, sf_dir, "customer")
+    conform(c, spec[:3])  # raises if a contract column is missing or does not cast
+    return contract_violations(c, spec, "customer")
+
+
 def dq_current_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q09: one current version per key after the SCD-2 merge."""
     return quality.one_current(scd2_merge(spark, sf_dir), ["c_custkey"], table="dim_client")
@@ -603,6 +623,8 @@ QUERIES = {
     "kpi9": kpi9_q,
     "kpi10": kpi10_q,
     "kpi11": kpi11_q,
+    "kpi12": kpi12_q,
+    "kpi13": kpi13_q,
     "share_of_total": share_of_total,
     "rank_region": rank_region,
     "moving_avg": moving_avg,
@@ -617,5 +639,6 @@ QUERIES = {
     "dq_range": dq_range,
     "dq_profile": dq_profile,
     "dq_current_version": dq_current_version,
+    "dq_contract": dq_contract,
     "csv_roundtrip": csv_roundtrip,
 }

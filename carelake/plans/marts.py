@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from carelake.operators.joins import attach_totals
 from carelake.operators.measures import avg_if, sum_if, weighted_mean
 from carelake.session import checkpoint_dir
 
@@ -101,14 +102,6 @@ def _pin(base: DataFrame) -> DataFrame:
     return base.checkpoint(eager=True)
 
 
-def _attach(base: DataFrame, grain: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
-    """Left join of group totals on the group keys, 0 when absent."""
-    g = grain.select(*[F.col(k).alias(f"__g_{k}") for k in keys], *measures)
-    cond = [base[k] == g[f"__g_{k}"] for k in keys]
-    j = base.join(g, cond, "left").drop(*[f"__g_{k}" for k in keys])
-    return j.withColumns({m: F.coalesce(F.col(m), F.lit(0)) for m in measures})
-
-
 def dm_consultations_agregees(fc, d_temps, d_etab, d_diag, d_pro, d_spec, d_patient, as_of) -> DataFrame:
     """Consultation detail + establishment, diagnosis, professional and
     patient-profile totals for the same day (A11, J11).
@@ -156,15 +149,15 @@ def dm_consultations_agregees(fc, d_temps, d_etab, d_diag, d_pro, d_spec, d_pati
               .groupBy(*prof_keys).agg(
                   F.sum(n).alias("nb_consultations_profil"), F.sum(dur).alias("duree_totale_profil"),
                   F.count_distinct("sk_patient").alias("nb_patients_uniques_profil")))
-    out = _attach(base, g_etab, ["sk_temps", "sk_etablissement"],
+    out = attach_totals(base, g_etab, ["sk_temps", "sk_etablissement"],
                   ["nb_consultations_etablissement", "duree_totale_etablissement",
                    "nb_patients_uniques_etablissement"])
-    out = _attach(out, g_diag, ["sk_temps", "sk_etablissement", "sk_diagnostic"],
+    out = attach_totals(out, g_diag, ["sk_temps", "sk_etablissement", "sk_diagnostic"],
                   ["nb_consultations_diagnostic", "duree_totale_diagnostic", "nb_patients_uniques_diagnostic"])
-    out = _attach(out, g_pro, ["sk_temps", "sk_professionnel"],
+    out = attach_totals(out, g_pro, ["sk_temps", "sk_professionnel"],
                   ["nb_consultations_professionnel", "duree_totale_professionnel",
                    "nb_patients_uniques_professionnel"])
-    out = _attach(out, g_prof, prof_keys,
+    out = attach_totals(out, g_prof, prof_keys,
                   ["nb_consultations_profil", "duree_totale_profil", "nb_patients_uniques_profil"])
     return out.drop("sk_patient").withColumn("date_chargement", _ts(as_of))
 
@@ -207,11 +200,11 @@ def dm_hospitalisations_agregees(fh, d_temps, d_etab, d_diag, d_patient, as_of)
     g_reg = (base.where(F.col("region_etablissement").isNotNull()
                         & (F.col("region_etablissement") != "Non renseigne"))
              .groupBy("sk_temps", "region_etablissement").agg(*measures("region")))
-    out = _attach(base, g_etab, ["sk_temps", "sk_etablissement"], names("etablissement"))
-    out = _attach(out, g_diag, ["sk_temps", "sk_etablissement", "sk_diagnostic"], names("diagnostic"))
-    out = _attach(out, g_prof, prof_keys,
+    out = attach_totals(base, g_etab, ["sk_temps", "sk_etablissement"], names("etablissement"))
+    out = attach_totals(out, g_diag, ["sk_temps", "sk_etablissement", "sk_diagnostic"], names("diagnostic"))
+    out = attach_totals(out, g_prof, prof_keys,
                   names("profil"))
-    out = _attach(out, g_reg, ["sk_temps", "region_etablissement"], names("region"))
+    out = attach_totals(out, g_reg, ["sk_temps", "region_etablissement"], names("region"))
     return out.drop("sk_patient").withColumn("date_chargement", _ts(as_of))
 
 

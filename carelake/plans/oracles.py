@@ -658,6 +658,21 @@ SELECT t.annee AS year, t.trimestre AS quarter, avg(fs.score_global) AS avg_sati
 FROM fait_satisfaction fs JOIN dim_temps t ON CAST(fs.annee_enquete * 10000 + 101 AS BIGINT) = t.sk_temps
 GROUP BY t.annee, t.trimestre ORDER BY 1, 2""")
 
+KPI12 = f"""
+SELECT * FROM (
+  SELECT DISTINCT region_etablissement, specialite, nb_consultations_professionnel,
+         duree_totale_professionnel / nb_consultations_professionnel AS duree_moyenne_professionnel,
+         nb_patients_uniques_professionnel, sk_professionnel, sk_temps
+  FROM ({GRAINS_CONSULTATION}) g
+  WHERE annee = 1998 AND nb_consultations_professionnel > 1)
+ORDER BY nb_consultations_professionnel DESC, sk_professionnel, sk_temps LIMIT 20"""
+
+KPI13 = f"""
+SELECT specialite, CAST(sum(nb_consultations_professionnel) AS BIGINT) AS total
+FROM ({GRAINS_CONSULTATION}) g
+WHERE annee = 1998 AND region_etablissement = 'EUROPE'
+GROUP BY specialite ORDER BY total DESC, specialite NULLS LAST LIMIT 10"""
+
 SHARE_OF_TOTAL = with_wh("""
 SELECT region_etablissement, CAST(sum(nombre_hospitalisations) AS BIGINT) AS total_hospitalisations,
        CAST(sum(nombre_hospitalisations) AS DOUBLE) * 100.0
@@ -771,6 +786,14 @@ DQ_PROFILE = " UNION ALL ".join(
     f"SELECT {q(t)} AS table_name, count(*) AS nb_lignes, count(DISTINCT {c}) AS nb_ids_distincts FROM {t}"
     for t, c in _PROFILE.items())
 
+DQ_CONTRACT = """
+SELECT 'customer' AS table_name, 'c_name' AS column_name,
+       CAST(coalesce(sum(CASE WHEN length(c_name) > 18 THEN 1 ELSE 0 END), 0) AS BIGINT) AS failures FROM customer
+UNION ALL
+SELECT 'customer', 'c_mktsegment',
+       CAST(coalesce(sum(CASE WHEN length(c_mktsegment) > 9 THEN 1 ELSE 0 END), 0) AS BIGINT) FROM customer
+UNION ALL SELECT 'customer', 'c_phone', CAST(-1 AS BIGINT)"""
+
 DQ_CURRENT_VERSION = "WITH m AS (" + SCD2_MERGE + ")\n" + _check(
     "one_current_version", "dim_client", "c_custkey",
     "(SELECT count(*) FROM (SELECT c_custkey FROM m WHERE est_actuel GROUP BY 1 HAVING count(*) > 1))")
@@ -823,6 +846,8 @@ ORACLES = {
     "kpi9": KPI9,
     "kpi10": KPI10,
     "kpi11": KPI11,
+    "kpi12": KPI12,
+    "kpi13": KPI13,
     "share_of_total": SHARE_OF_TOTAL,
     "rank_region": RANK_REGION,
     "moving_avg": MOVING_AVG,
@@ -837,6 +862,7 @@ ORACLES = {
     "dq_range": DQ_RANGE,
     "dq_profile": DQ_PROFILE,
     "dq_current_version": DQ_CURRENT_VERSION,
+    "dq_contract": DQ_CONTRACT,
     "csv_roundtrip": CSV_ROUNDTRIP,
 }
 
@@ -858,6 +884,7 @@ DOUBLE_COLUMNS: dict[str, list[str]] = {
     'kpi9': ['avg_duration'],
     'kpi10': ['avg_los', 'satisfaction_score'],
     'kpi11': ['avg_satisfaction'],
+    'kpi12': ['duree_moyenne_professionnel'],
     'share_of_total': ['pourcentage_total'],
     'moving_avg': ['moyenne_mobile'],
     'median_stay': ['duree_mediane', 'duree_avg', 'taux_occupation', 'pct_longs'],
