@@ -159,7 +159,13 @@ def with_surrogate_key(df: DataFrame, name: str, order_cols: Sequence[str],
                 if counts.get(b, 0) >= threshold:
                     heavy.add(2 * j + 1)
 
-    slot = _slot_expr(F.col(_TUP), bounds, tup_schema) if bounds else F.lit(0)
+    if not bounds:
+        # one range (the count proved the input small): no offsets to add
+        w1 = Window.orderBy(_TUP)
+        return (base.withColumn(name, (F.row_number().over(w1) + F.lit(start - 1)).cast("bigint"))
+                .drop(_TUP))
+
+    slot = _slot_expr(F.col(_TUP), bounds, tup_schema)
     keyed = base.withColumn(_SLOT, slot)
     if heavy:
         salts = int(min(256, max(2, math.ceil(n * 1.0 / m / max(1, rows_per_range) * 4))))
