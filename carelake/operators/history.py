@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 FROM, TO, CURRENT, HASH, VERSION = ("date_debut_validite", "date_fin_validite", "est_actuel",
@@ -32,27 +32,27 @@ def attribute_hash(attrs: Sequence[str]) -> F.Column:
 
 
 def scd2_history(df: DataFrame, key: Sequence[str], attrs: Sequence[str], order: str | Sequence[str],
-                 date_col: str | None = None) -> DataFrame:
+                 date_col: str | None = None, **frame_kw) -> DataFrame:
     """Versions from a dated feed of snapshots.
 
     A new version starts whenever the attribute hash differs from the previous
     snapshot of the key (``lag``); its validity ends the day before the next
     version starts (``lead``); the last version is current. ``order`` gives a
     total order of snapshots within a key, ``date_col`` the validity date.
-    Partitioned by key: no global ordering.
+    Both passes use bounded frames (one row back, one row ahead) evaluated over
+    chunks of a global sequence, so a key with a huge history is not one task.
     """
+    from carelake.operators.measures import framed
     order = [order] if isinstance(order, str) else list(order)
     date_col = date_col or order[0]
-    w = Window.partitionBy(*key).orderBy(*order)
     h = df.withColumn(HASH, attribute_hash(attrs))
-    changes = (h.withColumn("__prev", F.lag(HASH).over(w))
-                .where(F.col("__prev").isNull() | (F.col("__prev") != F.col(HASH)))
-                .drop("__prev"))
-    return (changes
-            .withColumn(VERSION, F.row_number().over(w))
-            .withColumn(FROM, F.col(date_col).cast("date"))
-            .withColumn(TO, F.date_sub(F.lead(F.col(date_col).cast("date")).over(w), 1))
-            .withColumn(CURRENT, F.lead(F.lit(1)).over(w).isNull()))
+    h = framed(h, key, order, {"__prev": lambda w: F.lag(HASH).over(w)}, before=1, **frame_kw)
+    changes = h.where(F.col("__prev").isNull() | (F.col("__prev") != F.col(HASH))).drop("__prev")
+    nxt = {"__next": lambda w: F.lead(F.col(date_col).cast("date")).over(w),
+           CURRENT: lambda w: F.lead(F.lit(1)).over(w).isNull()}
+    v = framed(changes, key, order, nxt, after=1, position=VERSION, **frame_kw)
+    return (v.withColumn(FROM, F.col(date_col).cast("date"))
+            .withColumn(TO, F.date_sub(F.col("__next"), 1)).drop("__next"))
 
 
 def scd2_merge(current: DataFrame, incoming: DataFrame, key: Sequence[str],

@@ -114,7 +114,7 @@ def with_surrogate_key(df: DataFrame, name: str, order_cols: Sequence[str],
                        descending: Sequence[str] = (),
                        rows_per_range: int = 1_000_000, min_ranges: int | None = None,
                        max_ranges: int = 2048, oversample: int = 32,
-                       single_range_max: int = 200_000, start: int = 1) -> DataFrame:
+                       single_range_max: int = 200_000, start: int = 1, n: int | None = None) -> DataFrame:
     """Dense ``bigint`` key ``start..start+N-1`` following ``order_cols``.
 
     Equivalent to ``row_number() over (order by order_cols, tie_breakers)``
@@ -127,7 +127,7 @@ def with_surrogate_key(df: DataFrame, name: str, order_cols: Sequence[str],
     spark = df.sparkSession
     tup, _ = _order_tuple(df, order_cols, tie_breakers, descending)
     base = df.withColumn(_TUP, tup)
-    n = df.count()
+    n = df.count() if n is None else n
     if n == 0:
         return df.withColumn(name, F.lit(None).cast("bigint"))
     if min_ranges is None:

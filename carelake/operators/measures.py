@@ -9,11 +9,13 @@ groups (sexes x age bands, regions), never to detail rows.
 
 from __future__ import annotations
 
-from typing import Mapping, Sequence
+from typing import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from carelake.operators.keys import with_surrogate_key
+
 ColumnOrName = Column | str
 
 
@@ -178,3 +180,65 @@ def top_n(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
     only n rows per partition reach the final merge.
     """
     return df.orderBy(*order).limit(n)
+
+
+# --- W06-W09 without hot keys: bounded frames over chunks of a global sequence ----------
+
+SEQ = "__seq"
+
+
+def framed(df: DataFrame, key: Sequence[str], order: Sequence[str],
+           exprs: Mapping[str, Callable[[WindowSpec], Column]], before: int = 0, after: int = 0,
+           chunk: int = 100_000, small: int = 200_000, keep_seq: bool = False,
+           position: str | None = None) -> DataFrame:
+    """Evaluate window expressions whose frame spans at most ``before`` rows back and
+    ``after`` rows ahead within each key, without sending a key's rows to one task.
+
+    Rows are numbered densely over (key, order, other columns) with the balanced
+    surrogate-key operator (D01), so each key's rows are consecutive numbers. The
+    numbers are cut into chunks of ``chunk``; every chunk also receives, as context,
+    the last ``before`` rows of the previous chunk and the first ``after`` rows of
+    the next. The window then runs per (chunk, key), so a key holding a third of
+    the data is spread over many tasks, each with at most chunk + before + after
+    rows; results are exact (the frame never needs rows beyond the context).
+
+    ``exprs`` maps output names to functions of the window spec (ordered by the
+    sequence), e.g. ``{"prev": lambda w: F.lag("x").over(w)}``; ``order`` must be a
+    total order within a key. ``position`` names an optional 1-based position of
+    the row within its key (the first number of the key is found by a per-key
+    ``min``, one row per key, re-attached on the key). Inputs proven by their
+    count to hold at most ``small`` rows use the plain per-key window.
+    """
+    n = df.count()
+    if n <= small:
+        w = Window.partitionBy(*key).orderBy(*order)
+        cols = [fn(w).alias(name) for name, fn in exprs.items()]
+        if position:
+            cols.append(F.row_number().over(w).alias(position))
+        return df.select("*", *cols)
+    seq = with_surrogate_key(df, SEQ, list(key) + list(order), n=n)
+    pos = F.pmod(F.col(SEQ) - 1, F.lit(chunk))
+    ch = ((F.col(SEQ) - 1) / F.lit(chunk)).cast("long")
+    parts = [seq.withColumns({"__chunk": ch, "__own": F.lit(True)})]
+    if before:
+        parts.append(seq.where(pos >= chunk - before).withColumns({"__chunk": ch + 1, "__own": F.lit(False)}))
+    if after:
+        parts.append(seq.where(pos < after).withColumns({"__chunk": ch - 1, "__own": F.lit(False)}))
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+    w = Window.partitionBy("__chunk", *key).orderBy(SEQ)
+    out = rows.select("*", *[fn(w).alias(name) for name, fn in exprs.items()]).where(F.col("__own"))
+    out = out.drop("__chunk", "__own")
+    if position:
+        first = out.groupBy(*key).agg(F.min(SEQ).alias("__first"))
+        out = (out.join(first, [out[k].eqNullSafe(first[k]) for k in key], "inner")
+               .drop(*[first[k] for k in key])
+               .withColumn(position, (F.col(SEQ) - F.col("__first") + 1).cast("int")).drop("__first"))
+    return out if keep_seq else out.drop(SEQ)
+
+
+def moving_avg_frame(df: DataFrame, c: str, key: Sequence[str], order: Sequence[str], n: int = 10,
+                     name: str = "moyenne_mobile", **kw) -> DataFrame:
+    """W09 at scale: mean of the current and ``n`` preceding rows of the same key."""
+    return framed(df, key, order, {name: lambda w: F.avg(c).over(w.rowsBetween(-n, 0))}, before=n, **kw)

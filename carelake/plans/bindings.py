@@ -449,10 +449,9 @@ def rank_region(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def moving_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per customer, mean order value over the current and 10 preceding orders."""
-    o = table(spark, sf_dir, "orders")
-    return o.select("o_orderkey", "o_custkey",
-                    measures.moving_avg("o_totalprice", ["o_custkey"], ["o_orderdate", "o_orderkey"], 10)
-                    .alias("moyenne_mobile"))
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    return measures.moving_avg_frame(o, "o_totalprice", ["o_custkey"], ["o_orderdate", "o_orderkey"], 10) \
+        .select("o_orderkey", "o_custkey", "moyenne_mobile")
 
 
 def median_stay(spark: SparkSession, sf_dir: str) -> DataFrame:

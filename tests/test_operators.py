@@ -189,3 +189,16 @@ def test_quality_checks(spark):
     assert got == [("unique", "k", 1), ("not_null", "v", 1), ("not_null", "q", 1), ("accepted_values", "v", 1),
                    ("relationship", "k", 1), ("accepted_range", "q", 1), ("min_rows", None, 2),
                    ("holds:q_gt_1", None, 0), ("max_length", "v", 2)]
+
+
+def test_framed_windows_split_hot_keys_exactly(spark):
+    rows = [(7 if i % 3 == 0 else i % 50, i, float(i % 17)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k int, t int, v double")
+    exprs = {"ma": lambda w: F.avg("v").over(w.rowsBetween(-4, 0)), "prev": lambda w: F.lag("v").over(w),
+             "nxt": lambda w: F.lead("t").over(w)}
+    chunked = measures.framed(df, ["k"], ["t"], exprs, before=4, after=1, chunk=97, small=0, position="pos")
+    plain = measures.framed(df, ["k"], ["t"], exprs, before=4, after=1, small=10 ** 9, position="pos")
+    cols = ["k", "t", "ma", "prev", "nxt", "pos"]
+    assert chunked.count() == 3000
+    assert chunked.select(cols).exceptAll(plain.select(cols)).count() == 0
+    assert chunked.where("k = 7").agg(F.max("pos")).first()[0] == 1040  # the hot key: 1000 + 40 rows
