@@ -220,6 +220,8 @@ INSURER_GROUP_DEFAULT = "AUTRE_ORGANISME"
 SATISFACTION_LEVELS = [(80, "EXCELLENCE"), (70, "TRES_SATISFAISANT"), (60, "SATISFAISANT"),
                        (50, "A_AMELIORER")]
 SATISFACTION_DEFAULT = "INSUFFISANT"
+SATISFACTION_TOP_REGIONAL = "EXCELLENCE_REGIONALE"
+SATISFACTION_NOT_RATED = "NON_EVALUE"
 TERRITORIAL_WEIGHTS = (0.3, 0.7)
 
 # =====================================================================================
@@ -359,11 +361,17 @@ def stay_complexity(chapter: ColumnOrName, days: ColumnOrName) -> Column:
                           (d >= 15, "LONG_TERME")], "STANDARD")
 
 
-def satisfaction_level(score: ColumnOrName, suffix: str = "") -> Column:
-    """Level of an aggregated satisfaction score (NULL -> lowest level)."""
+def satisfaction_level(score: ColumnOrName, regional: bool = False) -> Column:
+    """Level of an aggregated satisfaction score (NULL -> lowest level).
+
+    The regional variant names its top level EXCELLENCE_REGIONALE; the other
+    labels are shared.
+    """
     s = _c(score)
-    return classify_when([(s >= t, label + suffix) for t, label in SATISFACTION_LEVELS],
-                         SATISFACTION_DEFAULT)
+    labels = [(t, label) for t, label in SATISFACTION_LEVELS]
+    if regional:
+        labels[0] = (labels[0][0], SATISFACTION_TOP_REGIONAL)
+    return classify_when([(s >= t, label) for t, label in labels], SATISFACTION_DEFAULT)
 
 
 def mortality_class(age: ColumnOrName) -> Column:

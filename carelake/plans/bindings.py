@@ -464,6 +464,42 @@ def median_stay(spark: SparkSession, sf_dir: str) -> DataFrame:
                  .alias("pct_longs")))
 
 
+def territorial_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Completeness label, senior share, weighted territorial score and
+    satisfaction level per day x region of the territorial mart."""
+    t = region_full_outer(spark, sf_dir)
+    senior = measures.share(F.col("nb_deces_66_plus"), F.col("nb_deces_region"))
+    return t.select("sk_temps", "region",
+                    rules.completeness("nb_deces_region", "note_moyenne_satisfaction")
+                    .alias("completude_donnees_territoriales"),
+                    senior.alias("taux_deces_seniors"),
+                    rules.territorial_score("nb_deces_region", senior, "note_moyenne_satisfaction")
+                    .alias("score_territorial_global"),
+                    F.when(F.col("nb_etablissements_satisfaction") == 0, F.lit(rules.SATISFACTION_NOT_RATED))
+                    .otherwise(rules.satisfaction_level("note_moyenne_satisfaction", regional=True))
+                    .alias("niveau_satisfaction_regional"))
+
+
+def coverage_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coverage zone of stand-in departments and insurer group labels."""
+    c = table(spark, sf_dir, "customer")
+    cp = F.pmod(F.col("c_custkey") * 7919, F.lit(100000)).cast("string")
+    d = c.select("c_custkey", "c_mktsegment", departement(cp).alias("departement"))
+    kind = F.upper(rules.insurer_type(F.col("c_mktsegment")))
+    return d.select("c_custkey", "departement", rules.region_of("departement").alias("region"),
+                    rules.coverage_zone("departement", rules.region_of("departement")).alias("zone_couverture"),
+                    rules.insurer_group(kind).alias("categorie_organisme"))
+
+
+def completeness_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share of NULLs per column of the stay fact stand-in (one pass)."""
+    li = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("l_orderkey"), "o_orderpriority"), "l_orderkey", "left")
+    with_nulls = li.select("l_orderkey", F.when(F.col("l_quantity") > 45, None).otherwise(F.col("l_quantity"))
+                           .alias("qte"), "o_orderpriority", "l_shipdate")
+    return measures.completeness_pct(with_nulls, ["qte", "o_orderpriority", "l_shipdate"])
+
+
 # --- history -----------------------------------------------------------------------------------
 
 def scd2_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -624,6 +660,9 @@ QUERIES = {
     "kpi11": kpi11_q,
     "kpi12": kpi12_q,
     "kpi13": kpi13_q,
+    "territorial_scores": territorial_scores,
+    "coverage_zone": coverage_zone,
+    "completeness_profile": completeness_profile,
     "share_of_total": share_of_total,
     "rank_region": rank_region,
     "moving_avg": moving_avg,

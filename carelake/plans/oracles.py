@@ -673,6 +673,53 @@ FROM ({GRAINS_CONSULTATION}) g
 WHERE annee = 1998 AND region_etablissement = 'EUROPE'
 GROUP BY specialite ORDER BY total DESC, specialite NULLS LAST LIMIT 10"""
 
+TERRITORIAL_SCORES = """
+WITH t AS (""" + "SELECT * FROM (" + "{REGION}" + ") r" + """),
+s AS (SELECT *, CASE WHEN nb_deces_region > 0 THEN CAST(nb_deces_66_plus AS DOUBLE) / nb_deces_region * 100
+                     ELSE 0.0 END AS taux_deces_seniors FROM t)
+SELECT sk_temps, region,
+  CASE WHEN coalesce(nb_deces_region, 0) > 0 AND coalesce(note_moyenne_satisfaction, 0) > 0 THEN 'DONNEES_COMPLETES'
+       WHEN coalesce(nb_deces_region, 0) > 0 THEN 'DECES_SEULEMENT'
+       WHEN coalesce(note_moyenne_satisfaction, 0) > 0 THEN 'SATISFACTION_SEULEMENT'
+       ELSE 'DONNEES_MANQUANTES' END AS completude_donnees_territoriales,
+  taux_deces_seniors,
+  CASE WHEN coalesce(nb_deces_region, 0) > 0 AND coalesce(note_moyenne_satisfaction, 0) > 0
+       THEN (100 - least(taux_deces_seniors, 100)) * 0.3 + note_moyenne_satisfaction * 0.7 END
+    AS score_territorial_global,
+  CASE WHEN nb_etablissements_satisfaction = 0 THEN 'NON_EVALUE'
+       WHEN note_moyenne_satisfaction >= 80 THEN 'EXCELLENCE_REGIONALE'
+       WHEN note_moyenne_satisfaction >= 70 THEN 'TRES_SATISFAISANT'
+       WHEN note_moyenne_satisfaction >= 60 THEN 'SATISFAISANT'
+       WHEN note_moyenne_satisfaction >= 50 THEN 'A_AMELIORER'
+       ELSE 'INSUFFISANT' END AS niveau_satisfaction_regional
+FROM s"""
+
+_ZONE_DEPT = dept_sql("CAST((c_custkey * 7919) % 100000 AS VARCHAR)")
+COVERAGE_ZONE = f"""
+WITH d AS (SELECT c_custkey, c_mktsegment, {_ZONE_DEPT} AS departement FROM customer),
+r AS (SELECT *, {region_sql('departement')} AS region,
+             upper({like_rules('lower(c_mktsegment)', R.INSURER_RULES, R.INSURER_DEFAULT)}) AS kind FROM d)
+SELECT c_custkey, departement, region,
+  CASE WHEN departement IN ('75', '92', '93', '94') THEN 'PARIS_PETITE_COURONNE'
+       WHEN departement IN ('77', '78', '91', '95') THEN 'GRANDE_COURONNE'
+       WHEN region = 'ILE_DE_FRANCE' THEN 'ILE_DE_FRANCE_AUTRE'
+       WHEN departement BETWEEN '01' AND '95' THEN 'FRANCE_METROPOLITAINE'
+       WHEN departement IN ('971', '972', '973', '974', '976') THEN 'OUTRE_MER'
+       ELSE 'ETRANGER_OU_INCONNU' END AS zone_couverture,
+  CASE WHEN kind = 'MUTUELLE' THEN 'MUTUELLE_COMPLEMENTAIRE' WHEN kind = 'ASSURANCE' THEN 'ASSURANCE_PRIVEE'
+       WHEN kind = 'PREVOYANCE' THEN 'INSTITUTION_PREVOYANCE' WHEN kind = 'CMU' THEN 'COUVERTURE_UNIVERSELLE'
+       ELSE 'AUTRE_ORGANISME' END AS categorie_organisme
+FROM r"""
+
+COMPLETENESS_PROFILE = """
+WITH l AS (SELECT CASE WHEN l.l_quantity > 45 THEN NULL ELSE l.l_quantity END AS qte, o.o_orderpriority,
+                  l.l_shipdate
+           FROM lineitem l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey)
+SELECT sum(CASE WHEN qte IS NULL THEN 1 ELSE 0 END) * 100.0 / count(*) AS pct_null_qte,
+       sum(CASE WHEN o_orderpriority IS NULL THEN 1 ELSE 0 END) * 100.0 / count(*) AS pct_null_o_orderpriority,
+       sum(CASE WHEN l_shipdate IS NULL THEN 1 ELSE 0 END) * 100.0 / count(*) AS pct_null_l_shipdate
+FROM l"""
+
 SHARE_OF_TOTAL = with_wh("""
 SELECT region_etablissement, CAST(sum(nombre_hospitalisations) AS BIGINT) AS total_hospitalisations,
        CAST(sum(nombre_hospitalisations) AS DOUBLE) * 100.0
@@ -848,6 +895,9 @@ ORACLES = {
     "kpi11": KPI11,
     "kpi12": KPI12,
     "kpi13": KPI13,
+    "territorial_scores": TERRITORIAL_SCORES.replace("{REGION}", REGION_FULL_OUTER),
+    "coverage_zone": COVERAGE_ZONE,
+    "completeness_profile": COMPLETENESS_PROFILE,
     "share_of_total": SHARE_OF_TOTAL,
     "rank_region": RANK_REGION,
     "moving_avg": MOVING_AVG,
@@ -885,6 +935,8 @@ DOUBLE_COLUMNS: dict[str, list[str]] = {
     'kpi10': ['avg_los', 'satisfaction_score'],
     'kpi11': ['avg_satisfaction'],
     'kpi12': ['duree_moyenne_professionnel'],
+    'territorial_scores': ['taux_deces_seniors', 'score_territorial_global'],
+    'completeness_profile': ['pct_null_qte', 'pct_null_o_orderpriority', 'pct_null_l_shipdate'],
     'share_of_total': ['pourcentage_total'],
     'moving_avg': ['moyenne_mobile'],
     'median_stay': ['duree_mediane', 'duree_avg', 'taux_occupation', 'pct_longs'],
