@@ -50,7 +50,7 @@ def scd2_history(df: DataFrame, key: Sequence[str], attrs: Sequence[str], order:
     changes = h.where(F.col("__prev").isNull() | (F.col("__prev") != F.col(HASH))).drop("__prev")
     nxt = {"__next": lambda w: F.lead(F.col(date_col).cast("date")).over(w),
            CURRENT: lambda w: F.lead(F.lit(1)).over(w).isNull()}
-    v = framed(changes, key, order, nxt, after=1, position=VERSION, **frame_kw)
+    v = framed(changes, key, order, nxt, after=1, position=VERSION, materialize=True, **frame_kw)
     return (v.withColumn(FROM, F.col(date_col).cast("date"))
             .withColumn(TO, F.date_sub(F.col("__next"), 1)).drop("__next"))
 

@@ -114,7 +114,8 @@ def with_surrogate_key(df: DataFrame, name: str, order_cols: Sequence[str],
                        descending: Sequence[str] = (),
                        rows_per_range: int = 1_000_000, min_ranges: int | None = None,
                        max_ranges: int = 2048, oversample: int = 32,
-                       single_range_max: int = 200_000, start: int = 1, n: int | None = None) -> DataFrame:
+                       single_range_max: int = 200_000, start: int = 1, n: int | None = None,
+                       materialize: bool = False) -> DataFrame:
     """Dense ``bigint`` key ``start..start+N-1`` following ``order_cols``.
 
     Equivalent to ``row_number() over (order by order_cols, tie_breakers)``
@@ -123,8 +124,16 @@ def with_surrogate_key(df: DataFrame, name: str, order_cols: Sequence[str],
 
     When the count proves the input has at most ``single_range_max`` rows, one
     range holds everything (a bounded single-task sort) and no sample is taken.
+
+    The input is read up to four times (count, sample, range counts, numbering).
+    ``materialize=True`` writes it once to the shared checkpoint folder first, so
+    an expensive input (a multi-way join building a fact) is computed once.
     """
     spark = df.sparkSession
+    if materialize:
+        checkpoint_dir(spark)
+        df = df.checkpoint(eager=True)
+        n = None
     tup, _ = _order_tuple(df, order_cols, tie_breakers, descending)
     base = df.withColumn(_TUP, tup)
     n = df.count() if n is None else n

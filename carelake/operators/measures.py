@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from carelake.operators.keys import with_surrogate_key
+from carelake.session import checkpoint_dir
 
 ColumnOrName = Column | str
 
@@ -190,7 +191,7 @@ SEQ = "__seq"
 def framed(df: DataFrame, key: Sequence[str], order: Sequence[str],
            exprs: Mapping[str, Callable[[WindowSpec], Column]], before: int = 0, after: int = 0,
            chunk: int = 100_000, small: int = 200_000, keep_seq: bool = False,
-           position: str | None = None) -> DataFrame:
+           position: str | None = None, materialize: bool = False) -> DataFrame:
     """Evaluate window expressions whose frame spans at most ``before`` rows back and
     ``after`` rows ahead within each key, without sending a key's rows to one task.
 
@@ -208,8 +209,13 @@ def framed(df: DataFrame, key: Sequence[str], order: Sequence[str],
     the row within its key (the first number of the key is found by a per-key
     ``min``, one row per key, re-attached on the key). Inputs proven by their
     count to hold at most ``small`` rows use the plain per-key window.
+    ``materialize`` checkpoints a large input once before it is numbered and
+    windowed (useful when the input is itself an expensive result).
     """
     n = df.count()
+    if n > small and materialize:
+        checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
     if n <= small:
         w = Window.partitionBy(*key).orderBy(*order)
         cols = [fn(w).alias(name) for name, fn in exprs.items()]

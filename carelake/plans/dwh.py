@@ -141,7 +141,7 @@ def fait_consultation(cons: DataFrame, d_patient: DataFrame, d_pro: DataFrame, d
         "sk_temps", "num_consultation", "heure_debut", "heure_fin", "motif",
         F.col("duree_consultation_minutes").alias("duree_consultation"),
         F.lit(1).alias("nombre_consultations"), F.col("loaded_at").alias("date_chargement"))
-    keyed = with_surrogate_key(base, "sk_fait_consultation", ["num_consultation"])
+    keyed = with_surrogate_key(base, "sk_fait_consultation", ["num_consultation"], materialize=True)
     return keyed.select("sk_fait_consultation", *base.columns)
 
 
@@ -168,7 +168,7 @@ def fait_hospitalisation(stays: DataFrame, d_patient: DataFrame, d_etab: DataFra
         F.coalesce("sk_localisation", F.lit(-1)).cast("bigint").alias("sk_localisation"),
         "num_hospitalisation", "jour_hospitalisation",
         F.lit(1).alias("nombre_hospitalisations"), F.col("loaded_at").alias("date_chargement"))
-    keyed = with_surrogate_key(base, "sk_fait_hospitalisation", ["num_hospitalisation"])
+    keyed = with_surrogate_key(base, "sk_fait_hospitalisation", ["num_hospitalisation"], materialize=True)
     return keyed.select("sk_fait_hospitalisation", *base.columns)
 
 
@@ -190,7 +190,7 @@ def fait_deces(deaths: DataFrame, d_patient: DataFrame, d_loc: DataFrame, d_temp
         F.coalesce("sk_localisation", F.lit(-1)).cast("bigint").alias("sk_localisation"),
         "sk_temps", "code_lieu_deces", "numero_acte_deces", "age_deces",
         F.lit(1).alias("nombre_deces"), F.col("loaded_at").alias("date_chargement"))
-    keyed = with_surrogate_key(base, "sk_fait_deces", ["numero_acte_deces"])
+    keyed = with_surrogate_key(base, "sk_fait_deces", ["numero_acte_deces"], materialize=True)
     return keyed.select("sk_fait_deces", *base.columns)
 
 
@@ -215,7 +215,7 @@ def fait_satisfaction(surveys: DataFrame, d_etab: DataFrame) -> DataFrame:
                     "score_chambre", "score_repas", "score_sortie", "taux_recommandation",
                     "nombre_reponses", "classement", "evolution",
                     F.col("loaded_at").alias("date_chargement"))
-    keyed = with_surrogate_key(base, "sk_fait_satisfaction", ["finess", "annee_enquete"])
+    keyed = with_surrogate_key(base, "sk_fait_satisfaction", ["finess", "annee_enquete"], materialize=True)
     return keyed.select("sk_fait_satisfaction", *[c for c in base.columns if c != "finess"])
 
 
@@ -225,5 +225,5 @@ def fait_qualite_soins(quality: DataFrame, d_etab: DataFrame) -> DataFrame:
     base = q.select("finess", "sk_etablissement", "region", "annee_enquete", "annee_donnee",
                     "ratio_ete_ortho", "alerte_ete", "cible", "observations", "attendu", "position_seuil",
                     F.col("loaded_at").alias("date_chargement"))
-    keyed = with_surrogate_key(base, "sk_fait_qualite", ["finess", "annee_enquete"])
+    keyed = with_surrogate_key(base, "sk_fait_qualite", ["finess", "annee_enquete"], materialize=True)
     return keyed.select("sk_fait_qualite", *[c for c in base.columns if c != "finess"])

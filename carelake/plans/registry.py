@@ -28,6 +28,10 @@ class Model:
     extra: dict = field(default_factory=dict)
 
 
+# marts are written partitioned by year: KPI year filters (F04) prune whole folders
+YEAR = ("annee",)
+
+
 def _registry(as_of, spark: SparkSession, calendar_bounds: tuple | None) -> dict[str, Model]:
     R: dict[str, Model] = {}
 
@@ -90,23 +94,23 @@ def _registry(as_of, spark: SparkSession, calendar_bounds: tuple | None) -> dict
 
     add("dm_consultations_analysis", "datamart",
         ["fait_consultation", "dim_temps", "dim_etablissement", "dim_diagnostic", "dim_professionnel",
-         "dim_specialite"], lambda *a: marts.dm_consultations_analysis(*a, as_of))
+         "dim_specialite"], lambda *a: marts.dm_consultations_analysis(*a, as_of), partition_by=YEAR)
     add("dm_hospitalisations_analysis", "datamart",
         ["fait_hospitalisation", "dim_temps", "dim_etablissement", "dim_diagnostic", "dim_patient"],
-        lambda *a: marts.dm_hospitalisations_analysis(*a, as_of))
+        lambda *a: marts.dm_hospitalisations_analysis(*a, as_of), partition_by=YEAR)
     add("dm_deces_analysis", "datamart", ["fait_deces", "dim_temps", "dim_localisation"],
-        lambda *a: marts.dm_deces_analysis(*a, as_of))
+        lambda *a: marts.dm_deces_analysis(*a, as_of), partition_by=YEAR)
     add("dm_satisfaction_analysis", "datamart", ["fait_satisfaction", "dim_etablissement"],
-        lambda *a: marts.dm_satisfaction_analysis(*a, as_of))
+        lambda *a: marts.dm_satisfaction_analysis(*a, as_of), partition_by=YEAR)
     add("dm_consultations_agregees", "datamart",
         ["fait_consultation", "dim_temps", "dim_etablissement", "dim_diagnostic", "dim_professionnel",
-         "dim_specialite", "dim_patient"], lambda *a: marts.dm_consultations_agregees(*a, as_of))
+         "dim_specialite", "dim_patient"], lambda *a: marts.dm_consultations_agregees(*a, as_of), partition_by=YEAR)
     add("dm_analyse_territoriale", "datamart",
         ["fait_deces", "fait_satisfaction", "dim_temps", "dim_localisation", "dim_patient",
-         "dim_etablissement"], lambda *a: marts.dm_analyse_territoriale(*a, as_of))
+         "dim_etablissement"], lambda *a: marts.dm_analyse_territoriale(*a, as_of), partition_by=YEAR)
     add("dm_hospitalisations_agregees", "datamart",
         ["fait_hospitalisation", "dim_temps", "dim_etablissement", "dim_diagnostic", "dim_patient"],
-        lambda *a: marts.dm_hospitalisations_agregees(*a, as_of))
+        lambda *a: marts.dm_hospitalisations_agregees(*a, as_of), partition_by=YEAR)
     return R
 
 
@@ -159,9 +163,36 @@ class Pipeline:
         self._cache[name] = df
         return df
 
-    def run(self, names: list[str] | None = None) -> dict[str, DataFrame]:
+    def levels(self) -> list[list[str]]:
+        """Models grouped by dependency depth: a level only reads earlier levels."""
+        depth: dict[str, int] = {}
+        for n in topological_order(self.models):
+            deps = [i for i in self.models[n].inputs if not i.startswith("raw.")]
+            depth[n] = 1 + max((depth[d] for d in deps), default=-1)
+        out: list[list[str]] = [[] for _ in range(max(depth.values()) + 1)]
+        for n, d in depth.items():
+            out[d].append(n)
+        return out
+
+    def run(self, names: list[str] | None = None, parallel: int = 4) -> dict[str, DataFrame]:
+        """Build the selected models. When materialising, the models of one
+        dependency level are independent and are written as concurrent Spark jobs."""
         order = topological_order(self.models)
         wanted = [n for n in order if self.models[n].layer in self.layers and (names is None or n in names)]
+        if self.root and parallel > 1:
+            from concurrent.futures import ThreadPoolExecutor
+            needed = set(wanted)
+            for n in wanted:  # include upstream models of the selection
+                stack = list(self.models[n].inputs)
+                while stack:
+                    d = stack.pop()
+                    if not d.startswith("raw.") and d not in needed:
+                        needed.add(d)
+                        stack.extend(self.models[d].inputs)
+            with ThreadPoolExecutor(max_workers=parallel) as pool:
+                for level in self.levels():
+                    todo = [n for n in level if n in needed]
+                    list(pool.map(self.get, todo))
         return {n: self.get(n) for n in wanted}
 
 
