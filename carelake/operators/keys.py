@@ -113,7 +113,7 @@ def with_surrogate_key(df: DataFrame, name: str, order_cols: Sequence[str],
                        tie_breakers: Sequence[str] | None = None,
                        descending: Sequence[str] = (),
                        rows_per_range: int = 1_000_000, min_ranges: int | None = None,
-                       max_ranges: int = 2048, oversample: int = 32,
+                       max_ranges: int = 2048, oversample: int = 32, max_sample: int = 50_000,
                        single_range_max: int = 200_000, start: int = 1, n: int | None = None,
                        materialize: bool = False) -> DataFrame:
     """Dense ``bigint`` key ``start..start+N-1`` following ``order_cols``.
@@ -150,7 +150,8 @@ def with_surrogate_key(df: DataFrame, name: str, order_cols: Sequence[str],
     bounds: list = []
     heavy: set[int] = set()
     if m > 1:
-        fraction = min(1.0, oversample * m * 1.5 / n)
+        # the driver receives about min(oversample * m, max_sample) key tuples
+        fraction = min(1.0, min(oversample * m, max_sample) * 1.5 / n)
         # a few thousand key tuples at most; sorted here (the encoded tuples order
         # the same way in Python as in Spark: flags, numbers, UTF-8 text)
         sample = sorted(r[0] for r in base.select(_TUP).sample(False, fraction, seed=17).collect())
