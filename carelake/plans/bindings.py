@@ -616,6 +616,28 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.select("table_name", "nb_lignes", "statut")
 
 
+def stream_incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D08 with Structured Streaming: orders land as two overlapping file batches
+    (the second replays half a year of the first); the file stream appends only
+    keys not yet in the year-partitioned target, so the target ends equal to the
+    orders table. Files, target and stream checkpoint live in the shared folder."""
+    from carelake.session import scratch_path
+    from carelake.streaming.incremental import incremental_fact_load
+    root = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("jour"), "o_totalprice",
+        F.year("o_orderdate").alias("annee"))
+    src, target, ckpt = (os.path.join(root, x) for x in ("src", "fait", "ckpt"))
+    o.where(F.col("jour") < F.lit(dt.date(1998, 1, 1))).write.parquet(os.path.join(src, "batch1"))
+    incremental_fact_load(spark, os.path.join(src, "*"), o.schema, target, ["o_orderkey"], "annee",
+                          checkpoint=ckpt)
+    o.where(F.col("jour") >= F.lit(dt.date(1997, 7, 1))).write.parquet(os.path.join(src, "batch2"))
+    incremental_fact_load(spark, os.path.join(src, "*"), o.schema, target, ["o_orderkey"], "annee",
+                          checkpoint=ckpt)
+    return spark.read.parquet(target).select("o_orderkey", "o_custkey", F.col("jour").cast("date").alias("jour"),
+                                             "o_totalprice", F.col("annee").cast("int").alias("annee"))
+
+
 QUERIES = {
     "calendar_days": calendar_days,
     "calendar_holidays": calendar_holidays,
@@ -679,4 +701,5 @@ QUERIES = {
     "dq_current_version": dq_current_version,
     "dq_contract": dq_contract,
     "csv_roundtrip": csv_roundtrip,
+    "stream_incremental_load": stream_incremental_load,
 }

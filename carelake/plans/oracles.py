@@ -851,6 +851,12 @@ UNION ALL SELECT 'ventes_lineitem_export', count(*), 'SUCCESS' FROM lineitem
 UNION ALL SELECT 'ventes_orders_export', count(*), 'SUCCESS' FROM orders"""
 
 
+STREAM_INCREMENTAL_LOAD = """
+SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS jour, o_totalprice,
+       CAST(year(o_orderdate) AS INTEGER) AS annee
+FROM orders"""
+
+
 ORACLES = {
     "calendar_days": CALENDAR_DAYS,
     "calendar_holidays": CALENDAR_HOLIDAYS,
@@ -914,6 +920,7 @@ ORACLES = {
     "dq_current_version": DQ_CURRENT_VERSION,
     "dq_contract": DQ_CONTRACT,
     "csv_roundtrip": CSV_ROUNDTRIP,
+    "stream_incremental_load": STREAM_INCREMENTAL_LOAD,
 }
 
 # Floating-point result columns per query (rounded to 6 digits on both sides).
@@ -941,4 +948,5 @@ DOUBLE_COLUMNS: dict[str, list[str]] = {
     'moving_avg': ['moyenne_mobile'],
     'median_stay': ['duree_mediane', 'duree_avg', 'taux_occupation', 'pct_longs'],
     'upsert_dim': ['s_acctbal'],
+    'stream_incremental_load': ['o_totalprice'],
 }
