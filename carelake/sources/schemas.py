@@ -17,6 +17,7 @@ def _schema(cols: list, typed: dict | None = None) -> T.StructType:
     return T.StructType([T.StructField(c, typed.get(c, S), True) for c in cols])
 
 
+# The source tables' column names, as the sources deliver them.
 SAT48_COLS = ["finess", "rs_finess", "region", "score_all_rea_ajust", "score_accueil_rea_ajust",
               "score_PECinf_rea_ajust", "score_PECmed_rea_ajust", "score_chambre_rea_ajust",
               "score_repas_rea_ajust", "score_sortie_rea_ajust", "nb_rep_score_all_rea_ajust",
