@@ -76,7 +76,7 @@ def main() -> None:
                 wh.dim_etablissement(), AS_OF),
         }
         # the marts are independent: submit their writes as concurrent jobs
-        with ThreadPoolExecutor(max_workers=4) as pool:
+        with ThreadPoolExecutor(max_workers=8) as pool:
             list(pool.map(lambda kv: write_layer(kv[1], root, "datamart", kv[0], partition_by=("annee",)),
                           m.items()))
         return {name: read_layer(spark, root, "datamart", name) for name in m}

@@ -300,7 +300,7 @@ class BoundWarehouse:
     ]
     DWH_TABLES = [t for level in DWH_LEVELS for t in level]
 
-    def materialize(self, root: str, parallel: int = 4) -> dict[str, str]:
+    def materialize(self, root: str, parallel: int = 8) -> dict[str, str]:
         """Write every dimension and fact to ``<root>/dwh/<name>``, level by level.
 
         Later levels are built from the written tables (lineage cut at each table,
