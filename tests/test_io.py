@@ -100,3 +100,12 @@ def test_streaming_incremental_load_is_idempotent(spark, tmp_root):
     s2 = incremental_fact_load(spark, src + "/*", schema, target, ["num"], "jour", checkpoint=ckpt)
     assert s2["rows_written"] == 1
     assert sorted(r.num for r in spark.read.parquet(target).collect()) == [1, 2, 3]
+
+
+def test_jdbc_list_tables(spark):
+    url = "jdbc:derby:memory:carelake_t2;create=true"
+    io.publish(spark.range(3), url, "SRC_A", properties=DERBY)
+    io.publish(spark.range(2), url, "SRC_B", properties=DERBY)
+    q = "select tablename as table_name from sys.systables where tabletype = 'T'"
+    names = sorted(r.TABLE_NAME for r in io.list_jdbc_tables(spark, url, DERBY, query=q).collect())
+    assert names == ["SRC_A", "SRC_B"]
