@@ -13,6 +13,10 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE"}
+
+
 def norm(v):
     if isinstance(v, float):
         return None if math.isnan(v) else round(v, 6)
@@ -50,6 +54,10 @@ def test_query_matches_oracle(spark, duck, name):
     d_cols = [d[0] for d in rel.description]
     d_rows = rel.fetchall()
     assert sorted(s_cols) == sorted(d_cols)
+    d_types = {r[0]: r[1] for r in duck.execute("DESCRIBE " + E.oracle_sql()[name]).fetchall()}
+    s_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+               for f in sdf.schema.fields}
+    assert s_types == d_types
     assert len(s_rows) == len(d_rows)
     assert canon(s_cols, s_rows) == canon(d_cols, d_rows)
 
