@@ -431,6 +431,11 @@ def kpi13_q(spark, sf_dir):
     return kpi.kpi13(grains_consultation(spark, sf_dir), year=1998, region="EUROPE", n=10)
 
 
+def kpi12_ambulatory_q(spark, sf_dir):
+    """Establishments above a stay threshold with their ambulatory share."""
+    return kpi.kpi12_ambulatory(_hmart(spark, sf_dir), year=1998, threshold=50)
+
+
 # --- windows and aggregates -------------------------------------------------------------------------
 
 def share_of_total(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -597,6 +602,19 @@ def dq_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contract_violations(c, spec, "customer")
 
 
+def dq_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stay rows whose part is not among the current (cheap) parts."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    cheap = table(spark, sf_dir, "part").where(F.col("p_retailprice") < 1500)
+    return quality.orphans(li, cheap, "l_partkey", "p_partkey")
+
+
+def dq_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(order, line) pairs that occur more than once, with their count."""
+    li = table(spark, sf_dir, "lineitem")
+    return quality.having(li, ["l_orderkey", "l_linenumber"], F.count(F.lit(1)).alias("nb"), F.col("nb") > 1)
+
+
 def dq_current_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q09: one current version per key after the SCD-2 merge."""
     return quality.one_current(scd2_merge(spark, sf_dir), ["c_custkey"], table="dim_client")
@@ -682,6 +700,7 @@ QUERIES = {
     "kpi11": kpi11_q,
     "kpi12": kpi12_q,
     "kpi13": kpi13_q,
+    "kpi12_ambulatory": kpi12_ambulatory_q,
     "territorial_scores": territorial_scores,
     "coverage_zone": coverage_zone,
     "completeness_profile": completeness_profile,
@@ -700,6 +719,8 @@ QUERIES = {
     "dq_profile": dq_profile,
     "dq_current_version": dq_current_version,
     "dq_contract": dq_contract,
+    "dq_orphans": dq_orphans,
+    "dq_duplicates": dq_duplicates,
     "csv_roundtrip": csv_roundtrip,
     "stream_incremental_load": stream_incremental_load,
 }

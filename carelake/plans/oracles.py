@@ -857,6 +857,26 @@ SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS jour, o_totalprice,
 FROM orders"""
 
 
+KPI12_AMBULATORY = with_wh("""
+SELECT *, CAST(nb_ambulatoire AS DOUBLE) * 100.0 / total_hospitalisations_etablissement AS pct_ambulatoire FROM (
+  SELECT nom_etablissement, region_etablissement,
+         CAST(sum(nombre_hospitalisations) AS BIGINT) AS total_hospitalisations_etablissement,
+         avg(jour_hospitalisation) AS duree_moyenne_etablissement,
+         CAST(sum(CASE WHEN jour_hospitalisation = 0 THEN nombre_hospitalisations ELSE 0 END) AS BIGINT)
+           AS nb_ambulatoire
+  FROM hmart WHERE annee = 1998 GROUP BY nom_etablissement, region_etablissement)
+WHERE total_hospitalisations_etablissement > 50""")
+
+DQ_ORPHANS = """
+SELECT l.l_orderkey, l.l_linenumber, l.l_partkey
+FROM lineitem l LEFT JOIN (SELECT DISTINCT p_partkey FROM part WHERE p_retailprice < 1500) p
+  ON l.l_partkey = p.p_partkey
+WHERE p.p_partkey IS NULL"""
+
+DQ_DUPLICATES = """
+SELECT l_orderkey, l_linenumber, count(*) AS nb FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1"""
+
+
 ORACLES = {
     "calendar_days": CALENDAR_DAYS,
     "calendar_holidays": CALENDAR_HOLIDAYS,
@@ -901,6 +921,7 @@ ORACLES = {
     "kpi11": KPI11,
     "kpi12": KPI12,
     "kpi13": KPI13,
+    "kpi12_ambulatory": KPI12_AMBULATORY,
     "territorial_scores": TERRITORIAL_SCORES.replace("{REGION}", REGION_FULL_OUTER),
     "coverage_zone": COVERAGE_ZONE,
     "completeness_profile": COMPLETENESS_PROFILE,
@@ -919,6 +940,8 @@ ORACLES = {
     "dq_profile": DQ_PROFILE,
     "dq_current_version": DQ_CURRENT_VERSION,
     "dq_contract": DQ_CONTRACT,
+    "dq_orphans": DQ_ORPHANS,
+    "dq_duplicates": DQ_DUPLICATES,
     "csv_roundtrip": CSV_ROUNDTRIP,
     "stream_incremental_load": STREAM_INCREMENTAL_LOAD,
 }
@@ -942,6 +965,7 @@ DOUBLE_COLUMNS: dict[str, list[str]] = {
     'kpi10': ['avg_los', 'satisfaction_score'],
     'kpi11': ['avg_satisfaction'],
     'kpi12': ['duree_moyenne_professionnel'],
+    'kpi12_ambulatory': ['duree_moyenne_etablissement', 'pct_ambulatoire'],
     'territorial_scores': ['taux_deces_seniors', 'score_territorial_global'],
     'completeness_profile': ['pct_null_qte', 'pct_null_o_orderpriority', 'pct_null_l_shipdate'],
     'share_of_total': ['pourcentage_total'],
