@@ -14,8 +14,8 @@ numbers into the global dense 1..N sequence.
   large share of the rows (a hot key, or many identical copies) therefore sits
   alone in its range, which is additionally split into salt sub-ranges. Rows in
   such a range are identical in every ordering column, so any numbering among
-  them is equivalent; the salted input is checkpointed first so that counting
-  and numbering see the same salt.
+  them is equivalent; the salted input is stored first (Parquet in the shared
+  checkpoint folder) so that counting and numbering see the same salt.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from carelake.session import checkpoint_dir
+from carelake.session import pin
 
 _SLOT = "__sk_slot"
 _SALT = "__sk_salt"
@@ -126,13 +126,13 @@ def with_surrogate_key(df: DataFrame, name: str, order_cols: Sequence[str],
     range holds everything (a bounded single-task sort) and no sample is taken.
 
     The input is read up to four times (count, sample, range counts, numbering).
-    ``materialize=True`` writes it once to the shared checkpoint folder first, so
-    an expensive input (a multi-way join building a fact) is computed once.
+    ``materialize=True`` writes it once as Parquet to the shared checkpoint folder
+    first, so an expensive input (a multi-way join building a fact) is computed
+    once and its row count comes from the file metadata.
     """
     spark = df.sparkSession
     if materialize:
-        checkpoint_dir(spark)
-        df = df.checkpoint(eager=True)
+        df = pin(df, "sk-input")
         n = None
     tup, _ = _order_tuple(df, order_cols, tie_breakers, descending)
     base = df.withColumn(_TUP, tup)
@@ -184,9 +184,9 @@ def with_surrogate_key(df: DataFrame, name: str, order_cols: Sequence[str],
             _SALT, F.when(F.col(_SLOT).isin(*sorted(heavy)),
                           F.pmod(F.monotonically_increasing_id(), F.lit(salts))).otherwise(F.lit(0)))
         # monotonically_increasing_id is not stable across recomputation of a
-        # shuffled input: pin the salted rows once in the shared checkpoint folder.
-        checkpoint_dir(spark)
-        keyed = keyed.checkpoint(eager=True)
+        # shuffled input: pin the salted rows once in the shared checkpoint folder
+        # (the range counts then scan only the slot and salt columns).
+        keyed = pin(keyed, "sk-salted")
     else:
         keyed = keyed.withColumn(_SALT, F.lit(0).cast("long"))
 

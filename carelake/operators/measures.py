@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from carelake.operators.keys import with_surrogate_key
-from carelake.session import checkpoint_dir
+from carelake.session import pin
 
 ColumnOrName = Column | str
 
@@ -209,13 +209,13 @@ def framed(df: DataFrame, key: Sequence[str], order: Sequence[str],
     the row within its key (the first number of the key is found by a per-key
     ``min``, one row per key, re-attached on the key). Inputs proven by their
     count to hold at most ``small`` rows use the plain per-key window.
-    ``materialize`` checkpoints a large input once before it is numbered and
-    windowed (useful when the input is itself an expensive result).
+    ``materialize`` stores the input once (Parquet in the shared checkpoint folder)
+    before it is counted, numbered and windowed (useful when the input is itself
+    an expensive result).
     """
+    if materialize:
+        df = pin(df, "framed-input")  # computed once; the count reads file metadata
     n = df.count()
-    if n > small and materialize:
-        checkpoint_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
     if n <= small:
         w = Window.partitionBy(*key).orderBy(*order)
         cols = [fn(w).alias(name) for name, fn in exprs.items()]

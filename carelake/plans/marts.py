@@ -4,7 +4,7 @@ The multi-grain marts re-attach group totals to every detail row (J11). A
 window aggregate would need a ``count(distinct)`` inside a window, which Spark
 does not plan, so each grain is a ``groupBy`` whose result (one row per group)
 joins back on the group keys. Grains are computed from one base written once
-to the checkpoint folder.
+as Parquet to the checkpoint folder (each grain reads only its columns).
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from carelake.operators.joins import attach_totals
 from carelake.operators.measures import avg_if, sum_if, weighted_mean
-from carelake.session import checkpoint_dir
+from carelake.session import pin
 
 
 def _ts(as_of):
@@ -95,11 +95,11 @@ def dm_satisfaction_analysis(fs, d_etab, as_of, year: int = 2020) -> DataFrame:
 
 
 def _pin(base: DataFrame) -> DataFrame:
-    """Write the shared base once to the cluster's checkpoint folder: every grain
-    and the final re-attachment read it instead of recomputing the star join,
-    and the lineage is cut so a lost executor does not replay the whole chain."""
-    checkpoint_dir(base.sparkSession)
-    return base.checkpoint(eager=True)
+    """Write the shared base once as Parquet to the cluster's checkpoint folder:
+    every grain and the final re-attachment read it instead of recomputing the
+    star join, each grain scans only the columns it aggregates, and the lineage
+    is cut so a lost executor does not replay the whole chain."""
+    return pin(base, "mart-base")
 
 
 def dm_consultations_agregees(fc, d_temps, d_etab, d_diag, d_pro, d_spec, d_patient, as_of) -> DataFrame:

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 # Settings that matter for the warehouse workload at any scale.
 #  * AQE re-plans joins from runtime sizes (broadcast only what proved small),
@@ -70,3 +72,33 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for intermediate tables, under the shared checkpoint folder."""
     return os.path.join(checkpoint_dir(spark), "carelake", name)
+
+
+def _parquet_storable(t: T.DataType) -> bool:
+    if isinstance(t, T.NullType):
+        return False
+    if isinstance(t, T.StructType):
+        return all(_parquet_storable(f.dataType) for f in t.fields)
+    if isinstance(t, T.ArrayType):
+        return _parquet_storable(t.elementType)
+    if isinstance(t, T.MapType):
+        return _parquet_storable(t.keyType) and _parquet_storable(t.valueType)
+    return True
+
+
+def pin(df: DataFrame, name: str = "pinned") -> DataFrame:
+    """Compute ``df`` once, store it in the shared checkpoint folder, return a scan of it.
+
+    Like ``checkpoint()`` this cuts the lineage (a lost executor re-reads the
+    stored files instead of replaying the plan), but the table is Parquet, so
+    every later reader prunes columns, pushes filters into the scan and reads
+    vectorised batches, and a row count is answered from file metadata. Inputs
+    holding a type Parquet cannot store fall back to ``checkpoint()``.
+    """
+    spark = df.sparkSession
+    if not all(_parquet_storable(f.dataType) for f in df.schema.fields):
+        checkpoint_dir(spark)
+        return df.checkpoint(eager=True)
+    path = scratch_path(spark, f"pins/{name}-{uuid.uuid4().hex}")
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)

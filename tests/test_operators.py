@@ -202,3 +202,21 @@ def test_framed_windows_split_hot_keys_exactly(spark):
     assert chunked.count() == 3000
     assert chunked.select(cols).exceptAll(plain.select(cols)).count() == 0
     assert chunked.where("k = 7").agg(F.max("pos")).first()[0] == 1040  # the hot key: 1000 + 40 rows
+
+
+# --- pinned intermediate tables ---------------------------------------------------------------
+
+def test_pin_cuts_lineage_and_prunes_columns(spark):
+    from carelake.session import checkpoint_dir, pin
+    li = spark.read.parquet(f"{SF001}/lineitem.parquet")
+    wide = li.join(spark.read.parquet(f"{SF001}/orders.parquet"), li.l_orderkey == F.col("o_orderkey"))
+    pinned = pin(wide, "test")
+    assert pinned.count() == wide.count()
+    plan = pinned.select("l_quantity").where(F.col("l_quantity") > 10)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan                       # lineage cut: the join is not replayed
+    assert checkpoint_dir(spark).rstrip("/").split("/")[-1] in plan  # stored in the shared folder
+    assert "ReadSchema: struct<l_quantity" in plan or "struct<l_quantity:" in plan
+    assert "PushedFilters: [IsNotNull(l_quantity), GreaterThan(l_quantity" in plan
+    # a type Parquet cannot store falls back to checkpoint()
+    odd = spark.range(3).withColumn("v", F.lit(None))
+    assert pin(odd).count() == 3
