@@ -5,6 +5,12 @@ window aggregate would need a ``count(distinct)`` inside a window, which Spark
 does not plan, so each grain is a ``groupBy`` whose result (one row per group)
 joins back on the group keys. Grains are computed from one base written once
 as Parquet to the checkpoint folder (each grain reads only its columns).
+
+Grains that nest (a coarser grain whose keys are determined by a finer one) are
+attached to the finer aggregate first, so the wide detail rows are shuffled once
+per independent grain rather than once per grain. This relies on the fact keys
+being non-NULL, which holds by construction: required keys come from inner
+joins and optional keys are coalesced to the unknown member -1.
 """
 
 from __future__ import annotations
@@ -149,11 +155,12 @@ def dm_consultations_agregees(fc, d_temps, d_etab, d_diag, d_pro, d_spec, d_pati
               .groupBy(*prof_keys).agg(
                   F.sum(n).alias("nb_consultations_profil"), F.sum(dur).alias("duree_totale_profil"),
                   F.count_distinct("sk_patient").alias("nb_patients_uniques_profil")))
-    out = attach_totals(base, g_etab, ["sk_temps", "sk_etablissement"],
-                  ["nb_consultations_etablissement", "duree_totale_etablissement",
-                   "nb_patients_uniques_etablissement"])
-    out = attach_totals(out, g_diag, ["sk_temps", "sk_etablissement", "sk_diagnostic"],
-                  ["nb_consultations_diagnostic", "duree_totale_diagnostic", "nb_patients_uniques_diagnostic"])
+    etab_m = ["nb_consultations_etablissement", "duree_totale_etablissement", "nb_patients_uniques_etablissement"]
+    diag_m = ["nb_consultations_diagnostic", "duree_totale_diagnostic", "nb_patients_uniques_diagnostic"]
+    # the (day, establishment) grain nests in (day, establishment, diagnosis): attach it
+    # to that aggregate, so the wide detail rows are shuffled once for both grains
+    g_diag = attach_totals(g_diag, g_etab, ["sk_temps", "sk_etablissement"], etab_m)
+    out = attach_totals(base, g_diag, ["sk_temps", "sk_etablissement", "sk_diagnostic"], etab_m + diag_m)
     out = attach_totals(out, g_pro, ["sk_temps", "sk_professionnel"],
                   ["nb_consultations_professionnel", "duree_totale_professionnel",
                    "nb_patients_uniques_professionnel"])
@@ -192,7 +199,11 @@ def dm_hospitalisations_agregees(fh, d_temps, d_etab, d_diag, d_patient, as_of)
         return [f"nb_hospitalisations_{suffix}", f"duree_totale_{suffix}", f"nb_patients_uniques_{suffix}",
                 f"duree_moyenne_{suffix}"]
 
-    g_etab = base.groupBy("sk_temps", "sk_etablissement").agg(*measures("etablissement"))
+    # the region is an attribute of the establishment, so the grains nest:
+    # (day, region) <- (day, establishment) <- (day, establishment, diagnosis).
+    # Coarser totals are attached to the finer aggregates (one row per group), and the
+    # wide detail rows are shuffled once for all three instead of once per grain.
+    g_etab = base.groupBy("sk_temps", "sk_etablissement", "region_etablissement").agg(*measures("etablissement"))
     g_diag = base.groupBy("sk_temps", "sk_etablissement", "sk_diagnostic").agg(*measures("diagnostic"))
     prof_keys = ["sk_temps", "sexe", "tranche_age", "age"]
     g_prof = (base.where((F.col("sexe") != "I") & (F.col("tranche_age") != "Non renseigne"))
@@ -200,12 +211,14 @@ def dm_hospitalisations_agregees(fh, d_temps, d_etab, d_diag, d_patient, as_of)
     g_reg = (base.where(F.col("region_etablissement").isNotNull()
                         & (F.col("region_etablissement") != "Non renseigne"))
              .groupBy("sk_temps", "region_etablissement").agg(*measures("region")))
-    out = attach_totals(base, g_etab, ["sk_temps", "sk_etablissement"], names("etablissement"))
-    out = attach_totals(out, g_diag, ["sk_temps", "sk_etablissement", "sk_diagnostic"], names("diagnostic"))
-    out = attach_totals(out, g_prof, prof_keys,
-                  names("profil"))
-    out = attach_totals(out, g_reg, ["sk_temps", "region_etablissement"], names("region"))
-    return out.drop("sk_patient").withColumn("date_chargement", _ts(as_of))
+    g_etab = attach_totals(g_etab, g_reg, ["sk_temps", "region_etablissement"], names("region"))
+    g_diag = attach_totals(g_diag, g_etab.drop("region_etablissement"), ["sk_temps", "sk_etablissement"],
+                           names("etablissement") + names("region"))
+    out = attach_totals(base, g_diag, ["sk_temps", "sk_etablissement", "sk_diagnostic"],
+                        names("etablissement") + names("diagnostic") + names("region"))
+    out = attach_totals(out, g_prof, prof_keys, names("profil"))
+    cols = [c for c in out.columns if c not in names("region")] + names("region")
+    return out.select(*cols).drop("sk_patient").withColumn("date_chargement", _ts(as_of))
 
 
 def dm_analyse_territoriale(fd, fs, d_temps, d_loc, d_patient, d_etab, as_of) -> DataFrame:
