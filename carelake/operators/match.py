@@ -11,15 +11,17 @@ which, planned literally, compares every needle with every dimension row.
 * every haystack string is exploded into its substrings of length k for
   k = 0..K, tagged with k;
 * a needle of length L is keyed by (min(L, K), its first min(L, K) characters);
-* an equi-join on (k, gram) yields exactly the haystack positions where the
-  needle could start; ``contains`` verifies the full needle;
+* a needle shorter than K is contained exactly when it equals a gram of its
+  length: grams of length < K are reduced to ``min(sk)`` per (k, gram) before
+  the join, so short needles never fan out and need no verification;
+* a longer needle equi-joins the haystack positions whose K-gram is its prefix;
+  ``contains`` verifies the full needle;
 * ``min(sk)`` per needle makes the ``limit 1`` deterministic (T15);
 * columns are tried in priority order; only needles still unresolved
   (``left_anti``) go on to the next column; the rest get -1.
 
-A needle shorter than K can only join grams equal to itself, so short needles
-do not fan out; needles of length >= K fan out only to haystack positions that
-share their first K characters.
+Needles of length >= K fan out only to haystack positions that share their
+first K characters, and their ``min`` is aggregated map-side before the shuffle.
 """
 
 from __future__ import annotations
@@ -30,27 +32,56 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carelake.operators.keys import lookup
+from carelake.session import pin
 
 GRAM_MAX = 8
 
 
-def _grams(dim: DataFrame, sk: str, col: str, k_max: int) -> DataFrame:
-    """(k, gram, sk, hay) for every substring of length k = 0..k_max of ``col``."""
+def _grams(dim: DataFrame, sk: str, col: str, ks: Sequence[int]) -> DataFrame:
+    """(k, gram, sk, hay) for every substring of ``col`` whose length k is in ``ks``
+    (one row per position; k = 0 gives the empty gram once per string)."""
     hay = dim.select(F.col(sk).alias("__sk"), F.col(col).cast("string").alias("__hay")) \
              .where(F.col("__hay").isNotNull())
-    ks = hay.select("__sk", "__hay",
-                    F.explode(F.sequence(F.lit(0), F.least(F.length("__hay"), F.lit(k_max))))
-                    .alias("__k"))
-    # positions 1 .. len - k + 1 (k = 0 gives the empty gram once)
-    pos = ks.select("__sk", "__hay", "__k",
+    kk = hay.select("__sk", "__hay", F.explode(F.array(*[F.lit(k) for k in ks])).alias("__k")) \
+            .where(F.length("__hay") >= F.col("__k"))
+    pos = kk.select("__sk", "__hay", "__k",
                     F.explode(F.sequence(F.lit(1),
                                          F.when(F.col("__k") == 0, F.lit(1))
                                           .otherwise(F.length("__hay") - F.col("__k") + 1)))
                     .alias("__pos"))
     return pos.select("__sk", "__hay", "__k",
                       F.when(F.col("__k") == 0, F.lit(""))
-                       .otherwise(F.substring("__hay", F.col("__pos"), F.col("__k"))).alias("__g")) \
-              .dropDuplicates(["__sk", "__hay", "__k", "__g"])
+                       .otherwise(F.substring("__hay", F.col("__pos"), F.col("__k"))).alias("__g"))
+
+
+def _first_containing(remaining: DataFrame, dim: DataFrame, sk: str, col: str, k_max: int,
+                      short_ks: Sequence[int], has_long: bool = True) -> DataFrame:
+    """(needle, min sk) for the needles of ``remaining`` contained in ``col``.
+
+    * A needle shorter than ``k_max`` is contained exactly when it equals one of the
+      haystack's grams of its length, so those grams (only the lengths in
+      ``short_ks``) are reduced to ``min(sk)`` per (k, gram) first (partial
+      aggregation before the shuffle): one row per distinct gram, no fan-out however
+      many haystacks share it, no verification.
+    * A longer needle joins the haystack positions whose ``k_max``-gram equals its
+      prefix and is verified with ``contains``; ``min(sk)`` per needle is aggregated
+      map-side, so a needle matching many haystacks does not gather them in one task.
+    """
+    parts = []
+    if has_long:
+        long = _grams(dim, sk, col, [k_max]).select("__g", "__sk", "__hay")
+        parts.append(remaining.where(F.col("__k") == k_max).select("__n", "__g")
+                     .join(long, "__g", "inner")
+                     .where(F.col("__hay").contains(F.col("__n")))
+                     .groupBy("__n").agg(F.min("__sk").alias("__sk")))
+    if short_ks:
+        short = _grams(dim, sk, col, short_ks).groupBy("__k", "__g").agg(F.min("__sk").alias("__sk"))
+        parts.append(remaining.where(F.col("__k") < k_max)
+                     .join(short, ["__k", "__g"], "inner").select("__n", "__sk"))
+    found = parts[0]
+    for p in parts[1:]:
+        found = found.unionByName(p)
+    return found
 
 
 def containment_lookup(needles: DataFrame, needle: str, dim: DataFrame,
@@ -62,26 +93,32 @@ def containment_lookup(needles: DataFrame, needle: str, dim: DataFrame,
     Returns ``(needle, sk[, step])`` with one row per distinct needle (NULL
     needles map to ``default``, as ``LIKE NULL`` never matches).
     """
-    distinct = needles.select(F.col(needle).cast("string").alias("__n")).distinct()
-    keyed = distinct.where(F.col("__n").isNotNull()).select(
-        "__n",
-        F.least(F.length("__n"), F.lit(k_max)).alias("__k"),
-    ).withColumn("__g", F.substring("__n", 1, F.col("__k")))
-    keyed = keyed.withColumn("__g", F.when(F.col("__k") == 0, F.lit("")).otherwise(F.col("__g")))
+    # the distinct needles are computed once and stored (Parquet in the shared
+    # checkpoint folder): the cascade reads them several times (both branches, the
+    # anti-joins, the final re-attachment) without re-running the needles' source
+    k = F.least(F.length("__n"), F.lit(k_max))
+    distinct = pin(needles.select(F.col(needle).cast("string").alias("__n")).distinct()
+                   .withColumns({"__k": k, "__g": F.when(k == 0, F.lit("")).otherwise(F.substring("__n", 1, k))}),
+                   "needles")
+    keyed = distinct.where(F.col("__n").isNotNull())
+
+    # the key lengths present: at most k_max + 1 small integers (branches without
+    # needles are left out of the plan)
+    ks = sorted(r[0] for r in keyed.select("__k").distinct().collect())
+    short_ks, has_long = [x for x in ks if x < k_max], k_max in ks
 
     resolved: DataFrame | None = None
     remaining = keyed
-    for step, col in enumerate(hay_cols, start=1):
-        grams = _grams(dim, sk, col, k_max)
-        found = (remaining.join(grams, ["__k", "__g"], "inner")
-                 .where(F.col("__hay").contains(F.col("__n")))
-                 .groupBy("__n").agg(F.min("__sk").alias("__sk"))
+    for step, col in enumerate(hay_cols if ks else [], start=1):
+        found = (_first_containing(remaining, dim, sk, col, k_max, short_ks, has_long)
                  .withColumn("__step", F.lit(step)))
         resolved = found if resolved is None else resolved.unionByName(found)
         if step < len(hay_cols):
             remaining = remaining.join(found.select("__n"), "__n", "left_anti")
 
-    out = distinct.join(resolved, "__n", "left") if resolved is not None else distinct
+    distinct = distinct.select("__n")
+    out = (distinct.join(resolved, "__n", "left") if resolved is not None
+           else distinct.withColumns({"__sk": F.lit(None).cast("bigint"), "__step": F.lit(None).cast("int")}))
     out = out.select(
         F.col("__n").alias(needle),
         F.coalesce(F.col("__sk"), F.lit(default)).cast("bigint").alias(sk),

@@ -119,6 +119,28 @@ def test_containment_matches_brute_force_like_and_has_no_nested_loop(spark):
         assert got[n] == expected, n
 
 
+def test_containment_short_long_and_empty_needles_match_brute_force(spark):
+    import random
+    rnd = random.Random(7)
+    alpha = "ab1"
+    hay = [(i, "".join(rnd.choice(alpha) for _ in range(rnd.randint(0, 9))) if i % 7 else None,
+            "".join(rnd.choice(alpha) for _ in range(rnd.randint(0, 6)))) for i in range(1, 60)]
+    needles = sorted({"".join(rnd.choice(alpha) for _ in range(rnd.randint(0, 6))) for _ in range(150)})
+    dim = spark.createDataFrame(hay, "sk bigint, a string, b string")
+    nd = spark.createDataFrame([(n,) for n in needles] + [(None,)], "n string")
+    for k_max in (1, 3):  # needles shorter than, equal to and longer than k_max
+        got = {r.n: (r.sk, r.step) for r in
+               containment_lookup(nd, "n", dim, ["a", "b"], "sk", k_max=k_max, with_step=True).collect()}
+        for n in needles:
+            first = [sk for sk, a, _ in hay if a is not None and n in a]
+            second = [sk for sk, _, b in hay if b is not None and n in b]
+            expected = (min(first), 1) if first else ((min(second), 2) if second else (-1, -1))
+            assert got[n] == expected, (k_max, n)
+        assert got[None] == (-1, -1)
+    only_null = containment_lookup(spark.createDataFrame([(None,)], "n string"), "n", dim, ["a"], "sk")
+    assert [(r.n, r.sk) for r in only_null.collect()] == [(None, -1)]
+
+
 # --- history ------------------------------------------------------------------------------------------
 
 def test_scd2_history_versions(spark):
