@@ -16,7 +16,7 @@ which, planned literally, compares every needle with every dimension row.
   the join, so short needles never fan out and need no verification;
 * a longer needle equi-joins the haystack positions whose K-gram is its prefix;
   ``contains`` verifies the full needle;
-* ``min(sk)`` per needle makes the ``limit 1`` deterministic (T15);
+* ``min(sk)`` per needle makes the ``limit 1`` deterministic (O04, T15);
 * columns are tried in priority order; only needles still unresolved
   (``left_anti``) go on to the next column; the rest get -1.
 

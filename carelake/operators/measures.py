@@ -1,4 +1,4 @@
-"""Aggregate and window helpers.
+"""Aggregate, window and ordering helpers.
 
 All helpers return Column expressions or DataFrames built from ``groupBy`` and
 ``Window``; partial aggregation happens map-side before any shuffle.
@@ -174,6 +174,15 @@ def moving_avg(c: ColumnOrName, key: Sequence[str], ts: Sequence[str], n: int =
     return F.avg(_c(c)).over(w)
 
 
+def order(df: DataFrame, cols: Sequence[ColumnOrName]) -> DataFrame:
+    """Multi-key ascending sort, NULLS LAST (the reference engine's default, T14).
+
+    A global sort is a range-partitioned shuffle (sampled bounds, no single task);
+    applied to KPI results it only orders the few grouped rows.
+    """
+    return df.orderBy(*[(F.col(c) if isinstance(c, str) else c).asc_nulls_last() for c in cols])
+
+
 def top_n(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
     """Top-N with a total order (ties broken by the caller's extra keys).
 

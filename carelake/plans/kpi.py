@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelake.operators.measures import per_workday, rank_desc, ratio, share_of_total, top_n
+from carelake.operators.measures import order, per_workday, rank_desc, ratio, share_of_total, top_n
 
 
 def kpi1(mart: DataFrame, year: int = 2023, n: int = 10) -> DataFrame:
@@ -35,13 +35,13 @@ def kpi2(mart: DataFrame, y0: int = 2021, y1: int = 2023, n: int = 15) -> DataFr
 
 def kpi3(mart: DataFrame, since: int = 2020) -> DataFrame:
     """K3: stays, mean length, establishments and patients per month since a year."""
-    return (mart.where(F.col("annee") >= since)
-            .groupBy("annee", "mois")
-            .agg(F.sum("nombre_hospitalisations").cast("bigint").alias("hospitalisations_totales"),
-                 F.avg("jour_hospitalisation").alias("duree_moyenne_jours"),
-                 F.count_distinct("sk_etablissement").alias("nb_etablissements"),
-                 F.count_distinct("sk_patient").alias("patients_hospitalises"))
-            .orderBy("annee", "mois"))
+    g = (mart.where(F.col("annee") >= since)
+         .groupBy("annee", "mois")
+         .agg(F.sum("nombre_hospitalisations").cast("bigint").alias("hospitalisations_totales"),
+              F.avg("jour_hospitalisation").alias("duree_moyenne_jours"),
+              F.count_distinct("sk_etablissement").alias("nb_etablissements"),
+              F.count_distinct("sk_patient").alias("patients_hospitalises")))
+    return order(g, ["annee", "mois"])  # O03
 
 
 def kpi4(mart: DataFrame, year: int = 2016, n: int = 15) -> DataFrame:
