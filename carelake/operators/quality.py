@@ -98,18 +98,22 @@ def one_current(df: DataFrame, key: Sequence[str], flag: str = "est_actuel",
 def max_length(df: DataFrame, spec: Mapping[str, int], table: str = "",
                exact: Mapping[str, int] | None = None) -> DataFrame:
     """Q10: values longer than the declared VARCHAR length (and, for ``exact``,
-    values whose length differs — e.g. 64 for SHA-256 hex)."""
+    values whose length differs — e.g. 64 for SHA-256 hex).
+
+    One aggregate over the table for every column of the contract (a single scan),
+    one result row per column.
+    """
     exact = exact or {}
-    parts = []
-    for c, n in spec.items():
-        bad = df.agg(F.sum(F.when(F.length(F.col(c).cast("string")) > n, 1).otherwise(0))
-                      .alias("failures")).fillna(0)
-        parts.append(_result(bad, "max_length", table, c))
-    for c, n in exact.items():
-        bad = df.agg(F.sum(F.when(F.col(c).isNotNull() & (F.length(c) != n), 1).otherwise(0))
-                      .alias("failures")).fillna(0)
-        parts.append(_result(bad, "exact_length", table, c))
-    return reduce(DataFrame.unionByName, parts)
+    checks = [("max_length", c, F.length(F.col(c).cast("string")) > n) for c, n in spec.items()]
+    checks += [("exact_length", c, F.col(c).isNotNull() & (F.length(F.col(c).cast("string")) != n))
+               for c, n in exact.items()]
+    agg = df.agg(*[F.sum(F.when(cond, 1).otherwise(0)).alias(f"__f{i}") for i, (_, _, cond) in enumerate(checks)])
+    stacked = agg.select(F.explode(F.array(*[
+        F.struct(F.lit(name).alias("check_name"), F.lit(c).alias("column_name"),
+                 F.coalesce(F.col(f"__f{i}"), F.lit(0)).cast("bigint").alias("failures"))
+        for i, (name, c, _) in enumerate(checks)])).alias("r")).select("r.*")
+    return stacked.select("check_name", F.lit(table).alias("table_name"), "column_name", "failures",
+                          (F.col("failures") == 0).alias("passed"))
 
 
 def having(df: DataFrame, keys: Sequence[str], agg: Column, pred: Column) -> DataFrame:

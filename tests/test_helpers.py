@@ -62,3 +62,17 @@ def test_contract_and_widen(spark):
     v = sorted((r.column_name, r.failures) for r in contract_violations(df, spec, "t").collect())
     assert v == [("missing", -1), ("name", 1)]
     assert widen(df, {"k": "bigint"}).schema["k"].dataType.typeName() == "long"
+
+
+def test_length_contract_and_max_length_scan_the_table_once(spark):
+    from carelake.operators import quality
+    from conftest import SF001
+    c = spark.read.parquet(f"{SF001}/customer.parquet")
+    spec = [("c_name", "string", 17), ("c_mktsegment", "string", 5), ("c_acctbal", "string", 6), ("nope", "string", 3)]
+    for df in (contract_violations(c, spec, "customer"),
+               quality.max_length(c, {"c_name": 17, "c_mktsegment": 5, "c_acctbal": 6}, "customer",
+                                  exact={"c_mktsegment": 10})):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan parquet") == 1, plan
+    got = {r.column_name: r.failures for r in contract_violations(c, spec, "customer").collect()}
+    assert got["nope"] == -1 and set(got) == {"c_name", "c_mktsegment", "c_acctbal", "nope"}
