@@ -2,7 +2,8 @@
 
 Plain Parquet has no MERGE: every operation here is expressed as joins and
 unions that produce the complete new version of the table, which the caller
-writes to a new path (or overwrites only the touched partitions).
+writes to a new path (``sources.io.merge_version``: the next ``v=<n>`` folder,
+read once committed) or overwrites only the touched partitions.
 """
 
 from __future__ import annotations

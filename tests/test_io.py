@@ -109,3 +109,34 @@ def test_jdbc_list_tables(spark):
     q = "select tablename as table_name from sys.systables where tabletype = 'T'"
     names = sorted(r.TABLE_NAME for r in io.list_jdbc_tables(spark, url, DERBY, query=q).collect())
     assert names == ["SRC_A", "SRC_B"]
+
+
+def test_versioned_scd2_merge_reads_and_rewrites_the_same_table(spark, tmp_root):
+    import datetime as dt
+
+    from carelake.operators import history
+    snap1 = spark.createDataFrame([(1, "A"), (2, "B")], "k int, v string")
+    snap2 = spark.createDataFrame([(1, "A"), (2, "C"), (3, "D")], "k int, v string")
+    assert io.read_current(spark, tmp_root, "dwh", "dim_x") is None
+
+    def merge_with(snap, day):
+        def run(current):
+            if current is None:
+                return history.scd2_init(snap, day)
+            return history.scd2_merge(current, snap, ["k"], ["v"], day)
+        return run
+
+    p1 = io.merge_version(spark, tmp_root, "dwh", "dim_x", merge_with(snap1, dt.date(2024, 1, 1)))
+    p2 = io.merge_version(spark, tmp_root, "dwh", "dim_x", merge_with(snap2, dt.date(2025, 1, 1)))
+    assert p1.endswith("v=1") and p2.endswith("v=2")
+    cur = io.read_current(spark, tmp_root, "dwh", "dim_x")
+    rows = sorted((r.k, r.v, r.est_actuel) for r in cur.collect())
+    assert rows == [(1, "A", True), (2, "B", False), (2, "C", True), (3, "D", True)]
+    # an uncommitted attempt (no _SUCCESS marker) is never read and its number is skipped
+    broken = os.path.join(tmp_root, "dwh", "dim_x", "v=3")
+    snap1.write.parquet(broken)
+    os.remove(os.path.join(broken, "_SUCCESS"))
+    assert io.committed_versions(spark, tmp_root, "dwh", "dim_x") == [1, 2]
+    assert io.read_current(spark, tmp_root, "dwh", "dim_x").count() == 4
+    p4 = io.write_version(cur, tmp_root, "dwh", "dim_x")
+    assert p4.endswith("v=4") and io.committed_versions(spark, tmp_root, "dwh", "dim_x") == [1, 2, 4]
