@@ -14,14 +14,15 @@ which, planned literally, compares every needle with every dimension row.
 * a needle shorter than K is contained exactly when it equals a gram of its
   length: grams of length < K are reduced to ``min(sk)`` per (k, gram) before
   the join, so short needles never fan out and need no verification;
-* a longer needle equi-joins the haystack positions whose K-gram is its prefix;
+* a longer needle is keyed by its rarest K-gram among the haystacks (counts per
+  gram aggregated map-side) and equi-joins only the positions carrying it;
   ``contains`` verifies the full needle;
 * ``min(sk)`` per needle makes the ``limit 1`` deterministic (O04, T15);
 * columns are tried in priority order; only needles still unresolved
   (``left_anti``) go on to the next column; the rest get -1.
 
-Needles of length >= K fan out only to haystack positions that share their
-first K characters, and their ``min`` is aggregated map-side before the shuffle.
+Needles of length >= K fan out only to the haystack positions of their rarest
+K-gram, and their ``min`` is aggregated map-side before the shuffle.
 """
 
 from __future__ import annotations
@@ -63,15 +64,30 @@ def _first_containing(remaining: DataFrame, dim: DataFrame, sk: str, col: str, k
       ``short_ks``) are reduced to ``min(sk)`` per (k, gram) first (partial
       aggregation before the shuffle): one row per distinct gram, no fan-out however
       many haystacks share it, no verification.
-    * A longer needle joins the haystack positions whose ``k_max``-gram equals its
-      prefix and is verified with ``contains``; ``min(sk)`` per needle is aggregated
-      map-side, so a needle matching many haystacks does not gather them in one task.
+    * A longer needle is keyed by its rarest ``k_max``-gram (fewest haystack
+      positions; a gram found nowhere rules the needle out), joins only the
+      positions carrying that gram and is verified with ``contains``; ``min(sk)``
+      per needle is aggregated map-side, so a needle matching many haystacks does
+      not gather them in one task, and a common prefix shared by many needles and
+      haystacks does not turn into all pairs.
     """
     parts = []
     if has_long:
-        long = _grams(dim, sk, col, [k_max]).select("__g", "__sk", "__hay")
-        parts.append(remaining.where(F.col("__k") == k_max).select("__n", "__g")
-                     .join(long, "__g", "inner")
+        pos = _grams(dim, sk, col, [k_max]).select("__g", "__sk", "__hay")
+        # how many haystack positions carry each K-gram (partial counts before the shuffle)
+        freq = pos.groupBy("__g").agg(F.count(F.lit(1)).alias("__c"))
+        # every K-gram of every long needle; the needle is keyed by its rarest one, so it
+        # meets only the positions of that gram. A K-gram found in no haystack (count 0)
+        # proves the needle is contained nowhere: it is dropped before any fan-out.
+        ng = (remaining.where(F.col("__k") == k_max)
+              .select("__n", F.explode(F.sequence(F.lit(1), F.length("__n") - k_max + 1)).alias("__p"))
+              .select("__n", F.substring("__n", F.col("__p"), k_max).alias("__g")))
+        rarest = (ng.join(freq, "__g", "left")
+                  .groupBy("__n").agg(F.min(F.struct(F.coalesce(F.col("__c"), F.lit(0)).alias("c"),
+                                                     F.col("__g").alias("g"))).alias("__m"))
+                  .where(F.col("__m.c") > 0)
+                  .select("__n", F.col("__m.g").alias("__g")))
+        parts.append(rarest.join(pos, "__g", "inner")
                      .where(F.col("__hay").contains(F.col("__n")))
                      .groupBy("__n").agg(F.min("__sk").alias("__sk")))
     if short_ks:

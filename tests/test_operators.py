@@ -141,6 +141,19 @@ def test_containment_short_long_and_empty_needles_match_brute_force(spark):
     assert [(r.n, r.sk) for r in only_null.collect()] == [(None, -1)]
 
 
+def test_containment_long_needles_sharing_a_hot_prefix(spark):
+    # every needle and every haystack share the 8-gram "00000000": the needles are keyed by
+    # their rarest 8-gram instead, and the result still equals the LIKE definition
+    hay = [(i, f"Site 00000000{i:04d}") for i in range(1, 300)] + [(1000, "no code here")]
+    needles = [f"00000000{i:04d}" for i in range(250, 320)] + ["000000000000", "00000000"]
+    dim = spark.createDataFrame(hay, "sk bigint, a string")
+    got = {r.n: r.sk for r in containment_lookup(spark.createDataFrame([(n,) for n in needles], "n string"),
+                                                 "n", dim, ["a"], "sk").collect()}
+    for n in needles:
+        hits = [sk for sk, a in hay if n in a]
+        assert got[n] == (min(hits) if hits else -1), n
+
+
 # --- history ------------------------------------------------------------------------------------------
 
 def test_scd2_history_versions(spark):
