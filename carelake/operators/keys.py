@@ -85,6 +85,20 @@ def _order_tuple(df: DataFrame, order_cols: Sequence[str], tie_breakers: Sequenc
     return F.struct(*[p.alias(f"k{i}") for i, p in enumerate(parts)]), used
 
 
+def _bounded(tup: Column, schema: T.StructType, max_chars: int) -> Column:
+    """The key tuple with text and binary parts cut to ``max_chars``: what the
+    boundary sample sends to the driver. Any sorted list of tuples is a valid set of
+    range boundaries, so cut values keep the numbering exact while the sample's size
+    no longer depends on how long the table's strings are."""
+    parts = []
+    for f in schema.fields:
+        v = tup.getField(f.name)
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            v = F.substring(v, 1, max_chars)
+        parts.append(v.alias(f.name))
+    return F.struct(*parts)
+
+
 def _literal_struct(row, schema: T.StructType) -> Column:
     return F.struct(*[F.lit(row[i]).cast(f.dataType).alias(f.name)
                       for i, f in enumerate(schema.fields)])
@@ -115,7 +129,7 @@ def with_surrogate_key(df: DataFrame, name: str, order_cols: Sequence[str],
                        rows_per_range: int = 1_000_000, min_ranges: int | None = None,
                        max_ranges: int = 2048, oversample: int = 32, max_sample: int = 50_000,
                        single_range_max: int = 200_000, start: int = 1, n: int | None = None,
-                       materialize: bool = False) -> DataFrame:
+                       materialize: bool = False, sample_chars: int = 256) -> DataFrame:
     """Dense ``bigint`` key ``start..start+N-1`` following ``order_cols``.
 
     Equivalent to ``row_number() over (order by order_cols, tie_breakers)``
@@ -125,6 +139,11 @@ def with_surrogate_key(df: DataFrame, name: str, order_cols: Sequence[str],
     When the count proves the input has at most ``single_range_max`` rows, one
     range holds everything (a bounded single-task sort) and no sample is taken.
 
+    Sampled boundary tuples carry at most ``sample_chars`` characters per text
+    column, so the driver's share stays bounded whatever the row width. A hot group
+    is split only if its tuple survives that cut unchanged (text no longer than
+    ``sample_chars``); a longer one is numbered in one range, still exactly.
+
     The input is read up to four times (count, sample, range counts, numbering).
     ``materialize=True`` writes it once as Parquet to the shared checkpoint folder
     first, so an expensive input (a multi-way join building a fact) is computed
@@ -150,11 +169,13 @@ def with_surrogate_key(df: DataFrame, name: str, order_cols: Sequence[str],
     bounds: list = []
     heavy: set[int] = set()
     if m > 1:
-        # the driver receives about min(oversample * m, max_sample) key tuples
+        # the driver receives about min(oversample * m, max_sample) key tuples, each
+        # with text cut to sample_chars characters
         fraction = min(1.0, min(oversample * m, max_sample) * 1.5 / n)
-        # a few thousand key tuples at most; sorted here (the encoded tuples order
-        # the same way in Python as in Spark: flags, numbers, UTF-8 text)
-        sample = sorted(r[0] for r in base.select(_TUP).sample(False, fraction, seed=17).collect())
+        # sorted here (the encoded tuples order the same way in Python as in Spark:
+        # flags, numbers, UTF-8 text)
+        sampled = base.select(_bounded(F.col(_TUP), tup_schema, sample_chars).alias(_TUP))
+        sample = sorted(r[0] for r in sampled.sample(False, fraction, seed=17).collect())
         s = len(sample)
         if s:
             picks = [sample[min(s - 1, (j + 1) * s // m)] for j in range(m - 1)]

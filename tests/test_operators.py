@@ -88,6 +88,20 @@ def test_unknown_member_added_once(spark):
     assert sorted(r.sk_d for r in twice.collect()) == [-1, 1]
 
 
+def test_surrogate_key_with_long_text_ties_is_exact(spark):
+    # the order key ties often and the tie-breaking text shares a 300-character prefix,
+    # longer than what the boundary sample carries: numbering must still be the global order
+    base = "x" * 300
+    rows = [(i % 5, base + format(i * 7919 % 1000, "04d")) for i in range(3000)] + [(9, base + "z")] * 900
+    df = spark.createDataFrame(rows, "k int, t string").repartition(4)
+    keyed = with_surrogate_key(df, "sk", ["k"], single_range_max=0, min_ranges=16, sample_chars=256)
+    ref = df.withColumn("sk", F.row_number().over(Window.orderBy(F.col("k").asc_nulls_last(),
+                                                                  F.col("t").asc_nulls_last())))
+    got = sorted((r.k, r.t, r.sk) for r in keyed.collect())
+    exp = sorted((r.k, r.t, r.sk) for r in ref.collect())
+    assert got == exp
+
+
 # --- J08 -----------------------------------------------------------------------------------------
 
 def test_containment_cascade_fixture(spark):
