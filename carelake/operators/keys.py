@@ -33,6 +33,7 @@ _SLOT = "__sk_slot"
 _SALT = "__sk_salt"
 _TUP = "__sk_tuple"
 _OFF = "__sk_offset"
+_HASH = "__sk_hash"
 
 
 def _encode(field: T.StructField) -> list[Column] | None:
@@ -99,6 +100,16 @@ def _bounded(tup: Column, schema: T.StructType, max_chars: int) -> Column:
     return F.struct(*parts)
 
 
+def _uncut(tup, schema: T.StructType, max_chars: int) -> bool:
+    """True when no text or binary part of a sampled tuple can have been cut."""
+    return all(v is None or len(v) < max_chars
+               for v, f in zip(tup, schema.fields) if isinstance(f.dataType, (T.StringType, T.BinaryType)))
+
+
+def _hashable(tup) -> tuple:
+    return tuple(bytes(v) if isinstance(v, bytearray) else v for v in tup)
+
+
 def _literal_struct(row, schema: T.StructType) -> Column:
     return F.struct(*[F.lit(row[i]).cast(f.dataType).alias(f.name)
                       for i, f in enumerate(schema.fields)])
@@ -140,9 +151,10 @@ def with_surrogate_key(df: DataFrame, name: str, order_cols: Sequence[str],
     range holds everything (a bounded single-task sort) and no sample is taken.
 
     Sampled boundary tuples carry at most ``sample_chars`` characters per text
-    column, so the driver's share stays bounded whatever the row width. A hot group
-    is split only if its tuple survives that cut unchanged (text no longer than
-    ``sample_chars``); a longer one is numbered in one range, still exactly.
+    column, so the driver's share stays bounded whatever the row width. Hot groups
+    are found by a hash of the full tuple; for the few (at most one per range) whose
+    sampled text was cut, the exact tuple is fetched with one ``min`` per group, so
+    identical copies carrying long text are split as well.
 
     The input is read up to four times (count, sample, range counts, numbering).
     ``materialize=True`` writes it once as Parquet to the shared checkpoint folder
@@ -170,25 +182,36 @@ def with_surrogate_key(df: DataFrame, name: str, order_cols: Sequence[str],
     heavy: set[int] = set()
     if m > 1:
         # the driver receives about min(oversample * m, max_sample) key tuples, each
-        # with text cut to sample_chars characters
+        # with text cut to sample_chars characters, and the hash of the full tuple
         fraction = min(1.0, min(oversample * m, max_sample) * 1.5 / n)
+        full_hash = F.xxhash64(F.col(_TUP))
+        sampled = base.select(_bounded(F.col(_TUP), tup_schema, sample_chars).alias(_TUP),
+                              full_hash.alias(_HASH))
+        rows = sampled.sample(False, fraction, seed=17).collect()
         # sorted here (the encoded tuples order the same way in Python as in Spark:
         # flags, numbers, UTF-8 text)
-        sampled = base.select(_bounded(F.col(_TUP), tup_schema, sample_chars).alias(_TUP))
-        sample = sorted(r[0] for r in sampled.sample(False, fraction, seed=17).collect())
+        sample = sorted(r[0] for r in rows)
         s = len(sample)
         if s:
             picks = [sample[min(s - 1, (j + 1) * s // m)] for j in range(m - 1)]
-            for b in picks:
-                if not bounds or bounds[-1] != b:
-                    bounds.append(b)
-            counts: dict = {}
-            for r in sample:
-                counts[r] = counts.get(r, 0) + 1
+            # hot groups: full tuples holding at least 1/m of the sample (at most m)
             threshold = max(2, s / m)
-            for j, b in enumerate(bounds):
-                if counts.get(b, 0) >= threshold:
-                    heavy.add(2 * j + 1)
+            per_hash: dict = {}
+            for r in rows:
+                per_hash[r[1]] = per_hash.get(r[1], 0) + 1
+            hot = {r[1]: r[0] for r in rows if per_hash[r[1]] >= threshold}
+            exact = {h: t for h, t in hot.items() if _uncut(t, tup_schema, sample_chars)}
+            cut = sorted(h for h in hot if h not in exact)
+            if cut:
+                # the exact tuple of each hot group whose sampled text was cut: one row per
+                # group (min over the group's identical copies, or over a hash collision)
+                for r in (base.where(full_hash.isin(*cut)).groupBy(full_hash.alias(_HASH))
+                          .agg(F.min(_TUP).alias(_TUP)).collect()):
+                    exact[r[0]] = r[1]
+            hot_keys = {_hashable(t) for t in exact.values()}
+            merged = sorted({_hashable(b): b for b in list(picks) + list(exact.values())}.items())
+            bounds = [b for _, b in merged]
+            heavy = {2 * j + 1 for j, b in enumerate(bounds) if _hashable(b) in hot_keys}
 
     if not bounds:
         # one range (the count proved the input small): no offsets to add

@@ -90,7 +90,8 @@ def test_unknown_member_added_once(spark):
 
 def test_surrogate_key_with_long_text_ties_is_exact(spark):
     # the order key ties often and the tie-breaking text shares a 300-character prefix,
-    # longer than what the boundary sample carries: numbering must still be the global order
+    # longer than what the boundary sample carries: numbering must still be the global
+    # order, and the hot group of identical long rows must still be split
     base = "x" * 300
     rows = [(i % 5, base + format(i * 7919 % 1000, "04d")) for i in range(3000)] + [(9, base + "z")] * 900
     df = spark.createDataFrame(rows, "k int, t string").repartition(4)
@@ -100,6 +101,9 @@ def test_surrogate_key_with_long_text_ties_is_exact(spark):
     got = sorted((r.k, r.t, r.sk) for r in keyed.collect())
     exp = sorted((r.k, r.t, r.sk) for r in ref.collect())
     assert got == exp
+    # the 900 identical copies (text longer than the sampled 256 characters) were found
+    # hot and salted: the numbering reads the pinned salted rows
+    assert "ReadSchema: struct<__sk_slot:int,__sk_salt:bigint>" in plan_text(keyed)
 
 
 # --- J08 -----------------------------------------------------------------------------------------
