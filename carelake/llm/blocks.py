@@ -8,7 +8,9 @@ one row per bucket; the bucket combines what all blocks sent and answers each ro
 key order; the answers meet the block again.
 
 * A key that occurs a billion times reaches its bucket once per block, so no hot key gathers rows.
-* Blocks and buckets follow the size of the data (``plan_blocks``), so what one task holds is bounded.
+* Blocks and buckets follow the size of the data (``plan_blocks``), so what one task holds is bounded. A block sends at
+  most one row per bucket and never an empty one, so rows are at most keys; with much more data, larger blocks
+  (``BLOCK_BYTES``) and buckets (``BUCKET_KEYS``), as the executors' memory allows, keep rows long.
 * The text is dealt to blocks by one exchange that every later step of the same plan reuses.
 """
 
@@ -31,9 +33,9 @@ def plan_blocks(docs: DataFrame, text: str, block_bytes: int = BLOCK_BYTES) -> t
     """(blocks, bits) for a table's total text, with 2**bits buckets; one aggregate over the text column."""
     total = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`").cast("string")).cast("long"))).first()[0] or 0
     parts = shuffle_partitions(docs.sparkSession)
-    blocks = max(2 * parts, math.ceil(total / block_bytes))
+    blocks = max(parts, math.ceil(total / block_bytes))
     keys = total / 6  # about six bytes a word
-    return blocks, max(1, math.ceil(math.log2(max(parts, keys / BUCKET_KEYS))))
+    return blocks, max(1, math.floor(math.log2(parts)), math.ceil(math.log2(max(1.0, keys / BUCKET_KEYS))))
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -90,10 +92,14 @@ def in_slices(table: pa.Table, text: str = "text", size: int = 1 << 20):
 
 # --- keys: sorted distinct 64-bit hashes; a bucket is the range of keys with the same leading bits ----
 
-def bucket_cuts(sorted_keys: np.ndarray, bits: int, shift: int) -> np.ndarray:
-    """Where each of the 2**bits buckets begins in sorted keys (2**bits + 1 entries)."""
-    edges = np.arange(2**bits, dtype=np.uint64) << np.uint64(shift)
-    return np.concatenate([np.searchsorted(sorted_keys, edges), [len(sorted_keys)]])
+def bucket_cuts(sorted_keys: np.ndarray, shift: int) -> tuple[np.ndarray, np.ndarray]:
+    """(the buckets that sorted keys fall into, where each begins, and the end): bucket = key >> shift.
+    A block sends a row to these buckets alone, and gets one answer from each."""
+    if not len(sorted_keys):
+        return np.zeros(0, dtype=np.int64), np.zeros(1, dtype=np.int64)
+    bucket = sorted_keys >> np.uint64(shift)
+    first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+    return bucket[first].astype(np.int64), np.append(first, len(sorted_keys))
 
 
 def short_keys(hashes: np.ndarray, bits: int) -> np.ndarray:
@@ -122,7 +128,7 @@ def unpack_flags(blob: bytes, n: int) -> np.ndarray:
 
 
 def join_replies(replies: pa.Table) -> list[bytes]:
-    """One block's answers in bucket order (a block gets one from every bucket)."""
+    """One block's answers in bucket order."""
     order = np.argsort(np.asarray(replies.column("bucket")), kind="stable")
     payload = replies.column("payload").to_pylist()
     return [payload[i] for i in order]

@@ -78,8 +78,8 @@ class _Block:
         """Narrow the candidates by one level's answers."""
         starts, keys, index = self.ask(level)
         last = level == len(self.lengths) - 1
-        cuts = bucket_cuts(keys, self.bits, 64 - self.bits if last else 32)
-        flags = np.concatenate([unpack_flags(r, cuts[b + 1] - cuts[b]) for b, r in enumerate(replies)]) \
+        _, cuts = bucket_cuts(keys, 64 - self.bits if last else 32)
+        flags = np.concatenate([unpack_flags(r, n) for r, n in zip(replies, np.diff(cuts), strict=True)]) \
             if len(keys) else np.zeros(0, dtype=bool)
         docs = self.doc[self.row[starts]]
         smallest = self.smallest(starts, keys, index)
@@ -109,17 +109,17 @@ def _asker(lengths, bits, level):
         _apply(block, replies, level)
         starts, keys, index = block.ask(level)
         last = level == len(lengths) - 1
-        cuts = bucket_cuts(keys, bits, 64 - bits if last else 32)
+        present, cuts = bucket_cuts(keys, 64 - bits if last else 32)
         wide = np.uint16 if len(block.doc_ids) < 2**16 else np.uint32
         best = block.smallest(starts, keys, index).astype(wide) if last else None
         docs = block.doc_ids.tobytes() if last else b""
-        n = 2**bits
-        parts = [keys[cuts[b]:cuts[b + 1]] for b in range(n)]
+        n = len(present)
+        parts = [keys[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
         return pa.table({
-            "bucket": pa.array(range(n), pa.int32()), "block": pa.array([key[0].as_py()] * n, pa.int32()),
+            "bucket": pa.array(present, pa.int32()), "block": pa.array([key[0].as_py()] * n, pa.int32()),
             "level": pa.array([level] * n, pa.int32()),
             "keys": pa.array([(p.tobytes() if last else pack_short(p)) for p in parts], pa.binary()),
-            "mins": pa.array([best[cuts[b]:cuts[b + 1]].tobytes() if last else b"" for b in range(n)], pa.binary()),
+            "mins": pa.array([best[a:b].tobytes() if last else b"" for a, b in zip(cuts[:-1], cuts[1:])], pa.binary()),
             "docs": pa.array([docs] * n, pa.binary())})
     if level:
         return lambda key, table, replies: ask(key, table, replies)

@@ -97,13 +97,14 @@ class _Block:
     def bytes_of(self, chunk: int) -> bytes:
         return self.data[self.line_start[self.a[chunk]]:self.line_end[self.b[chunk] - 1]].tobytes()
 
-    def cuts(self, bits: int) -> np.ndarray:
-        return bucket_cuts(self.keys, bits, 64 - bits)
+    def parts(self, bits: int) -> list[tuple[int, int, int]]:
+        """(bucket, first key, end) of the buckets that hold keys of this block."""
+        present, cuts = bucket_cuts(self.keys, 64 - bits)
+        return list(zip(present.tolist(), cuts[:-1].tolist(), cuts[1:].tolist()))
 
     def mark_shared(self, replies: list[bytes], bits: int) -> None:
-        cuts = self.cuts(bits)
-        for b, r in enumerate(replies):
-            self.shared[cuts[b]:cuts[b + 1]] |= unpack_flags(r, cuts[b + 1] - cuts[b])
+        for (_, a, e), r in zip(self.parts(bits), replies, strict=True):
+            self.shared[a:e] |= unpack_flags(r, e - a)
 
     def firsts(self) -> dict[int, list[tuple[bytes, int]]]:
         """Of each shared key (by index): its distinct byte strings with the first chunk that has them."""
@@ -113,11 +114,15 @@ class _Block:
             out.setdefault(int(self.index[m]), {}).setdefault(self.bytes_of(chunk), chunk)
         return {k: list(v.items()) for k, v in out.items()}
 
+    def sent(self, bits: int) -> list[tuple[int, list]]:
+        """(bucket, its shared keys' byte strings with their first chunks) of the buckets that have any."""
+        firsts = self.firsts()
+        rows = [(b, [(k, x) for k in range(a, e) if k in firsts for x in firsts[k]]) for b, a, e in self.parts(bits)]
+        return [(b, items) for b, items in rows if items]
+
     def remove(self, replies: list[bytes], bits: int) -> None:
-        firsts, cuts = self.firsts(), self.cuts(bits)
         keep_first: dict[tuple[int, bytes], int] = {}
-        for b, r in enumerate(replies):
-            items = [(k, x) for k in range(cuts[b], cuts[b + 1]) if k in firsts for x in firsts[k]]
+        for (_, items), r in zip(self.sent(bits), replies, strict=True):
             for (k, (text, chunk)), earlier in zip(items, unpack_flags(r, len(items)).tolist()):
                 keep_first[k, text] = -1 if earlier else chunk
         for m in np.flatnonzero(self.shared[self.index]).tolist():
@@ -133,10 +138,10 @@ def _text_rank(table: pa.Table) -> np.ndarray:
     return np.asarray(pc.rank(table.column("text").combine_chunks(), tiebreaker="dense"), dtype=np.int64)
 
 
-def _rows(key, level: int, bits: int, keys, first=None, sizes=None, data=None) -> pa.Table:
-    n = 2**bits
+def _rows(key, level: int, buckets: list[int], keys, first=None, sizes=None, data=None) -> pa.Table:
+    n = len(buckets)
     none = [b""] * n
-    return pa.table({"bucket": pa.array(range(n), pa.int32()), "block": pa.array([key[0].as_py()] * n, pa.int32()),
+    return pa.table({"bucket": pa.array(buckets, pa.int32()), "block": pa.array([key[0].as_py()] * n, pa.int32()),
                      "level": pa.array([level] * n, pa.int32()), "keys": pa.array(keys, pa.binary()),
                      "first": pa.array(first or none, pa.binary()), "sizes": pa.array(sizes or none, pa.binary()),
                      "bytes": pa.array(data or none, pa.binary())})
@@ -149,8 +154,8 @@ def _replies(replies: pa.Table, level: int) -> list[bytes]:
 def _ask_hashes(bits, shape):
     def ask(key, table):
         block = _Block(table, *shape)
-        cuts = block.cuts(bits)
-        return _rows(key, 0, bits, [block.keys[cuts[b]:cuts[b + 1]].tobytes() for b in range(2**bits)])
+        parts = block.parts(bits)
+        return _rows(key, 0, [b for b, _, _ in parts], [block.keys[a:e].tobytes() for _, a, e in parts])
     return ask
 
 
@@ -158,17 +163,16 @@ def _ask_bytes(bits, shape):
     def ask(key, table, replies):
         block = _Block(table, *shape)
         block.mark_shared(_replies(replies, 0), bits)
-        firsts, cuts = block.firsts(), block.cuts(bits)
         keys, first, sizes, data = [], [], [], []
-        for b in range(2**bits):
-            items = [(k, x) for k in range(cuts[b], cuts[b + 1]) if k in firsts for x in firsts[k]]
-            keys.append(block.keys[[k for k, _ in items]].tobytes() if items else b"")
+        sent = block.sent(bits)
+        for _, items in sent:
+            keys.append(block.keys[[k for k, _ in items]].tobytes())
             # a place in the corpus: document id, then the line in the document
             first.append(np.array([[block.ids[block.row[c]], block.a[c] - block.bounds[block.row[c]]]
                                    for _, (_, c) in items], dtype=np.int64).tobytes())
             sizes.append(np.array([len(t) for _, (t, _) in items], dtype=np.int64).tobytes())
             data.append(b"".join(t for _, (t, _) in items))
-        return _rows(key, 1, bits, keys, first, sizes, data)
+        return _rows(key, 1, [b for b, _ in sent], keys, first, sizes, data)
     return ask
 
 

@@ -156,11 +156,11 @@ def _count(bits: int, most: int = 1 << 20):
 
         def rows():
             keys, counts = _merge_counts(parts)
-            cuts = bucket_cuts(keys, bits, 64 - bits)
-            full = [b for b in range(2**bits) if cuts[b] < cuts[b + 1]]
+            present, cuts = bucket_cuts(keys, 64 - bits)
+            parts_of = list(zip(cuts[:-1], cuts[1:]))
             return pa.RecordBatch.from_pydict({
-                "bucket": pa.array(full, pa.int32()), "keys": pa.array([keys[cuts[b]:cuts[b + 1]].tobytes() for b in full], pa.binary()),
-                "counts": pa.array([counts[cuts[b]:cuts[b + 1]].tobytes() for b in full], pa.binary())})
+                "bucket": pa.array(present, pa.int32()), "keys": pa.array([keys[a:b].tobytes() for a, b in parts_of], pa.binary()),
+                "counts": pa.array([counts[a:b].tobytes() for a, b in parts_of], pa.binary())})
 
         for batch in batches:
             for _, part in in_slices(pa.Table.from_batches([batch])):
@@ -296,9 +296,9 @@ def _block_tokens(table: pa.Table):
 def _ask(bits):
     def ask(key, table):
         _, _, keys = _block_tokens(table)
-        m, cuts = 2**bits, bucket_cuts(keys, bits, 64 - bits)
-        return pa.table({"bucket": pa.array(range(m), pa.int32()), "block": pa.array([key[0].as_py()] * m, pa.int32()),
-                         "keys": pa.array([keys[cuts[b]:cuts[b + 1]].tobytes() for b in range(m)], pa.binary())})
+        present, cuts = bucket_cuts(keys, 64 - bits)
+        return pa.table({"bucket": pa.array(present, pa.int32()), "block": pa.array([key[0].as_py()] * len(present), pa.int32()),
+                         "keys": pa.array([keys[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])], pa.binary())})
     return ask
 
 

@@ -174,7 +174,7 @@ class _Block:
         short = short_keys(self.full, bits)
         self.keys, self.index, counts = np.unique(short, return_inverse=True, return_counts=True)
         self.counts = counts.astype(np.uint32)
-        self.cuts = bucket_cuts(self.keys, bits, 32)
+        self.present, self.cuts = bucket_cuts(self.keys, 32)
 
 
 def _chosen(right: pa.Table) -> set[int]:
@@ -184,12 +184,11 @@ def _chosen(right: pa.Table) -> set[int]:
 def _ask(n, measure, bits):
     def ask(key, texts: pa.Table, reps: pa.Table) -> pa.Table:
         block = _Block(texts, _chosen(reps), n, measure, bits)
-        m, cuts = 2**bits, block.cuts
+        parts = list(zip(block.cuts[:-1], block.cuts[1:]))
         return pa.table({
-            "bucket": pa.array(range(m), pa.int32()), "block": pa.array([key[0].as_py()] * m, pa.int32()),
-            "keys": pa.array([pack_short(block.keys[cuts[b]:cuts[b + 1]]) for b in range(m)], pa.binary()),
-            "counts": pa.array([np.minimum(block.counts[cuts[b]:cuts[b + 1]], 2**16 - 1).astype(np.uint16).tobytes()
-                                for b in range(m)], pa.binary())})
+            "bucket": pa.array(block.present, pa.int32()), "block": pa.array([key[0].as_py()] * len(parts), pa.int32()),
+            "keys": pa.array([pack_short(block.keys[a:b]) for a, b in parts], pa.binary()),
+            "counts": pa.array([np.minimum(block.counts[a:b], 2**16 - 1).astype(np.uint16).tobytes() for a, b in parts], pa.binary())})
     return ask
 
 

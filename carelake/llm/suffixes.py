@@ -67,14 +67,14 @@ class _Block:
         np.minimum.at(low, self.index, self.doc)
         np.maximum.at(high, self.index, self.doc)
         self.inside = high > low
-        self.cuts = bucket_cuts(self.keys, bits, 32)
+        self.present, self.cuts = bucket_cuts(self.keys, 32)
 
 
 def _ask(n, k, bits):
     def ask(key, table):
-        block, m = _Block(table, n, k, bits), 2**bits
-        return pa.table({"bucket": pa.array(range(m), pa.int32()), "block": pa.array([key[0].as_py()] * m, pa.int32()),
-                         "keys": pa.array([pack_short(block.keys[block.cuts[b]:block.cuts[b + 1]]) for b in range(m)], pa.binary())})
+        block = _Block(table, n, k, bits)
+        return pa.table({"bucket": pa.array(block.present, pa.int32()), "block": pa.array([key[0].as_py()] * len(block.present), pa.int32()),
+                         "keys": pa.array([pack_short(block.keys[a:b]) for a, b in zip(block.cuts[:-1], block.cuts[1:])], pa.binary())})
     return ask
 
 
@@ -99,8 +99,8 @@ def _suffixes(n, k, bits):
     def suffixes(key, table, replies):
         block = _Block(table, n, k, bits)
         flags = block.inside.copy()
-        for b, r in enumerate(join_replies(replies)):
-            flags[block.cuts[b]:block.cuts[b + 1]] |= unpack_flags(r, block.cuts[b + 1] - block.cuts[b])
+        for a, b, r in zip(block.cuts[:-1], block.cuts[1:], join_replies(replies), strict=True):
+            flags[a:b] |= unpack_flags(r, b - a)
         kept = np.flatnonzero(flags[block.index]) if len(block.index) else np.zeros(0, np.int64)
         words = block.words
         first, last = words.bounds[:-1][block.row[kept]], words.bounds[1:][block.row[kept]]
