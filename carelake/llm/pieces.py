@@ -36,7 +36,7 @@ from carelake.llm.words import _powers, mix, ragged, text_buffers
 SPACE = 0x2581
 _LITERAL = 0x110000  # stands for a U+2581 of the text itself: beyond Unicode, so no piece holds it
 _BASE = 0xA0761D6478BD642F
-MAX_NODES = 2_000_000  # lattice characters one worker keeps
+MAX_NODES = 4_000_000  # lattice characters one worker keeps
 
 
 class Vocabulary:
@@ -103,6 +103,22 @@ class _Points:
         return mix((self.total[starts + length] - self.total[starts]) * self.inverse[starts] + np.uint64(0) + np.asarray(length, dtype=np.uint64), seed=52)
 
 
+class _Rows:
+    """An array that grows at its end."""
+
+    def __init__(self, dtype, first=()):
+        self.all, self.n = np.zeros(1024, dtype=dtype), 0
+        self.append(np.array(first, dtype=dtype))
+
+    def append(self, rows: np.ndarray) -> None:
+        if self.n + len(rows) > len(self.all):
+            grown = np.empty(max(int(1.5 * len(self.all)), self.n + len(rows)), dtype=self.all.dtype)
+            grown[:self.n] = self.all[:self.n]
+            self.all = grown
+        self.all[self.n:self.n + len(rows)] = rows
+        self.n += len(rows)
+
+
 class Lattices:
     """Filtered lattices of distinct chunks. Node = place after a character; its edges are the pieces that end there, with
     the probability, cumulated, that backward sampling takes each (likelier pieces first)."""
@@ -113,8 +129,10 @@ class Lattices:
 
     def clear(self):
         self.keys, self.node = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.first = np.zeros(1, np.int64)  # edges of node i: first[i]:first[i + 1]
-        self.cum, self.length, self.id = np.zeros(0), np.zeros(0, np.int16), np.zeros(0, np.int32)
+        self._first = _Rows(np.int64, [0])  # edges of node i: first[i]:first[i + 1]
+        self._cum, self._length, self._id = _Rows(np.float32), _Rows(np.int16), _Rows(np.int32)
+
+    first, cum, length, id = (property(lambda self, c=c: getattr(self, c).all) for c in ("_first", "_cum", "_length", "_id"))
 
     def find(self, keys) -> np.ndarray:
         """The node of each chunk's first character, -1 if it is not here."""
@@ -125,9 +143,9 @@ class Lattices:
 
     def add(self, keys, points: np.ndarray, sizes: np.ndarray) -> None:
         """Filter the chunks (all their code points, one after another)."""
-        if len(self.first) + len(points) > MAX_NODES:
+        if self._first.n + len(points) > MAX_NODES:
             self.clear()
-        base = len(self.first) - 1
+        base = self._first.n - 1
         at = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
         lo = 0
         while lo < len(sizes):  # a bounded piece of the dense edge table at a time
@@ -136,9 +154,8 @@ class Lattices:
             b = int(at[hi - 1] + sizes[hi - 1])
             self._filter(points[a:b], sizes[lo:hi])
             lo = hi
-        keys, node = np.concatenate([self.keys, keys]), np.concatenate([self.node, base + at])
-        order = np.argsort(keys)
-        self.keys, self.node = keys[order], node[order]
+        place = np.searchsorted(self.keys, keys)  # both are sorted
+        self.keys, self.node = np.insert(self.keys, place, keys), np.insert(self.node, place, base + at)
 
     def _filter(self, points, sizes) -> None:
         v, n = self.v, len(points)
@@ -182,10 +199,10 @@ class Lattices:
         cum = np.cumsum(p, axis=1)
         cum /= cum[:, -1:]
         cum[np.arange(n), count - 1] = 1.0
-        self.cum = np.concatenate([self.cum, cum[real]])
-        self.length = np.concatenate([self.length, (rank[real] + 1).astype(np.int16)])
-        self.id = np.concatenate([self.id, np.take_along_axis(ids.T, rank, axis=1)[real]])
-        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(count)])
+        self._cum.append(cum[real])
+        self._length.append(rank[real] + 1)
+        self._id.append(np.take_along_axis(ids.T, rank, axis=1)[real])
+        self._first.append(self._first.all[self._first.n - 1] + np.cumsum(count))
 
 
 _WORKER: dict[tuple, Lattices] = {}
@@ -314,7 +331,7 @@ def row_keys(column) -> np.ndarray:
 def _encoder(path, alpha, seed):
     def run(batches):
         for batch in batches:
-            for _, part in in_slices(pa.Table.from_batches([batch])):
+            for _, part in in_slices(pa.Table.from_batches([batch]), size=2 << 20):
                 ids, bounds = encode(part.column("text"), row_keys(part.column("key")), path, alpha, seed)
                 lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_pydict({"key": part.column("key").combine_chunks(), "ids": lists})
@@ -346,7 +363,7 @@ def decode_pieces(encoded: DataFrame, model: str) -> DataFrame:
 def _digester(path, alpha, seed):
     def run(batches):
         for batch in batches:
-            for _, part in in_slices(pa.Table.from_batches([batch])):
+            for _, part in in_slices(pa.Table.from_batches([batch]), size=2 << 20):
                 ids, bounds = encode(part.column("text"), row_keys(part.column("key")), path, alpha, seed)
                 back = decode(ids, bounds, path, alpha)
                 offsets, data = text_buffers(part.column("text"))
