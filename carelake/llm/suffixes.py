@@ -12,9 +12,11 @@ right and to the left of the selected word, word by word. A match of n words or
 both documents. Matches of one document that overlap or touch are merged, so longer passages come out
 whole: every n-word window inside one has its own selected place.
 
-Words are compared by 24-bit hashes; a match takes n of them (50 words: 1200 bits). A suffix meets its two sorted
-neighbours only, so a partner with a longer right and a shorter left agreement can stand between two documents at one
-place; every other selected place of the passage is a chance more. Tests measure recall against all windows.
+The suffixes are sorted twice, by what follows and by what precedes the selected word, and neighbours are compared in both
+orders. Words are compared by 24-bit hashes; a match takes n of them (50 words: 1200 bits), so what is reported is
+a repeat. A suffix meets its sorted neighbours only: among many near copies a partner with less agreement on either side but
+more in sum can be missed at one place, and every other selected place of the passage is a chance more. Tests hold the
+spans against all windows: nothing but repeats, and nearly all their words.
 
 Defined cases: null text holds no words; documents of fewer than n words, and empty tables, give nothing; rows with
 the same id are one document, which does not repeat itself; a null id is reported as null.
@@ -221,15 +223,17 @@ def repeated_passages(docs: DataFrame, n: int = 50, k: int = 8, id_col: str = "d
               .groupBy("bucket").applyInArrow(_shared, "bucket int, block int, payload binary"))
     kept = pin(grouped.cogroup(shared.groupBy("block")).applyInArrow(
         _suffixes(n, k, bits), "right binary, left binary, doc_id long, block int, place long, after long"), "suffixes")
-    order = ["right", "left", "doc_id", "place"]
     ranges = 2 * shuffle_partitions(docs.sparkSession)
-    ranged = kept.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
-    found = ranged.withColumn("range", F.spark_partition_id()).mapInArrow(_edges_and_matches(n), _OUT)
-    found = pin(found, "matches")
-    # the ends of the ranges: a few rows a range, compared in one small task
-    ends = found.where("is_end").select(*_FIELDS, "range").repartition(1).sortWithinPartitions("range", *order)
-    matches = (found.where("not is_end").select("doc_id", "block", "first", "end", "other")
-               .unionByName(ends.drop("range").mapInArrow(_neighbours(n), _MATCH)))
+    parts = []
+    # in the order of what follows, neighbours agree furthest to the right; in the order of what precedes, to the left
+    for order in (["right", "left", "doc_id", "place"], ["left", "right", "doc_id", "place"]):
+        ranged = kept.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+        found = pin(ranged.withColumn("range", F.spark_partition_id()).mapInArrow(_edges_and_matches(n), _OUT), "matches")
+        # the ends of the ranges: a few rows a range, compared in one small task
+        ends = found.where("is_end").select(*_FIELDS, "range").repartition(1).sortWithinPartitions("range", *order)
+        parts += [found.where("not is_end").select("doc_id", "block", "first", "end", "other"),
+                  ends.drop("range").mapInArrow(_neighbours(n), _MATCH)]
+    matches = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
     return matches.groupBy("block").applyInArrow(_merge, "doc_id long, start_word long, n_words long, other_doc_id long")
 
 
