@@ -95,12 +95,17 @@ class Model:
             hashes = mix(hashes + (coarse.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15), seed=87)
         return (hashes % np.uint64(ROWS)).astype(np.int64) + np.arange(TEMPLATES)[:, None] * ROWS
 
-    def log_p(self, factor: int, rows: np.ndarray, coarse: np.ndarray | None = None) -> np.ndarray:
-        """Log probabilities (tokens, classes) of one factor."""
+    def p(self, factor: int, rows: np.ndarray, coarse: np.ndarray | None = None) -> np.ndarray:
+        """Probabilities (tokens, classes) of one factor."""
         w = self.w[factor]
-        z = w[rows[0]] + w[rows[1]] + w[rows[2]] + (self.bias1 if coarse is None else self.bias2[coarse])
+        z = w[rows[0]]
+        z += w[rows[1]]
+        z += w[rows[2]]
+        z += self.bias1 if coarse is None else self.bias2[coarse]
         z -= z.max(axis=1, keepdims=True)
-        return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+        np.exp(z, out=z)
+        z /= z.sum(axis=1, keepdims=True)
+        return z
 
     def class_log_p(self, hashes: np.ndarray, cls: np.ndarray) -> np.ndarray:
         """Natural log probability of every token's class given its history."""
@@ -108,9 +113,9 @@ class Model:
         for a in range(0, len(cls), BATCH):
             h, c = hashes[:, a:a + BATCH], cls[a:a + BATCH]
             coarse, fine, i = c % COARSE, c // COARSE, np.arange(len(c))
-            out[a:a + BATCH] = self.log_p(0, self.rows(h))[i, coarse].astype(np.float64)
-            out[a:a + BATCH] += self.log_p(1, self.rows(h, coarse), coarse)[i, fine]
-        return out
+            out[a:a + BATCH] = np.log(self.p(0, self.rows(h))[i, coarse].astype(np.float64))
+            out[a:a + BATCH] += np.log(self.p(1, self.rows(h, coarse), coarse)[i, fine].astype(np.float64))
+        return np.maximum(out, -200.0)  # beyond the range of single precision
 
 
 class Trainer(Model):
@@ -125,10 +130,10 @@ class Trainer(Model):
     def update(self, hashes: np.ndarray, cls: np.ndarray) -> None:
         coarse, fine = cls % COARSE, cls // COARSE
         for factor, rows, target, given in ((0, self.rows(hashes), coarse, None), (1, self.rows(hashes, coarse), fine, coarse)):
-            grad = np.exp(self.log_p(factor, rows, given))
+            grad = self.p(factor, rows, given)
             grad[np.arange(len(target)), target] -= 1
             for t in range(TEMPLATES):
-                order = np.argsort(rows[t], kind="stable")
+                order = np.argsort((rows[t] - t * ROWS).astype(np.uint16), kind="stable")  # a radix sort
                 sorted_rows = rows[t][order]
                 first = np.flatnonzero(np.concatenate([[True], sorted_rows[1:] != sorted_rows[:-1]]))
                 g = np.add.reduceat(grad[order], first, axis=0)

@@ -16,7 +16,7 @@ import pyarrow as pa
 
 from carelake.llm.words import _WS, ragged, span_hashes, text_buffers
 
-MAX_CACHED = 400_000  # chunks kept by one worker
+MAX_CACHED = 1_500_000  # chunks kept by one worker
 
 
 def chunk_spans(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -60,10 +60,9 @@ class _Cache:
             self.clear()
         flat, size = self.encode(chunks)
         at = len(self.ids) + np.concatenate([[0], np.cumsum(size)[:-1]]).astype(np.int64)
-        keys = np.concatenate([self.keys, keys])
-        order = np.argsort(keys)
-        self.keys, self.at = keys[order], np.concatenate([self.at, at])[order]
-        self.size, self.ids = np.concatenate([self.size, size])[order], np.concatenate([self.ids, flat])
+        place = np.searchsorted(self.keys, keys)  # both are sorted
+        self.keys, self.at = np.insert(self.keys, place, keys), np.insert(self.at, place, at)
+        self.size, self.ids = np.insert(self.size, place, size), np.concatenate([self.ids, flat])
 
     def find(self, keys) -> np.ndarray:
         """Position of each key, -1 where it is missing."""
