@@ -64,7 +64,8 @@ def scd2_merge(current: DataFrame, incoming: DataFrame, key: Sequence[str],
     * a current row whose attributes changed is closed at ``as_of - 1`` and a new
       current version is added;
     * unseen keys are inserted as version 1; unchanged keys keep their row.
-    Both sides meet in one full outer join on the key (current rows only).
+    Both sides meet in one full outer join on the key (current rows only); NULL key parts
+    are equal to each other, so a current row never falls out of the result.
     """
     as_of_d = F.lit(as_of).cast("date")
     if HASH not in current.columns:
@@ -76,40 +77,28 @@ def scd2_merge(current: DataFrame, incoming: DataFrame, key: Sequence[str],
     open_ = current.where(F.col(CURRENT))
     inc = incoming.withColumn(HASH, attribute_hash(attrs))
 
-    o = open_.alias("o")
-    i = inc.alias("i")
-    cond = [F.col(f"o.{k}") == F.col(f"i.{k}") for k in key]
-    j = o.join(i, cond, "full_outer")
-    o_present = F.col(f"o.{key[0]}").isNotNull()
-    i_present = F.col(f"i.{key[0]}").isNotNull()
-    changed = o_present & i_present & (F.col(f"o.{HASH}") != F.col(f"i.{HASH}"))
-
-    kept = j.where(o_present & ~changed).select(*[F.col(f"o.{c}").alias(c) for c in cols])
-    expired = j.where(changed).select(
-        *[(F.date_sub(as_of_d, 1) if c == TO else F.lit(False) if c == CURRENT
-           else F.col(f"o.{c}")).alias(c) for c in cols])
-
-    def new_version(version: F.Column) -> list:
-        out = []
-        for c in cols:
-            if c == FROM:
-                out.append(as_of_d.alias(c))
-            elif c == TO:
-                out.append(F.lit(None).cast("date").alias(c))
-            elif c == CURRENT:
-                out.append(F.lit(True).alias(c))
-            elif c == VERSION:
-                out.append(version.alias(c))
-            elif c in inc.columns:
-                out.append(F.col(f"i.{c}").alias(c))
-            else:
-                out.append(F.lit(None).cast(current.schema[c].dataType).alias(c))
-        return out
-
-    reopened = j.where(changed).select(*new_version(F.col(f"o.{VERSION}") + 1))
-    inserted = j.where(~o_present & i_present).select(*new_version(F.lit(1)))
-    return (closed.unionByName(kept).unionByName(expired)
-            .unionByName(reopened).unionByName(inserted))
+    o = open_.withColumn("__old", F.lit(True)).alias("o")
+    i = inc.withColumn("__new", F.lit(True)).alias("i")
+    # NULL key parts match each other; presence is told by the side's own mark, never by a key
+    match = F.lit(True)
+    for k in key:
+        match = match & F.col(f"o.{k}").eqNullSafe(F.col(f"i.{k}"))
+    old, new = F.col("o.__old").isNotNull(), F.col("i.__new").isNotNull()
+    changed = old & new & (F.col(f"o.{HASH}") != F.col(f"i.{HASH}"))
+    types = {f.name: f.dataType for f in current.schema.fields}
+
+    def existing(closing: bool) -> F.Column:
+        return F.struct(*[(F.date_sub(as_of_d, 1) if closing and c == TO else F.lit(False) if closing and c == CURRENT
+                           else F.col(f"o.{c}")).cast(types[c]).alias(c) for c in cols])
+
+    fixed = {FROM: as_of_d, TO: F.lit(None), CURRENT: F.lit(True), VERSION: F.coalesce(F.col(f"o.{VERSION}"), F.lit(0)) + 1}
+    version = F.struct(*[(fixed[c] if c in fixed else F.col(f"i.{c}") if c in inc.columns else F.lit(None))
+                         .cast(types[c]).alias(c) for c in cols])
+    # one join; each joined row gives the versions that follow from it
+    out = (F.when(changed, F.array(existing(True), version))
+           .when(old, F.array(existing(False))).otherwise(F.array(version)))
+    merged = o.join(i, match, "full_outer").select(F.explode(out).alias("v")).select("v.*")
+    return closed.unionByName(merged)
 
 
 def upsert(target: DataFrame, source: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -29,10 +29,10 @@ from carelake.session import scratch_path
 
 def _existing_keys(spark: SparkSession, target: str, key: Sequence[str], part_col: str | None,
                    batch: DataFrame) -> DataFrame | None:
-    try:
-        tgt = spark.read.parquet(target)
-    except Exception:  # no target yet: nothing exists
-        return None
+    path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return None  # no target yet; any failure to read an existing one is an error
+    tgt = spark.read.parquet(target)
     if part_col:
         days = batch.select(part_col).distinct()  # the partitions this batch touches
         tgt = tgt.join(F.broadcast(days), part_col, "left_semi")

@@ -303,3 +303,24 @@ def test_stay_mart_grains_read_pruned_columns_and_base_shuffles_once(spark):
     wide = [b for b in blocks if b.strip().split("\n")[0].endswith("Exchange")
             and "libelle_diagnostic" in b and "hashpartitioning" in b]
     assert len(wide) == 2, wide
+
+
+def test_scd2_merge_keeps_null_keys_in_one_join(spark):
+    from carelake.operators.history import scd2_init, scd2_merge
+    base = spark.createDataFrame([(None, "y", "b"), ("a", None, "c"), ("k", "z", "d")], "k1 string, k2 string, v string")
+    cur = scd2_init(base, "2020-01-01")
+    out = scd2_merge(cur, spark.createDataFrame([("a", None, "changed"), ("n", "n", "new")], base.schema), ["k1", "k2"], ["v"], "2021-01-01")
+    rows = {(r.k1, r.k2, r.v) for r in out.collect()}
+    assert rows == {(None, "y", "b"), ("a", None, "c"), ("a", None, "changed"), ("k", "z", "d"), ("n", "n", "new")}
+    assert out.count() == 5
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join FullOuter") == 1
+
+
+def test_write_layer_keeps_other_partitions_in_a_plain_session(spark, tmp_root):
+    from carelake.sources.io import write_layer
+    spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    df = spark.createDataFrame([(1, 2020), (2, 2021)], "a int, y int")
+    path = write_layer(df, tmp_root, "l", "t", ["y"])
+    write_layer(df.where("y = 2021").withColumn("a", df.a * 10), tmp_root, "l", "t", ["y"])
+    assert {tuple(r) for r in spark.read.parquet(path).collect()} == {(1, 2020), (20, 2021)}
