@@ -2,8 +2,8 @@
 
 A text is cut into chunks at places where the tokenizer cuts as well, so that ids of chunks, joined, are
 the ids of the text: before an ASCII white-space byte that follows an ASCII byte which is not white
-space. No pre-tokenizer pattern of the supported files looks across such a place, and special tokens
-hold no white space. Words follow Zipf's law, so a batch has far fewer distinct chunks than chunks, and
+space, and before one of ``.,;:!?`` that follows an ASCII letter. No pre-tokenizer pattern of the supported
+files looks across such a place, and their special tokens hold none. Words follow Zipf's law, so a batch has far fewer distinct chunks than chunks, and
 a bounded cache per Python worker keeps the encoded ones.
 """
 
@@ -16,6 +16,10 @@ import pyarrow as pa
 
 from carelake.llm.words import _WS, ragged, span_hashes, text_buffers
 
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_MARK = np.zeros(256, dtype=bool)
+_MARK[list(b".,;:!?")] = True
 MAX_CACHED = 1_500_000  # chunks kept by one worker
 
 
@@ -25,7 +29,7 @@ def chunk_spans(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.n
         z = np.zeros(0, dtype=np.int64)
         return z, z, np.zeros(len(offsets), dtype=np.int64)
     cut = np.zeros(len(data), dtype=bool)
-    cut[1:] = _WS[data[1:]] & ~_WS[data[:-1]] & (data[:-1] < 128)
+    cut[1:] = (_WS[data[1:]] & ~_WS[data[:-1]] & (data[:-1] < 128)) | (_MARK[data[1:]] & _LETTER[data[:-1]])
     filled = offsets[:-1] < offsets[1:]
     cut[offsets[:-1][filled]] = True
     starts = np.flatnonzero(cut)
