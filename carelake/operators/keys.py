@@ -2,247 +2,91 @@
 
 D01 ``with_surrogate_key`` replaces the reference's global
 ``row_number() over (order by key)``: planned naively that sorts every row in
-one task (``Exchange SinglePartition``). Here the key space is cut into ranges
-from a small sample, each row is numbered inside its range by a partitioned
-window, and a broadcast table of range offsets (one row per range) turns local
-numbers into the global dense 1..N sequence.
+one task (``Exchange SinglePartition``). Here Spark's range partitioner deals
+the rows to sorted ranges, each task numbers its own range while storing it, and
+a table of range sizes (one row per range) turns local numbers into the global
+dense 1..N sequence. There is one code path for every input size.
 
-* Range boundaries are literals in the plan, so re-running a task after an
-  executor loss assigns rows to the same range (no re-sampling at run time).
 * The order is made total with tie-breaker columns, so numbers are reproducible.
-* Every sampled boundary gets its own "equality" range. A tuple that holds a
-  large share of the rows (a hot key, or many identical copies) therefore sits
-  alone in its range, which is additionally split into salt sub-ranges. Rows in
-  such a range are identical in every ordering column, so any numbering among
-  them is equivalent; the salted input is stored first (Parquet in the shared
-  checkpoint folder) so that counting and numbering see the same salt.
+* Rows equal in every ordering column (a hot key, many identical copies) are told
+  apart by a salt, the last ordering column, so they spread over ranges like any
+  others; which of them gets which number does not matter.
+* The salt is stored with the input before the rows are dealt, and the dealt ranges
+  are stored before they are counted: a task that runs again after a lost executor
+  reads the same salts, and counting and numbering see the same ranges.
 """
 
 from __future__ import annotations
 
-import math
 from typing import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from carelake.session import pin
+from carelake.session import remove, store
 
-_SLOT = "__sk_slot"
 _SALT = "__sk_salt"
-_TUP = "__sk_tuple"
+_RANGE = "__sk_range"
+_LOCAL = "__sk_local"
 _OFF = "__sk_offset"
-_HASH = "__sk_hash"
+_ROW_BITS = 33  # monotonically_increasing_id: partition number above, row number in these bits
 
 
-def _encode(field: T.StructField) -> list[Column] | None:
-    """Order-preserving, literal-friendly encoding of one key column.
+def _orderable(t: T.DataType) -> bool:
+    if isinstance(t, T.StructType):
+        return all(_orderable(f.dataType) for f in t.fields)
+    if isinstance(t, T.ArrayType):
+        return _orderable(t.elementType)
+    return not isinstance(t, (T.MapType, T.VariantType))
 
-    Returns [is_null, value] so that ascending struct order puts NULLs last
-    (the reference's default, T14). None for types without an ordering.
-    """
-    c = F.col(f"`{field.name}`")
-    t = field.dataType
-    if isinstance(t, (T.MapType, T.VariantType)):
-        return None
-    if isinstance(t, T.DateType):
-        v = F.unix_date(c)
-    elif isinstance(t, T.TimestampType):
-        v = F.unix_micros(c)
-    elif isinstance(t, T.TimestampNTZType):
-        v = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    elif isinstance(t, (T.ArrayType, T.StructType)):
-        v = F.to_json(c)
-    else:
-        v = c
-    return [c.isNull(), v]
-
-
-def _order_tuple(df: DataFrame, order_cols: Sequence[str], tie_breakers: Sequence[str] | None,
-                 descending: Sequence[str] = ()) -> tuple[Column, list[str]]:
-    fields = {f.name: f for f in df.schema.fields}
+
+def _sort_columns(df: DataFrame, order_cols: Sequence[str], tie_breakers: Sequence[str] | None,
+                  descending: Sequence[str]) -> list[Column]:
+    """Ordering columns, then tie-breakers, NULLs last in either direction (the reference's
+    default, T14). Types without an ordering of their own break ties by a hash."""
     if tie_breakers is None:
         tie_breakers = [n for n in df.columns if n not in order_cols]
-    parts: list[Column] = []
-    unorderable: list[str] = []
-    used: list[str] = []
-    for name in list(order_cols) + list(tie_breakers):
-        enc = _encode(fields[name])
-        if enc is None:
-            unorderable.append(name)
-            continue
-        is_null, v = enc
-        if name in descending:
-            # DESC NULLS LAST: nulls still last, values reversed
-            if isinstance(fields[name].dataType, T.NumericType):
-                v = -v
-            else:
-                raise ValueError(f"descending order only for numeric keys: {name}")
-        parts += [is_null, v]
-        used.append(name)
-    if unorderable:
-        parts.append(F.xxhash64(*[F.to_json(F.col(f"`{n}`")) for n in unorderable]))
-    return F.struct(*[p.alias(f"k{i}") for i, p in enumerate(parts)]), used
-
-
-def _bounded(tup: Column, schema: T.StructType, max_chars: int) -> Column:
-    """The key tuple with text and binary parts cut to ``max_chars``: what the
-    boundary sample sends to the driver. Any sorted list of tuples is a valid set of
-    range boundaries, so cut values keep the numbering exact while the sample's size
-    no longer depends on how long the table's strings are."""
-    parts = []
-    for f in schema.fields:
-        v = tup.getField(f.name)
-        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            v = F.substring(v, 1, max_chars)
-        parts.append(v.alias(f.name))
-    return F.struct(*parts)
-
-
-def _uncut(tup, schema: T.StructType, max_chars: int) -> bool:
-    """True when no text or binary part of a sampled tuple can have been cut."""
-    return all(v is None or len(v) < max_chars
-               for v, f in zip(tup, schema.fields) if isinstance(f.dataType, (T.StringType, T.BinaryType)))
-
-
-def _hashable(tup) -> tuple:
-    return tuple(bytes(v) if isinstance(v, bytearray) else v for v in tup)
-
-
-def _literal_struct(row, schema: T.StructType) -> Column:
-    return F.struct(*[F.lit(row[i]).cast(f.dataType).alias(f.name)
-                      for i, f in enumerate(schema.fields)])
-
-
-def _slot_expr(tup: Column, bounds: list, schema: T.StructType) -> Column:
-    """Binary search over sorted distinct boundaries.
-
-    slot 2j   : bounds[j-1] < t < bounds[j]
-    slot 2j+1 : t == bounds[j]
-    """
-    lits = [_literal_struct(b, schema) for b in bounds]
-
-    def search(lo: int, hi: int) -> Column:
-        if lo >= hi:
-            return F.lit(2 * lo)
-        mid = (lo + hi) // 2
-        return (F.when(tup < lits[mid], search(lo, mid))
-                 .when(tup == lits[mid], F.lit(2 * mid + 1))
-                 .otherwise(search(mid + 1, hi)))
-
-    return search(0, len(lits))
+    out = []
+    for name in [*order_cols, *tie_breakers]:
+        c = F.col(f"`{name}`")
+        if not _orderable(df.schema[name].dataType):
+            c = F.xxhash64(F.to_json(F.struct(c)))
+        out.append(c.desc_nulls_last() if name in descending else c.asc_nulls_last())
+    return out
 
 
 def with_surrogate_key(df: DataFrame, name: str, order_cols: Sequence[str],
                        tie_breakers: Sequence[str] | None = None,
-                       descending: Sequence[str] = (),
-                       rows_per_range: int = 1_000_000, min_ranges: int | None = None,
-                       max_ranges: int = 2048, oversample: int = 32, max_sample: int = 50_000,
-                       single_range_max: int = 200_000, start: int = 1, n: int | None = None,
-                       materialize: bool = False, sample_chars: int = 256) -> DataFrame:
+                       descending: Sequence[str] = (), ranges: int | None = None, start: int = 1) -> DataFrame:
     """Dense ``bigint`` key ``start..start+N-1`` following ``order_cols``.
 
-    Equivalent to ``row_number() over (order by order_cols, tie_breakers)``
-    with ascending NULLS LAST ordering. ``tie_breakers`` defaults to every other
-    column, which makes the numbering reproducible.
-
-    When the count proves the input has at most ``single_range_max`` rows, one
-    range holds everything (a bounded single-task sort) and no sample is taken.
-
-    Sampled boundary tuples carry at most ``sample_chars`` characters per text
-    column, so the driver's share stays bounded whatever the row width. Hot groups
-    are found by a hash of the full tuple; for the few (at most one per range) whose
-    sampled text was cut, the exact tuple is fetched with one ``min`` per group, so
-    identical copies carrying long text are split as well.
+    Equivalent to ``row_number() over (order by order_cols, tie_breakers)`` with NULLS LAST
+    ordering; arrays and structs order by their values. ``tie_breakers`` defaults to every other
+    column, which makes the numbering reproducible. ``ranges`` defaults to the session's shuffle
+    partitions, so rows per task follow that setting as for any other shuffle.
 
-    The input is read up to four times (count, sample, range counts, numbering).
-    ``materialize=True`` writes it once as Parquet to the shared checkpoint folder
-    first, so an expensive input (a multi-way join building a fact) is computed
-    once and its row count comes from the file metadata.
+    The input is computed once. Jobs: store it with a salt, deal it to sorted ranges and store
+    those with the row's number in its range, count each range. The salted copy is deleted once the
+    ranges are stored; only the range sizes (one row per range) are ordered in one task and broadcast.
     """
     spark = df.sparkSession
-    if materialize:
-        df = pin(df, "sk-input")
-        n = None
-    tup, _ = _order_tuple(df, order_cols, tie_breakers, descending)
-    base = df.withColumn(_TUP, tup)
-    n = df.count() if n is None else n
-    if n == 0:
-        return df.withColumn(name, F.lit(None).cast("bigint"))
-    if min_ranges is None:
-        min_ranges = spark.sparkContext.defaultParallelism
-    m = int(min(max_ranges, max(min_ranges, math.ceil(n / rows_per_range))))
-    m = max(1, min(m, n))
-    if n <= single_range_max:
-        m = 1
-    tup_schema = base.schema[_TUP].dataType
-
-    bounds: list = []
-    heavy: set[int] = set()
-    if m > 1:
-        # the driver receives about min(oversample * m, max_sample) key tuples, each
-        # with text cut to sample_chars characters, and the hash of the full tuple
-        fraction = min(1.0, min(oversample * m, max_sample) * 1.5 / n)
-        full_hash = F.xxhash64(F.col(_TUP))
-        sampled = base.select(_bounded(F.col(_TUP), tup_schema, sample_chars).alias(_TUP),
-                              full_hash.alias(_HASH))
-        rows = sampled.sample(False, fraction, seed=17).collect()
-        # sorted here (the encoded tuples order the same way in Python as in Spark:
-        # flags, numbers, UTF-8 text)
-        sample = sorted(r[0] for r in rows)
-        s = len(sample)
-        if s:
-            picks = [sample[min(s - 1, (j + 1) * s // m)] for j in range(m - 1)]
-            # hot groups: full tuples holding at least 1/m of the sample (at most m)
-            threshold = max(2, s / m)
-            per_hash: dict = {}
-            for r in rows:
-                per_hash[r[1]] = per_hash.get(r[1], 0) + 1
-            hot = {r[1]: r[0] for r in rows if per_hash[r[1]] >= threshold}
-            exact = {h: t for h, t in hot.items() if _uncut(t, tup_schema, sample_chars)}
-            cut = sorted(h for h in hot if h not in exact)
-            if cut:
-                # the exact tuple of each hot group whose sampled text was cut: one row per
-                # group (min over the group's identical copies, or over a hash collision)
-                for r in (base.where(full_hash.isin(*cut)).groupBy(full_hash.alias(_HASH))
-                          .agg(F.min(_TUP).alias(_TUP)).collect()):
-                    exact[r[0]] = r[1]
-            hot_keys = {_hashable(t) for t in exact.values()}
-            merged = sorted({_hashable(b): b for b in list(picks) + list(exact.values())}.items())
-            bounds = [b for _, b in merged]
-            heavy = {2 * j + 1 for j, b in enumerate(bounds) if _hashable(b) in hot_keys}
-
-    if not bounds:
-        # one range (the count proved the input small): no offsets to add
-        w1 = Window.orderBy(_TUP)
-        return (base.withColumn(name, (F.row_number().over(w1) + F.lit(start - 1)).cast("bigint"))
-                .drop(_TUP))
-
-    slot = _slot_expr(F.col(_TUP), bounds, tup_schema)
-    keyed = base.withColumn(_SLOT, slot)
-    if heavy:
-        salts = int(min(256, max(2, math.ceil(n * 1.0 / m / max(1, rows_per_range) * 4))))
-        salts = max(salts, spark.sparkContext.defaultParallelism)
-        keyed = keyed.withColumn(
-            _SALT, F.when(F.col(_SLOT).isin(*sorted(heavy)),
-                          F.pmod(F.monotonically_increasing_id(), F.lit(salts))).otherwise(F.lit(0)))
-        # monotonically_increasing_id is not stable across recomputation of a
-        # shuffled input: pin the salted rows once in the shared checkpoint folder
-        # (the range counts then scan only the slot and salt columns).
-        keyed = pin(keyed, "sk-salted")
-    else:
-        keyed = keyed.withColumn(_SALT, F.lit(0).cast("long"))
-
-    # one row per (slot, salt): at most 2 * max_ranges + 1 slots times the salts
-    counts_df = keyed.groupBy(_SLOT, _SALT).agg(F.count(F.lit(1)).alias("__n"))
-    w = Window.orderBy(_SLOT, _SALT).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts_df.select(_SLOT, _SALT,
-                               F.coalesce(F.sum("__n").over(w), F.lit(0)).alias(_OFF))
-    local = F.row_number().over(Window.partitionBy(_SLOT, _SALT).orderBy(_TUP))
-    return (keyed.join(F.broadcast(offsets), [_SLOT, _SALT], "inner")
-            .withColumn(name, (F.col(_OFF) + local + F.lit(start - 1)).cast("bigint"))
-            .drop(_SLOT, _SALT, _TUP, _OFF))
+    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    salted, path = store(df.withColumn(_SALT, F.monotonically_increasing_id()), "sk-input")
+    keys = [*_sort_columns(df, order_cols, tie_breakers, descending), F.col(_SALT).asc()]
+    local = F.monotonically_increasing_id()
+    dealt = (salted.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys).drop(_SALT)
+             .withColumn(_LOCAL, local))
+    dealt = store(dealt, "sk-ranges")[0].withColumns({
+        _RANGE: F.shiftright(_LOCAL, _ROW_BITS), _LOCAL: F.col(_LOCAL).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))})
+    remove(spark, path)
+
+    sizes = dealt.groupBy(_RANGE).agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(_RANGE, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias(_OFF))
+    return (dealt.join(F.broadcast(offsets), _RANGE, "inner")
+            .withColumn(name, (F.col(_OFF) + F.col(_LOCAL) + F.lit(start)).cast("bigint"))
+            .drop(_RANGE, _LOCAL, _OFF))
 
 
 # --- D02 / D03: pseudonyms --------------------------------------------------------------

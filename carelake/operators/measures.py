@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from carelake.operators.keys import with_surrogate_key
-from carelake.session import pin
 
 ColumnOrName = Column | str
 
@@ -199,8 +198,7 @@ SEQ = "__seq"
 
 def framed(df: DataFrame, key: Sequence[str], order: Sequence[str],
            exprs: Mapping[str, Callable[[WindowSpec], Column]], before: int = 0, after: int = 0,
-           chunk: int = 100_000, small: int = 200_000, keep_seq: bool = False,
-           position: str | None = None, materialize: bool = False) -> DataFrame:
+           chunk: int = 100_000, keep_seq: bool = False, position: str | None = None) -> DataFrame:
     """Evaluate window expressions whose frame spans at most ``before`` rows back and
     ``after`` rows ahead within each key, without sending a key's rows to one task.
 
@@ -215,25 +213,15 @@ def framed(df: DataFrame, key: Sequence[str], order: Sequence[str],
     ``exprs`` maps output names to functions of the window spec (ordered by the
     sequence), e.g. ``{"prev": lambda w: F.lag("x").over(w)}``; ``order`` must be a
     total order within a key. ``position`` names an optional 1-based position of
-    the row within its key (the first number of the key is found by a per-key
-    ``min``, one row per key, re-attached on the key). Inputs proven by their
-    count to hold at most ``small`` rows use the plain per-key window.
-    ``materialize`` stores the input once (Parquet in the shared checkpoint folder)
-    before it is counted, numbered and windowed (useful when the input is itself
-    an expensive result).
+    the row within its key: the first number of a key is found by a per-key ``min``
+    over the stored numbering and attached per (chunk, key), at most keys + chunks rows,
+    so that a hot key's rows meet it in as many groups as they have chunks.
     """
-    if materialize:
-        df = pin(df, "framed-input")  # computed once; the count reads file metadata
-    n = df.count()
-    if n <= small:
-        w = Window.partitionBy(*key).orderBy(*order)
-        cols = [fn(w).alias(name) for name, fn in exprs.items()]
-        if position:
-            cols.append(F.row_number().over(w).alias(position))
-        return df.select("*", *cols)
-    seq = with_surrogate_key(df, SEQ, list(key) + list(order), n=n)
+    if max(before, after) > chunk:
+        raise ValueError("a frame must not reach beyond the next chunk")
+    seq = with_surrogate_key(df, SEQ, [*key, *order])
     pos = F.pmod(F.col(SEQ) - 1, F.lit(chunk))
-    ch = ((F.col(SEQ) - 1) / F.lit(chunk)).cast("long")
+    ch = F.floor((F.col(SEQ) - 1) / F.lit(chunk)).cast("long")
     parts = [seq.withColumns({"__chunk": ch, "__own": F.lit(True)})]
     if before:
         parts.append(seq.where(pos >= chunk - before).withColumns({"__chunk": ch + 1, "__own": F.lit(False)}))
@@ -243,13 +231,19 @@ def framed(df: DataFrame, key: Sequence[str], order: Sequence[str],
     for p in parts[1:]:
         rows = rows.unionByName(p)
     w = Window.partitionBy("__chunk", *key).orderBy(SEQ)
-    out = rows.select("*", *[fn(w).alias(name) for name, fn in exprs.items()]).where(F.col("__own"))
-    out = out.drop("__chunk", "__own")
+    out = rows.select("*", *[fn(w).alias(name) for name, fn in exprs.items()]).where(F.col("__own")).drop("__own")
     if position:
-        first = out.groupBy(*key).agg(F.min(SEQ).alias("__first"))
-        out = (out.join(first, [out[k].eqNullSafe(first[k]) for k in key], "inner")
-               .drop(*[first[k] for k in key])
-               .withColumn(position, (F.col(SEQ) - F.col("__first") + 1).cast("int")).drop("__first"))
+        spans = (seq.groupBy(*key).agg(F.min(SEQ).alias("__first"), F.max(SEQ).alias("__last"))
+                 .select(*[F.col(k).alias(f"__key_{k}") for k in key], "__first",
+                         F.explode(F.sequence(F.floor((F.col("__first") - 1) / chunk).cast("long"),
+                                              F.floor((F.col("__last") - 1) / chunk).cast("long"))).alias("__at")))
+        same = F.col("__chunk") == F.col("__at")
+        for k in key:
+            same = same & F.col(k).eqNullSafe(F.col(f"__key_{k}"))
+        out = (out.join(spans, same, "inner")
+               .withColumn(position, (F.col(SEQ) - F.col("__first") + 1).cast("int"))
+               .drop(*spans.columns))
+    out = out.drop("__chunk")
     return out if keep_seq else out.drop(SEQ)
 
 

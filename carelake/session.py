@@ -88,6 +88,24 @@ def _parquet_storable(t: T.DataType) -> bool:
     return True
 
 
+def store(df: DataFrame, name: str = "pinned") -> tuple[DataFrame, str | None]:
+    """``pin`` with the path of the stored table (None for a ``checkpoint()``), for a caller that removes it."""
+    spark = df.sparkSession
+    if not all(_parquet_storable(f.dataType) for f in df.schema.fields):
+        checkpoint_dir(spark)
+        return df.checkpoint(eager=True), None
+    path = scratch_path(spark, f"pins/{name}-{uuid.uuid4().hex}")
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path), path
+
+
+def remove(spark: SparkSession, path: str | None) -> None:
+    """Delete a stored table that nothing reads any more."""
+    if path:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def pin(df: DataFrame, name: str = "pinned") -> DataFrame:
     """Compute ``df`` once, store it in the shared checkpoint folder, return a scan of it.
 
@@ -97,10 +115,4 @@ def pin(df: DataFrame, name: str = "pinned") -> DataFrame:
     vectorised batches, and a row count is answered from file metadata. Inputs
     holding a type Parquet cannot store fall back to ``checkpoint()``.
     """
-    spark = df.sparkSession
-    if not all(_parquet_storable(f.dataType) for f in df.schema.fields):
-        checkpoint_dir(spark)
-        return df.checkpoint(eager=True)
-    path = scratch_path(spark, f"pins/{name}-{uuid.uuid4().hex}")
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    return store(df, name)[0]

@@ -1,6 +1,7 @@
 """Operators: surrogate keys, lookups, containment joins, history, measures, quality."""
 
 import datetime as dt
+import os
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from carelake.operators.align import align, profile, union_all
 from carelake.operators.keys import (duplicate_keys, hash_id, lookup, pseudonymize, with_surrogate_key,
                                      with_unknown_member)
 from carelake.operators.match import containment_lookup
+from carelake.session import store
 
 from conftest import SF001
 
@@ -22,7 +24,7 @@ def plan_text(df):
 
 def test_surrogate_key_equals_global_row_number(spark):
     li = spark.read.parquet(f"{SF001}/lineitem.parquet")
-    keyed = with_surrogate_key(li, "sk", ["l_orderkey", "l_linenumber"], single_range_max=0)
+    keyed = with_surrogate_key(li, "sk", ["l_orderkey", "l_linenumber"], ranges=16)
     order = ["l_orderkey", "l_linenumber"] + [c for c in li.columns if c not in ("l_orderkey", "l_linenumber")]
     ref = li.withColumn("sk", F.row_number().over(Window.orderBy(*[F.col(c).asc_nulls_last() for c in order])))
     assert keyed.count() == li.count()
@@ -31,11 +33,10 @@ def test_surrogate_key_equals_global_row_number(spark):
 
 def test_surrogate_key_plan_has_no_single_partition_on_detail_rows(spark):
     li = spark.read.parquet(f"{SF001}/lineitem.parquet")
-    keyed = with_surrogate_key(li, "sk", ["l_orderkey", "l_linenumber"], single_range_max=0)
+    keyed = with_surrogate_key(li, "sk", ["l_orderkey", "l_linenumber"], ranges=16)
     plan = plan_text(keyed)
-    # detail rows are hash-partitioned by their range; the only single-partition
+    # detail rows are numbered by their stored range; the only single-partition
     # exchange orders the per-range counts, which are broadcast
-    assert "hashpartitioning(__sk_slot" in plan
     assert plan.count("SinglePartition") == 1
     lines = plan.splitlines()
     single = next(i for i, line in enumerate(lines) if "SinglePartition" in line)
@@ -45,7 +46,7 @@ def test_surrogate_key_plan_has_no_single_partition_on_detail_rows(spark):
 def test_surrogate_key_nulls_last_and_hot_duplicates(spark):
     rows = [(None,)] * 3 + [(5,)] * 400 + [(i,) for i in range(200)]
     df = spark.createDataFrame(rows, "k int")
-    keyed = with_surrogate_key(df, "sk", ["k"], single_range_max=0, min_ranges=8)
+    keyed = with_surrogate_key(df, "sk", ["k"], ranges=8)
     got = keyed.groupBy("k").agg(F.min("sk").alias("lo"), F.max("sk").alias("hi"), F.count("*").alias("n"))
     got = {r.k: (r.lo, r.hi, r.n) for r in got.collect()}
     n = len(rows)
@@ -89,21 +90,50 @@ def test_unknown_member_added_once(spark):
 
 
 def test_surrogate_key_with_long_text_ties_is_exact(spark):
-    # the order key ties often and the tie-breaking text shares a 300-character prefix,
-    # longer than what the boundary sample carries: numbering must still be the global
-    # order, and the hot group of identical long rows must still be split
+    # the order key ties often and the tie-breaking text shares a 300-character prefix:
+    # numbering must still be the global order, and identical long rows must be split
     base = "x" * 300
     rows = [(i % 5, base + format(i * 7919 % 1000, "04d")) for i in range(3000)] + [(9, base + "z")] * 900
     df = spark.createDataFrame(rows, "k int, t string").repartition(4)
-    keyed = with_surrogate_key(df, "sk", ["k"], single_range_max=0, min_ranges=16, sample_chars=256)
+    keyed = with_surrogate_key(df, "sk", ["k"], ranges=16)
     ref = df.withColumn("sk", F.row_number().over(Window.orderBy(F.col("k").asc_nulls_last(),
                                                                   F.col("t").asc_nulls_last())))
     got = sorted((r.k, r.t, r.sk) for r in keyed.collect())
     exp = sorted((r.k, r.t, r.sk) for r in ref.collect())
     assert got == exp
-    # the 900 identical copies (text longer than the sampled 256 characters) were found
-    # hot and salted: the numbering reads the pinned salted rows
-    assert "ReadSchema: struct<__sk_slot:int,__sk_salt:bigint>" in plan_text(keyed)
+
+
+def test_surrogate_key_ranges_are_balanced(spark, monkeypatch):
+    # a long shared prefix and a group of identical copies must not meet in one task
+    from carelake.operators import keys
+    stored = []
+
+    def kept(df, name):
+        out = store(df, name)
+        stored.append(out)
+        return out
+    monkeypatch.setattr(keys, "store", kept)
+    df = spark.createDataFrame([("x" * 300 + str(i),) for i in range(8000)] + [("y",)] * 4000, "t string")
+    keyed = with_surrogate_key(df, "sk", ["t"], ranges=16)
+    assert sorted(r.sk for r in keyed.select("sk").collect()) == list(range(1, 12001))
+    dealt = stored[1][0].groupBy(F.shiftright("__sk_local", 33).alias("r")).count().collect()
+    assert len(dealt) == 16 and max(r["count"] for r in dealt) < 3 * 12000 / 16
+    assert not os.path.exists(stored[0][1])  # the salted copy is gone
+
+
+def test_surrogate_key_orders_arrays_and_structs_by_value(spark):
+    df = spark.createDataFrame([([10], (2, "a"), {"a": 1}), ([9], (10, "a"), {}), ([2], (9, "a"), None),
+                                ([100], None, {"b": 2}), (None, (1, None), {"b": 2})],
+                               "a array<int>, s struct<x: int, y: string>, m map<string, int>")
+    by_array = with_surrogate_key(df, "sk", ["a"]).orderBy("sk").collect()
+    assert [r.a for r in by_array] == [[2], [9], [10], [100], None]
+    by_struct = with_surrogate_key(df, "sk", ["s"]).orderBy("sk").collect()
+    assert [r.s and r.s.x for r in by_struct] == [1, 2, 9, 10, None]
+
+
+def test_surrogate_key_empty_input(spark):
+    keyed = with_surrogate_key(spark.createDataFrame([], "k int"), "sk", ["k"])
+    assert keyed.columns == ["k", "sk"] and keyed.count() == 0
 
 
 # --- J08 -----------------------------------------------------------------------------------------
@@ -245,12 +275,13 @@ def test_quality_checks(spark):
 
 
 def test_framed_windows_split_hot_keys_exactly(spark):
-    rows = [(7 if i % 3 == 0 else i % 50, i, float(i % 17)) for i in range(3000)]
+    rows = [(7 if i % 3 == 0 else i % 50 or None, i, float(i % 17)) for i in range(3000)]
     df = spark.createDataFrame(rows, "k int, t int, v double")
     exprs = {"ma": lambda w: F.avg("v").over(w.rowsBetween(-4, 0)), "prev": lambda w: F.lag("v").over(w),
              "nxt": lambda w: F.lead("t").over(w)}
-    chunked = measures.framed(df, ["k"], ["t"], exprs, before=4, after=1, chunk=97, small=0, position="pos")
-    plain = measures.framed(df, ["k"], ["t"], exprs, before=4, after=1, small=10 ** 9, position="pos")
+    chunked = measures.framed(df, ["k"], ["t"], exprs, before=4, after=1, chunk=97, position="pos")
+    w = Window.partitionBy("k").orderBy("t")
+    plain = df.select("*", *[f(w).alias(n) for n, f in exprs.items()], F.row_number().over(w).alias("pos"))
     cols = ["k", "t", "ma", "prev", "nxt", "pos"]
     assert chunked.count() == 3000
     assert chunked.select(cols).exceptAll(plain.select(cols)).count() == 0
