@@ -35,12 +35,16 @@ def kpi2(mart: DataFrame, y0: int = 2021, y1: int = 2023, n: int = 15) -> DataFr
 
 def kpi3(mart: DataFrame, since: int = 2020) -> DataFrame:
     """K3: stays, mean length, establishments and patients per month since a year."""
-    g = (mart.where(F.col("annee") >= since)
-         .groupBy("annee", "mois")
-         .agg(F.sum("nombre_hospitalisations").cast("bigint").alias("hospitalisations_totales"),
-              F.avg("jour_hospitalisation").alias("duree_moyenne_jours"),
-              F.count_distinct("sk_etablissement").alias("nb_etablissements"),
-              F.count_distinct("sk_patient").alias("patients_hospitalises")))
+    rows = mart.where(F.col("annee") >= since)
+    month = ["annee", "mois"]
+    # two distinct counts in one aggregate would write each row three times before the shuffle;
+    # apart, each keeps one partial row per (month, value), and the months, a few rows each, meet again
+    places = rows.groupBy(*month).agg(F.sum("nombre_hospitalisations").cast("bigint").alias("hospitalisations_totales"),
+                                      F.avg("jour_hospitalisation").alias("duree_moyenne_jours"),
+                                      F.count_distinct("sk_etablissement").alias("nb_etablissements"))
+    people = rows.groupBy(*month).agg(F.count_distinct("sk_patient").alias("patients_hospitalises"))
+    same = places["annee"].eqNullSafe(people["annee"]) & places["mois"].eqNullSafe(people["mois"])
+    g = places.join(people, same, "inner").drop(people["annee"], people["mois"])
     return order(g, ["annee", "mois"])  # O03
 
 

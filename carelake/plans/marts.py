@@ -166,7 +166,8 @@ def dm_consultations_agregees(fc, d_temps, d_etab, d_diag, d_pro, d_spec, d_pati
                    "nb_patients_uniques_professionnel"])
     out = attach_totals(out, g_prof, prof_keys,
                   ["nb_consultations_profil", "duree_totale_profil", "nb_patients_uniques_profil"])
-    return out.drop("sk_patient").withColumn("date_chargement", _ts(as_of))
+    return (out.drop("sk_patient", "nombre_consultations", "duree_consultation")
+            .withColumn("date_chargement", _ts(as_of)))
 
 
 def dm_hospitalisations_agregees(fh, d_temps, d_etab, d_diag, d_patient, as_of) -> DataFrame:
@@ -218,7 +219,8 @@ def dm_hospitalisations_agregees(fh, d_temps, d_etab, d_diag, d_patient, as_of)
                         names("etablissement") + names("diagnostic") + names("region"))
     out = attach_totals(out, g_prof, prof_keys, names("profil"))
     cols = [c for c in out.columns if c not in names("region")] + names("region")
-    return out.select(*cols).drop("sk_patient").withColumn("date_chargement", _ts(as_of))
+    return (out.select(*cols).drop("sk_patient", "nombre_hospitalisations", "jour_hospitalisation")
+            .withColumn("date_chargement", _ts(as_of)))
 
 
 def dm_analyse_territoriale(fd, fs, d_temps, d_loc, d_patient, d_etab, as_of) -> DataFrame:

@@ -462,8 +462,7 @@ cbase AS (
         out_cols = ("sk_temps, date_complete, annee, trimestre, mois, sk_etablissement, nom_etablissement, "
                     "region_etablissement, departement_etablissement, sk_diagnostic, code_diagnostic, "
                     "libelle_diagnostic, chapitre_cim10, categorie_cim10, sk_professionnel, nom_professionnel, "
-                    "prenom_professionnel, specialite, fonction, sexe, tranche_age, age, "
-                    "n AS nombre_consultations, dur AS duree_consultation")
+                    "prenom_professionnel, specialite, fonction, sexe, tranche_age, age")
         bname = "cbase"
     else:
         base = """
@@ -485,8 +484,7 @@ hbase AS (
              "region_etablissement IS NOT NULL AND region_etablissement != 'Non renseigne'", True)]
         out_cols = ("sk_temps, date_complete, annee, trimestre, mois, sk_etablissement, nom_etablissement, "
                     "region_etablissement, departement_etablissement, sk_diagnostic, code_diagnostic, "
-                    "libelle_diagnostic, chapitre_cim10, categorie_cim10, sexe, tranche_age, age, "
-                    "n AS nombre_hospitalisations, dur AS jour_hospitalisation")
+                    "libelle_diagnostic, chapitre_cim10, categorie_cim10, sexe, tranche_age, age")
         bname = "hbase"
     ctes, joins, sel = [base], [], []
     for g, keys, where, with_avg in grains:

@@ -10,7 +10,7 @@ from carelake.functions import rules
 from carelake.functions.clean import (age_years, alert_flag, clean_text, clean_upper, decode_sex, departement,
                                       duration_minutes, iso2_country, iso_date, pad_code, parse_date_any,
                                       parse_decimal_comma, to_int)
-from carelake.sources.io import normalize_name, normalize_name_str
+from carelake.sources.io import normalize_name
 
 
 def one_col(spark, values, expr, typ="string"):
@@ -76,11 +76,10 @@ def test_small_helpers(spark):
     assert one_col(spark, ["7"], lambda c: pad_code(c, 3)) == ["007"]
 
 
-def test_normalize_name_column_and_string_agree(spark):
-    names = ["DECES EN FRANCE/deces.csv", "Référentiel Pièces", "__a--b  c.xlsx", "x.csv.y"]
-    got = one_col(spark, names, normalize_name)
-    assert got == [normalize_name_str(n) for n in names]
-    assert normalize_name_str("DECES EN FRANCE") == "deces_en_france"
+def test_normalize_name(spark):
+    names = ["DECES EN FRANCE/deces.csv", "Référentiel Pièces", "__a--b  c.xlsx", "x.csv.y", "DECES EN FRANCE", None]
+    assert one_col(spark, names, normalize_name) == ["deces_en_france_deces", "référentiel_pièces", "a_b_c", "x_y",
+                                                     "deces_en_france", None]
 
 
 def test_age_band_gap_t1(spark):
