@@ -109,9 +109,10 @@ class Measure:
         return max(4, math.ceil(1.65 * k + 2 * math.sqrt(top))) + 4
 
     def allowed(self, a: int, band: int) -> int:
-        """Most differences between a set of size a and a linked partner inside the band's sizes."""
-        b = min(self.most(a), 2 ** (band + 1) - 1)
-        return max(0, self.max_difference(a, max(a, b)))
+        """Most differences between a set of size a and a linked partner inside the band's sizes. The difference of
+        two sizes has their sum's parity, so the largest partner can allow one less than the one below it."""
+        b = max(a, min(self.most(a), 2 ** (band + 1) - 1))
+        return max(0, self.max_difference(a, b), self.max_difference(a, b - 1))
 
 
 def part_keys(shingles: np.ndarray, band: int, measure: Measure) -> tuple[np.ndarray, int]:

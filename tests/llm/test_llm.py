@@ -352,6 +352,27 @@ def test_op10_sketch_bounds():
     assert np.bitwise_count(sketchjoin.parity_sketch(x) ^ sketchjoin.parity_sketch(y)).sum() <= 35
 
 
+def test_op10_allowed_covers_every_size_pair():
+    m = sketchjoin.Measure()
+    allowed = {(a, band): m.allowed(a, band) for a in range(1, 3000) for band in m.bands(a)}
+    for a in range(1, 3000):
+        for b in range(a, min(m.most(a), 2999) + 1):
+            both = set(m.bands(a)) & set(m.bands(b))
+            assert any(min(allowed[a, x], allowed[b, x]) >= m.max_difference(a, b) for x in both), (a, b)
+
+
+def test_op10_short_documents_with_added_words(spark, docs):
+    rows, want = [], {}
+    for short, long in ((10, 11), (16, 19), (28, 34)):
+        for i in range(30):
+            d, w = len(rows), ["s%dw%dx%d" % (short, i, j) for j in range(long)]
+            at = i % (long - short + 1)  # the added words stand before, after or on both sides
+            rows += [(d, " ".join(w[at:at + short])), (d + 1, " ".join(w))]
+            want |= {d: d, d + 1: d}
+    got = sketchjoin.jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == want
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(200, 100 + i) for i in range(40)] + [(7, 7), (None, 3)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
