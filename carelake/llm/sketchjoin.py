@@ -20,7 +20,8 @@ the one it shares most keys with); verified links are contracted to components.
 classes are still in more than one component go on: members outside the key's largest component are the
 queries, in chunks, against the members, in chunks; the sketches reject most. Of each query and
 component the nearest survivor is verified on the exact sets and links are contracted; where that
-leaves them apart and there were others, the next round verifies 16 times as many, until none is left.
+leaves them apart and there were others, the next round verifies 16 times as many of that query and that component,
+whichever components have become the largest meanwhile, until none is left.
 Any linked pair shares a kept key, so it ends in one component: no link is lost.
 
 Defined cases: documents without words (null, empty, only white space) have an empty set and no links; a document with
@@ -311,30 +312,36 @@ def _star_pairs(kept: DataFrame) -> DataFrame:
 
 
 def _cross_pairs(kept: DataFrame, labels: DataFrame | None, measure: Measure, nearest: int | None = None,
-                 only: DataFrame | None = None) -> DataFrame:
+                 open_: DataFrame | None = None) -> DataFrame:
     """(u, v, more): pairs that share a key, lie in different components (``labels``; None: each document is its own),
-    and that size and sketch allow. ``only`` limits the queries to these documents."""
+    and that size and sketch allow. Of a key the documents outside its largest component ask all others; with ``open_``
+    (doc_id, target) those documents ask the members of those components, whichever is the largest."""
     member = kept.select("doc_id", "n", F.explode("keys").alias("key"))
     if labels is None:
         member = member.withColumn("label", F.col("doc_id"))
     else:
         member = member.join(labels, "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
     sizes = member.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"))
-    main = (sizes.groupBy("key").agg(F.max(F.struct("c", (-F.col("label")).alias("neg"))).alias("p"),
-                                     F.sum("c").alias("members"), F.count(F.lit(1)).alias("labels"))
-            .where("labels > 1").select("key", (-F.col("p.neg")).alias("main"), "members",
-                                        (F.col("members") - F.col("p.c")).alias("outside")))
-    m = (member.join(main, "key")
-         .withColumn("mc", F.ceil(F.col("members") / CHUNK).cast("long")).withColumn("qc", F.ceil(F.col("outside") / CHUNK).cast("long"))
-         .withColumn("salt", F.xxhash64("doc_id", F.lit(7))).select("key", "doc_id", "label", "n", "main", "mc", "qc", "salt"))
-    chunks = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
-    asking = m.where("label != main")
-    if only is not None:
-        asking = asking.join(only, "doc_id", "left_semi")
-    members = m.select("key", "doc_id", "label", "n", F.pmod("salt", "mc").alias("t"), chunks("qc").alias("q"), F.lit(False).alias("is_query"))
-    queries = asking.select("key", "doc_id", "label", "n", chunks("mc").alias("t"), F.pmod("salt", "qc").alias("q"), F.lit(True).alias("is_query"))
+    salted = member.withColumn("salt", F.xxhash64("doc_id", F.lit(7)))
+    if open_ is None:
+        main = (sizes.groupBy("key").agg(F.max(F.struct("c", (-F.col("label")).alias("neg"))).alias("p"),
+                                         F.sum("c").alias("members"), F.count(F.lit(1)).alias("labels"))
+                .where("labels > 1").select("key", (-F.col("p.neg")).alias("main"), "members",
+                                            (F.col("members") - F.col("p.c")).alias("asking")))
+        met = salted.join(main, "key").withColumn("target", F.lit(None).cast("long"))
+        asking = met.where("label != main")
+    else:
+        asked = salted.join(open_, "doc_id").join(sizes.select("key", F.col("label").alias("target"), F.col("c").alias("members")),
+                                                  ["key", "target"])
+        counts = asked.groupBy("key", "target").agg(F.count(F.lit(1)).alias("asking"), F.first("members").alias("members"))
+        met = salted.join(counts.withColumn("label", F.col("target")), ["key", "label"])
+        asking = asked.drop("members").join(counts, ["key", "target"])
+    chunk = lambda c: F.ceil(F.col(c) / CHUNK).cast("long")
+    chunks = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), chunk(c) - 1))
+    members = met.select("key", "target", "doc_id", "label", "n", F.pmod("salt", chunk("members")).alias("t"), chunks("asking").alias("q"), F.lit(False).alias("is_query"))
+    queries = asking.select("key", "target", "doc_id", "label", "n", chunks("members").alias("t"), F.pmod("salt", chunk("asking")).alias("q"), F.lit(True).alias("is_query"))
     rows = members.unionByName(queries).join(kept.select("doc_id", "sketch"), "doc_id")
-    return (rows.groupBy("key", "t", "q").applyInArrow(_compare(measure, nearest), "u long, v long, more boolean")
+    return (rows.groupBy("key", "target", "t", "q").applyInArrow(_compare(measure, nearest), "u long, v long, more boolean")
             .groupBy("u", "v").agg(F.max("more").alias("more")))
 
 
@@ -345,18 +352,18 @@ def _labels(links: DataFrame) -> DataFrame:
 def _all_labels(kept: DataFrame, measure: Measure) -> DataFrame:
     """(doc_id, label) of every representative that a link reaches, with no linked pair left in two components."""
     links = pin(_links(_star_pairs(kept), kept, measure), "links")
-    labels, nearest, only = _labels(links), 1, None
+    labels, nearest, open_ = _labels(links), 1, None
     while True:
-        pairs = pin(_cross_pairs(kept, labels, measure, nearest, only), "pairs")
+        pairs = pin(_cross_pairs(kept, labels, measure, nearest, open_), "pairs")
         links = links.union(pin(_links(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(),
                                        kept, measure), "links"))
         labels = _labels(links)
         # a query and a component that are still apart after the nearest were compared, and others were left
         at = lambda x: labels.select(F.col("doc_id").alias(x), F.col("label").alias(f"label_{x}"))
-        open_pairs = (pairs.where("more").join(at("u"), "u", "left").join(at("v"), "v", "left")
-                      .where(F.coalesce("label_u", "u") != F.coalesce("label_v", "v")))
-        only = pin(open_pairs.select(F.col("u").alias("doc_id")).distinct(), "open")
-        if only.isEmpty():
+        open_ = pin(pairs.where("more").join(at("u"), "u", "left").join(at("v"), "v", "left")
+                    .select(F.col("u").alias("doc_id"), F.coalesce("label_u", "u").alias("own"), F.coalesce("label_v", "v").alias("target"))
+                    .where("own != target").select("doc_id", "target").distinct(), "open")
+        if open_.isEmpty():
             return labels
         nearest *= 16
 

@@ -373,6 +373,16 @@ def test_op10_short_documents_with_added_words(spark, docs):
     assert {r.doc_id: r.component_id for r in got} == want
 
 
+def test_op10_open_pairs_outlive_a_new_largest_component(spark, docs):
+    """At one key: 2 fails with 0, the nearest of {0, 1}, and joins 3 and 4 to a larger component before it meets 1."""
+    sets = {d: np.arange(10 * d, 10 * d + 100, dtype=np.uint64) for d in range(5)}
+    sketch = {d: bytes([3 if d == 1 else 0] + [0] * (sketchjoin.SKETCH_BITS // 8 - 1)) for d in sets}
+    kept = spark.createDataFrame([(d, 100, [7], sketch[d], x.tobytes()) for d, x in sets.items()],
+                                 "doc_id long, n long, keys array<long>, sketch binary, shingles binary")
+    found = sketchjoin._all_labels(kept, sketchjoin.Measure()).collect()
+    assert {r.doc_id: r.label for r in found} == {d: 0 for d in sets}
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(200, 100 + i) for i in range(40)] + [(7, 7), (None, 3)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
