@@ -14,8 +14,9 @@ tied so far. What is tied at the last slice has equal scores; of those the small
 exact. Each block gives its k best rows of every query, and the k best of these are the answer.
 
 The query rows (a stated set) are dealt to slots; a block of the index meets each slot once. Defined cases: a row
-with a null id or vector, or a null or non-finite component, takes no part; rows with one id are one vector, the
-smallest in array order; missing components of shorter vectors count as 0; fewer than k candidates give all of them.
+with a null id or vector, or a null or non-finite component, takes no part; rows with one id and one
+vector stand once, rows with one id and other vectors stand each; no row with a query's id is its candidate, and the
+query rows of one id share its k places; missing components of shorter vectors count as 0; fewer than k candidates give all of them.
 """
 
 from __future__ import annotations
@@ -34,13 +35,13 @@ SLOT_QUERIES = 128
 
 
 def quantised(vectors: DataFrame, id_col: str, vector: str, scale: int) -> DataFrame:
-    """(vec_id, v): the integer vectors of the rows that take part, one row per id."""
+    """(vec_id, v): the distinct integer vectors of the rows that take part."""
     x = F.col(f"`{vector}`").cast("array<double>")
     sound = (F.col(f"`{id_col}`").isNotNull() & x.isNotNull()
              & F.forall(x, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < F.lit(float("inf")))))
     return (vectors.where(sound).select(F.col(f"`{id_col}`").cast("long").alias("vec_id"),
                                         F.transform(x, lambda e: F.floor(e * F.lit(float(scale)))).alias("v"))
-            .groupBy("vec_id").agg(F.min("v").alias("v")))
+            .distinct())
 
 
 def _matrix(column, dim: int | None = None) -> np.ndarray:
@@ -182,8 +183,7 @@ def _search(k: int):
             rows = rows.view(np.uint64)
             for q, v in zip(queries.column("query_id").to_pylist(), _matrix(queries.column("v"), row["dim"])):
                 allowed = rows.copy()
-                own = int(np.searchsorted(ids, q))
-                if own < len(ids) and ids[own] == q:
+                for own in range(int(np.searchsorted(ids, q)), int(np.searchsorted(ids, q, side="right"))):
                     allowed[own // 64] &= ~np.uint64(1 << (own % 64))
                 score, extra = sliced_score(slices, row["width"], v)
                 at = select_top(score, allowed, k)
@@ -197,7 +197,7 @@ def _search(k: int):
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, id_col: str = "vec_id",
           vector: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): of each row for which ``is_query`` (over the column ``vec_id``) holds, the k rows
-    other than itself with the highest integer inner product; ties to the smaller id."""
+    of other ids with the highest integer inner product; ties to the smaller id."""
     rows = pin(quantised(vectors, id_col, vector, scale), "vectors")
     index = pin(build_index(rows), "index")
     queries = rows.where(is_query)

@@ -142,6 +142,18 @@ def test_op3_top_k(spark, docs):
     assert bitslice.top_k(df.where("vec_id in (0, 7)"), F.col("vec_id") % 50 == 0).count() == 1
 
 
+def test_op3_one_id_with_two_vectors(spark, docs):
+    r = random.Random(4)
+    rows = [(i % 70, [r.randrange(-9, 9) / 16 for _ in range(6)]) for i in range(140)]
+    vectors = [(i, [math.floor(256 * x) for x in v]) for i, v in rows]
+    want = []
+    for q in (0, 50):  # as the SQL: the scores of all the query's rows with all rows of other ids
+        s = sorted((-sum(a * b for a, b in zip(v, w)), c) for i, v in vectors if i == q for c, w in vectors if c != q)[:5]
+        want += [(q, k + 1, c, -m) for k, (m, c) in enumerate(s)]
+    df = spark.createDataFrame(rows + rows[3:4], "vec_id long, embedding array<float>")
+    assert sorted(tuple(x) for x in bitslice.top_k(df, F.col("vec_id") % 50 == 0).collect()) == want
+
+
 def _removed(texts, n):
     low = {}
     for d, t in texts:
