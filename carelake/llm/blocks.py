@@ -52,8 +52,8 @@ def text_blocks(docs: DataFrame, id_col: str, text: str, blocks: int, rest: bool
     return docs.select(*cols)
 
 
-def rest_type(docs: DataFrame, text: str) -> str:
-    """SQL type of the ``rest`` struct."""
+def rest_type(docs: DataFrame, text: str | None = None) -> str:
+    """SQL type of the ``rest`` struct: all columns but ``text``."""
     return "struct<" + ",".join(f"`{f.name}`: {f.dataType.simpleString()}" for f in docs.schema if f.name != text) + ">"
 
 

@@ -47,4 +47,32 @@ run AS (SELECT doc_id, i, sum(CASE WHEN step <= 50 THEN 0 ELSE 1 END) OVER (PART
 SELECT doc_id, (min(i) - 1)::BIGINT AS start_word, (max(i) - min(i) + 50)::BIGINT AS n_words FROM run GROUP BY doc_id, r
 """
 
-ORACLES = {"op3_topk_search": _OP3, "op4_substring_dedup": _OP4, "op8_suffix_array": _OP8, "op10_jaccard_join": _OP10}
+# CRC-32 bit by bit; 3988292384 is the polynomial 0xEDB88320
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, [get_bit({b}, ((i // 8) * 8 + 7 - i % 8)::INTEGER)::BIGINT
+        FOR i IN range(0, bit_length({b}))]), lambda c, x: xor(c >> 1, 3988292384 * (xor(c, x) & 1))))"""
+_RUNS = r"""
+SELECT {key}, unnest(list_concat(w, [w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))],
+                                 [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)])) AS f
+FROM (SELECT {key}, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM {table})"""
+
+_OP11 = f"""
+WITH df AS ({_RUNS.format(key="doc_id", table="documents")}), bf AS ({_RUNS.format(key="item_id", table="benchmark")}),
+dn AS (SELECT doc_id, f, count(*) AS n FROM df GROUP BY 1, 2),
+bit AS (SELECT f, encode(f)::BIT AS b FROM (SELECT f FROM dn UNION SELECT f FROM bf)),
+k AS (SELECT f, {_CRC.format(b="b")} % 10000 AS bucket FROM bit),
+s AS (SELECT bucket, sum(n) AS s FROM dn JOIN k USING (f) GROUP BY 1),
+t AS (SELECT bucket, count(*) AS t FROM bf JOIN k USING (f) GROUP BY 1),
+z AS (SELECT (SELECT coalesce(sum(s), 0) FROM s)::DOUBLE AS s_all, (SELECT coalesce(sum(t), 0) FROM t)::DOUBLE AS t_all),
+g AS (SELECT bucket, floor(1000 * ln((coalesce(t, 0)::DOUBLE + 1) * (s_all + 10000) / ((s::DOUBLE + 1) * (t_all + 10000))))::BIGINT AS gain
+      FROM s LEFT JOIN t USING (bucket), z),
+w AS (SELECT doc_id, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS weight FROM dn JOIN k USING (f) JOIN g USING (bucket) GROUP BY 1),
+c AS (SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+             coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || doc_id), 1, 8))::BIGINT + 0.5) / 4294967296)))::BIGINT AS score,
+             coalesce(n_features, 0) >= 57 AS fit
+      FROM documents LEFT JOIN w USING (doc_id)),
+r AS (SELECT *, row_number() OVER (PARTITION BY fit ORDER BY score DESC, doc_id) AS rank, 5 * count(*) OVER (PARTITION BY fit) // 100 AS k FROM c)
+SELECT doc_id, n_features, weight, score, CASE WHEN fit AND rank <= k THEN rank END AS rank FROM r
+"""
+
+ORACLES = {"op11_importance_resampling": _OP11, "op3_topk_search": _OP3, "op4_substring_dedup": _OP4, "op8_suffix_array": _OP8, "op10_jaccard_join": _OP10}

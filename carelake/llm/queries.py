@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm import bitpack, bitslice, doubling, linechunks, lm, packing, pieces, rules, sketchjoin, suffixes
+from carelake.llm import bitpack, bitslice, doubling, linechunks, lm, packing, pieces, resample, rules, sketchjoin, suffixes
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,5 +64,11 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketchjoin.jaccard_classes(_documents(spark, sf_dir), n=5, num=80, den=100)
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twentieth of the documents that resembles the benchmark texts most, by hashed features and Gumbel noise."""
+    rows = resample.resample_weights(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), percent=5)
+    return rows.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_sentencepiece, op3_topk_search, op4_substring_dedup, op5_packing,
-                                   op6_line_dedup, op7_token_files, op8_suffix_array, op9_quality_rules, op10_jaccard_join)}
+                                   op6_line_dedup, op7_token_files, op8_suffix_array, op9_quality_rules, op10_jaccard_join, op11_importance_resampling)}

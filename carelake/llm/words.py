@@ -63,12 +63,13 @@ def text_buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.nda
     return off - off[0], raw[off[0]:off[-1]]
 
 
-def spans(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Byte starts and ends of all words, and the first word of each row (n + 1 entries)."""
+def spans(offsets: np.ndarray, data: np.ndarray, between: np.ndarray = _WS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Byte starts and ends of all words, and the first word of each row (n + 1 entries).
+    ``between`` is True for each of the 256 bytes that separate words."""
     if len(data) == 0:
         z = np.zeros(0, dtype=np.int64)
         return z, z, np.zeros(len(offsets), dtype=np.int64)
-    space = _WS[data]
+    space = between[data]
     word = ~space
     first = word.copy()
     first[1:] &= space[:-1]
@@ -118,10 +119,10 @@ def window_hashes(words: np.ndarray, length: int, seed: int = 0) -> np.ndarray:
 class Words:
     """The words of an Arrow text column: spans, hashes and row bounds."""
 
-    def __init__(self, column, fold: bool = False):
+    def __init__(self, column, fold: bool = False, between: np.ndarray = _WS):
         self.offsets, data = text_buffers(column)
         self.data = lower(data) if fold else data
-        self.starts, self.ends, self.bounds = spans(self.offsets, self.data)
+        self.starts, self.ends, self.bounds = spans(self.offsets, self.data, between)
         self.counts = np.diff(self.bounds)
         self.n_rows = len(self.offsets) - 1
         self._hashes = None
