@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm import bitpack, bitslice, doubling, linechunks, lm, packing, pieces, resample, rules, sketchjoin, suffixes
+from carelake.llm import bitpack, bitslice, doubling, linechunks, lm, packing, pieces, resample, rules, simhash, sketchjoin, suffixes
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,5 +70,12 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op12_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 64-bit SimHash fingerprints differ in 2 bits or fewer (covering masks)."""
+    rows = simhash.simhash_classes(_documents(spark, sf_dir))
+    return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_sentencepiece, op3_topk_search, op4_substring_dedup, op5_packing,
-                                   op6_line_dedup, op7_token_files, op8_suffix_array, op9_quality_rules, op10_jaccard_join, op11_importance_resampling)}
+                                   op6_line_dedup, op7_token_files, op8_suffix_array, op9_quality_rules, op10_jaccard_join, op11_importance_resampling,
+                                   op12_simhash_near_dedup)}
