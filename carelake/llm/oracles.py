@@ -75,4 +75,26 @@ r AS (SELECT *, row_number() OVER (PARTITION BY fit ORDER BY score DESC, doc_id)
 SELECT doc_id, n_features, weight, score, CASE WHEN fit AND rank <= k THEN rank END AS rank FROM r
 """
 
-ORACLES = {"op11_importance_resampling": _OP11, "op3_topk_search": _OP3, "op4_substring_dedup": _OP4, "op8_suffix_array": _OP8, "op10_jaccard_join": _OP10}
+_OP13 = r"""
+WITH piece AS (SELECT coalesce(lang, 'und') AS lang,
+                      unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                   '[.,;:!?\x0A-\x0D]')) AS t FROM documents),
+p AS (SELECT lang, regexp_extract_all(t, '[^\x20\x09]+') AS w FROM piece),
+g AS (SELECT lang, list_slice(w, i, i + k - 1) AS g FROM p, unnest(generate_series(1, len(w))) AS s(i), unnest([1, 2, 3, 4]) AS m(k) WHERE i + k - 1 <= len(w)),
+f AS (SELECT lang, g, count(*) AS f FROM g GROUP BY 1, 2),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE len(g) = 1 GROUP BY 1),
+c AS (SELECT lang, g, f AS a FROM f WHERE f >= 30 AND len(g) > 1),
+side AS (SELECT lang, g, a, k, list_slice(g, 1, k) AS lg, list_slice(g, k + 1, len(g)) AS rg FROM c, unnest([1, 2, 3]) AS m(k) WHERE k < len(g)),
+often AS (SELECT * FROM f WHERE f >= 30),
+cut AS (SELECT s.lang, s.g, s.a, s.k, x.f AS l, y.f AS r, ((2000000::HUGEINT * s.a) // (x.f + y.f))::BIGINT AS score
+        FROM side s JOIN often x ON x.lang = s.lang AND x.g = s.lg JOIN often y ON y.lang = s.lang AND y.g = s.rg),
+low AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+part AS (SELECT lang, list_slice(g, i, i + k - 1) AS g, max(a) AS longer FROM c, unnest([1, 2, 3]) AS s(i), unnest([2, 3]) AS m(k)
+         WHERE k < len(g) AND i + k - 1 <= len(g) GROUP BY 1, 2),
+kept AS (SELECT low.*, array_to_string(low.g, ' ') AS phrase FROM low LEFT JOIN part ON part.lang = low.lang AND part.g = low.g
+         WHERE longer IS NULL OR 100 * longer < 80 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN n USING (lang) QUALIFY rank <= 2000
+"""
+
+ORACLES = {"op13_phrase_collocations": _OP13, "op11_importance_resampling": _OP11, "op3_topk_search": _OP3, "op4_substring_dedup": _OP4, "op8_suffix_array": _OP8, "op10_jaccard_join": _OP10}

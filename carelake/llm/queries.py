@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm import bitpack, bitslice, doubling, linechunks, lm, packing, pieces, resample, rules, simhash, sketchjoin, suffixes
+from carelake.llm import bitpack, bitslice, collocations, doubling, linechunks, lm, packing, pieces, resample, rules, simhash, sketchjoin, suffixes
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,6 +76,11 @@ def op12_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 best collocations of each language (HAT-trie counts of phrases of 2 to 4 words)."""
+    return collocations.collocations(_documents(spark, sf_dir), least=30, longest=4, most=2000)
+
+
 QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_sentencepiece, op3_topk_search, op4_substring_dedup, op5_packing,
                                    op6_line_dedup, op7_token_files, op8_suffix_array, op9_quality_rules, op10_jaccard_join, op11_importance_resampling,
-                                   op12_simhash_near_dedup)}
+                                   op12_simhash_near_dedup, op13_phrase_collocations)}
