@@ -106,6 +106,15 @@ def upsert(target: DataFrame, source: DataFrame, key: Sequence[str]) -> DataFram
     return source.unionByName(target.join(source.select(*key).distinct(), list(key), "left_anti"))
 
 
+def upsert_null_safe(target: DataFrame, source: DataFrame, key: Sequence[str]) -> DataFrame:
+    """D07 with NULL key parts equal to each other."""
+    ks = source.select(*[F.col(k).alias(f"__s{i}") for i, k in enumerate(key)]).distinct()
+    same = F.lit(True)
+    for i, k in enumerate(key):
+        same = same & target[k].eqNullSafe(ks[f"__s{i}"])
+    return source.unionByName(target.join(ks, same, "left_anti"))
+
+
 def append_new(target: DataFrame, source: DataFrame, key: Sequence[str]) -> DataFrame:
     """The source rows whose key is not yet in the target (incremental fact load).
 

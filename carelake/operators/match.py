@@ -8,21 +8,20 @@ J08 is the reference's correlated lookup
 which, planned literally, compares every needle with every dimension row.
 ``containment_lookup`` turns it into equi-joins:
 
-* every haystack string is exploded into its substrings of length k for
-  k = 0..K, tagged with k;
-* a needle of length L is keyed by (min(L, K), its first min(L, K) characters);
-* a needle shorter than K is contained exactly when it equals a gram of its
-  length: grams of length < K are reduced to ``min(sk)`` per (k, gram) before
-  the join, so short needles never fan out and need no verification;
-* a longer needle is keyed by its rarest K-gram among the haystacks (counts per
-  gram aggregated map-side) and equi-joins only the positions carrying it;
-  ``contains`` verifies the full needle;
-* ``min(sk)`` per needle makes the ``limit 1`` deterministic (O04, T15);
-* columns are tried in priority order; only needles still unresolved
-  (``left_anti``) go on to the next column; the rest get -1.
-
-Needles of length >= K fan out only to the haystack positions of their rarest
-K-gram, and their ``min`` is aggregated map-side before the shuffle.
+* all haystack columns are stacked into one table of (column priority, sk, text), read
+  from the dimension once and stored; its strings are exploded into their substrings of
+  length k for the needle lengths that occur, up to K: one positional gram index;
+* "the first column that contains it, and there the smallest sk" is then one minimum of
+  (priority, sk) per needle: no step waits for the one before it, and nothing is replanned;
+* a needle shorter than K is contained exactly when it equals a gram of its length: grams
+  of length < K are reduced to the least (priority, sk) per (k, gram) before the join, so
+  short needles never fan out and need no verification;
+* a longer needle is keyed by its rarest K-gram in the index (counts per gram aggregated
+  map-side) and equi-joins only the positions carrying it; ``contains`` verifies the needle;
+* needles found nowhere get -1.
+
+Needles of length >= K fan out only to the index positions of their rarest K-gram, and
+their minimum is aggregated map-side before the shuffle.
 """
 
 from __future__ import annotations
@@ -38,66 +37,21 @@ from carelake.session import pin
 GRAM_MAX = 8
 
 
-def _grams(dim: DataFrame, sk: str, col: str, ks: Sequence[int]) -> DataFrame:
-    """(k, gram, sk, hay) for every substring of ``col`` whose length k is in ``ks``
-    (one row per position; k = 0 gives the empty gram once per string)."""
-    hay = dim.select(F.col(sk).alias("__sk"), F.col(col).cast("string").alias("__hay")) \
-             .where(F.col("__hay").isNotNull())
-    kk = hay.select("__sk", "__hay", F.explode(F.array(*[F.lit(k) for k in ks])).alias("__k")) \
-            .where(F.length("__hay") >= F.col("__k"))
-    pos = kk.select("__sk", "__hay", "__k",
-                    F.explode(F.sequence(F.lit(1),
-                                         F.when(F.col("__k") == 0, F.lit(1))
-                                          .otherwise(F.length("__hay") - F.col("__k") + 1)))
-                    .alias("__pos"))
-    return pos.select("__sk", "__hay", "__k",
-                      F.when(F.col("__k") == 0, F.lit(""))
-                       .otherwise(F.substring("__hay", F.col("__pos"), F.col("__k"))).alias("__g"))
-
-
-def _first_containing(remaining: DataFrame, dim: DataFrame, sk: str, col: str, k_max: int,
-                      short_ks: Sequence[int], has_long: bool = True) -> DataFrame:
-    """(needle, min sk) for the needles of ``remaining`` contained in ``col``.
-
-    * A needle shorter than ``k_max`` is contained exactly when it equals one of the
-      haystack's grams of its length, so those grams (only the lengths in
-      ``short_ks``) are reduced to ``min(sk)`` per (k, gram) first (partial
-      aggregation before the shuffle): one row per distinct gram, no fan-out however
-      many haystacks share it, no verification.
-    * A longer needle is keyed by its rarest ``k_max``-gram (fewest haystack
-      positions; a gram found nowhere rules the needle out), joins only the
-      positions carrying that gram and is verified with ``contains``; ``min(sk)``
-      per needle is aggregated map-side, so a needle matching many haystacks does
-      not gather them in one task, and a common prefix shared by many needles and
-      haystacks does not turn into all pairs.
-    """
-    parts = []
-    if has_long:
-        pos = _grams(dim, sk, col, [k_max]).select("__g", "__sk", "__hay")
-        # how many haystack positions carry each K-gram (partial counts before the shuffle)
-        freq = pos.groupBy("__g").agg(F.count(F.lit(1)).alias("__c"))
-        # every K-gram of every long needle; the needle is keyed by its rarest one, so it
-        # meets only the positions of that gram. A K-gram found in no haystack (count 0)
-        # proves the needle is contained nowhere: it is dropped before any fan-out.
-        ng = (remaining.where(F.col("__k") == k_max)
-              .select("__n", F.explode(F.sequence(F.lit(1), F.length("__n") - k_max + 1)).alias("__p"))
-              .select("__n", F.substring("__n", F.col("__p"), k_max).alias("__g")))
-        rarest = (ng.join(freq, "__g", "left")
-                  .groupBy("__n").agg(F.min(F.struct(F.coalesce(F.col("__c"), F.lit(0)).alias("c"),
-                                                     F.col("__g").alias("g"))).alias("__m"))
-                  .where(F.col("__m.c") > 0)
-                  .select("__n", F.col("__m.g").alias("__g")))
-        parts.append(rarest.join(pos, "__g", "inner")
-                     .where(F.col("__hay").contains(F.col("__n")))
-                     .groupBy("__n").agg(F.min("__sk").alias("__sk")))
-    if short_ks:
-        short = _grams(dim, sk, col, short_ks).groupBy("__k", "__g").agg(F.min("__sk").alias("__sk"))
-        parts.append(remaining.where(F.col("__k") < k_max)
-                     .join(short, ["__k", "__g"], "inner").select("__n", "__sk"))
-    found = parts[0]
-    for p in parts[1:]:
-        found = found.unionByName(p)
-    return found
+def haystacks(dim: DataFrame, sk: str, hay_cols: Sequence[str]) -> DataFrame:
+    """(__prio, __sk, __hay): the dimension's columns stacked in priority order, NULLs left out; one scan."""
+    cols = F.array(*[F.col(c).cast("string") for c in hay_cols])
+    return (dim.select(F.col(sk).alias("__sk"), F.posexplode(cols).alias("__prio", "__hay"))
+            .where(F.col("__hay").isNotNull()).select((F.col("__prio") + 1).alias("__prio"), "__sk", "__hay"))
+
+
+def _grams(hay: DataFrame, ks: Sequence[int]) -> DataFrame:
+    """(__k, __g, __prio, __sk, __hay) for every substring whose length k is in ``ks`` (one row per position; k = 0
+    gives the empty gram once per string)."""
+    k, n = F.col("__k"), F.length("__hay")
+    kk = hay.select("*", F.explode(F.array(*[F.lit(x) for x in ks])).alias("__k")).where(n >= k)
+    pos = kk.select("*", F.explode(F.sequence(F.lit(1), F.when(k == 0, F.lit(1)).otherwise(n - k + 1))).alias("__pos"))
+    return pos.select("__k", F.when(k == 0, F.lit("")).otherwise(F.substring("__hay", F.col("__pos"), k)).alias("__g"),
+                      "__prio", "__sk", "__hay")
 
 
 def containment_lookup(needles: DataFrame, needle: str, dim: DataFrame,
@@ -109,38 +63,47 @@ def containment_lookup(needles: DataFrame, needle: str, dim: DataFrame,
     Returns ``(needle, sk[, step])`` with one row per distinct needle (NULL
     needles map to ``default``, as ``LIKE NULL`` never matches).
     """
-    # the distinct needles are computed once and stored (Parquet in the shared
-    # checkpoint folder): the cascade reads them several times (both branches, the
-    # anti-joins, the final re-attachment) without re-running the needles' source
+    # the distinct needles and the stacked haystacks are computed once and stored (Parquet in the
+    # shared checkpoint folder): both branches read them without running their sources again
     k = F.least(F.length("__n"), F.lit(k_max))
     distinct = pin(needles.select(F.col(needle).cast("string").alias("__n")).distinct()
                    .withColumns({"__k": k, "__g": F.when(k == 0, F.lit("")).otherwise(F.substring("__n", 1, k))}),
                    "needles")
     keyed = distinct.where(F.col("__n").isNotNull())
+    hay = pin(haystacks(dim, sk, hay_cols), "haystacks")
 
     # the key lengths present: at most k_max + 1 small integers (branches without
     # needles are left out of the plan)
     ks = sorted(r[0] for r in keyed.select("__k").distinct().collect())
-    short_ks, has_long = [x for x in ks if x < k_max], k_max in ks
-
-    resolved: DataFrame | None = None
-    remaining = keyed
-    for step, col in enumerate(hay_cols if ks else [], start=1):
-        found = (_first_containing(remaining, dim, sk, col, k_max, short_ks, has_long)
-                 .withColumn("__step", F.lit(step)))
-        resolved = found if resolved is None else resolved.unionByName(found)
-        if step < len(hay_cols):
-            remaining = remaining.join(found.select("__n"), "__n", "left_anti")
-
+    short_ks = [x for x in ks if x < k_max]
+    first = F.min(F.struct("__prio", "__sk")).alias("__first")
+    parts = []
+    if short_ks:
+        grams = _grams(hay, short_ks).groupBy("__k", "__g").agg(first)
+        parts.append(keyed.where(F.col("__k") < k_max).join(grams, ["__k", "__g"]).select("__n", "__first"))
+    if k_max in ks:
+        pos = _grams(hay, [k_max])
+        # how many positions carry each K-gram (partial counts before the shuffle)
+        freq = pos.groupBy("__g").agg(F.count(F.lit(1)).alias("__c"))
+        # the needle is keyed by its rarest K-gram, so it meets only the positions of that gram. A K-gram
+        # found nowhere (count 0) proves that the needle is not contained: it is dropped before any fan-out.
+        ng = (keyed.where(F.col("__k") == k_max)
+              .select("__n", F.explode(F.sequence(F.lit(1), F.length("__n") - k_max + 1)).alias("__p"))
+              .select("__n", F.substring("__n", F.col("__p"), k_max).alias("__g")))
+        rarest = (ng.join(freq, "__g", "left").groupBy("__n")
+                  .agg(F.min(F.struct(F.coalesce("__c", F.lit(0)).alias("c"), F.col("__g").alias("g"))).alias("__m"))
+                  .where(F.col("__m.c") > 0).select("__n", F.col("__m.g").alias("__g")))
+        parts.append(rarest.join(pos, "__g").where(F.col("__hay").contains(F.col("__n"))).groupBy("__n").agg(first))
+
+    found = None
+    for p in parts:
+        found = p if found is None else found.unionByName(p)
     distinct = distinct.select("__n")
-    out = (distinct.join(resolved, "__n", "left") if resolved is not None
-           else distinct.withColumns({"__sk": F.lit(None).cast("bigint"), "__step": F.lit(None).cast("int")}))
-    out = out.select(
-        F.col("__n").alias(needle),
-        F.coalesce(F.col("__sk"), F.lit(default)).cast("bigint").alias(sk),
-        *([F.coalesce(F.col("__step"), F.lit(-1)).alias("step")] if with_step else []),
-    )
-    return out
+    nothing = F.lit(None).cast("struct<__prio: int, __sk: bigint>")
+    out = distinct.join(found, "__n", "left") if found is not None else distinct.withColumn("__first", nothing)
+    return out.select(
+        F.col("__n").alias(needle), F.coalesce(F.col("__first.__sk"), F.lit(default)).cast("bigint").alias(sk),
+        *([F.coalesce(F.col("__first.__prio"), F.lit(-1)).alias("step")] if with_step else []))
 
 
 def attach_containment(df: DataFrame, needle: str, dim: DataFrame, hay_cols: Sequence[str],

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from carelake.operators.keys import with_surrogate_key
+from carelake.session import pin
 
 ColumnOrName = Column | str
 
@@ -121,6 +122,73 @@ def median(c: ColumnOrName, exact: bool = True, accuracy: int = 10000) -> Column
     return F.median(col) if exact else F.percentile_approx(col, 0.5, accuracy)
 
 
+def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, ps: Mapping[str, float],
+                      ranges: int | None = None) -> DataFrame:
+    """Exact percentiles (``percentile_cont``: linear between the two middle values) per group, without a buffer of the
+    group's values.
+
+    The groups' histograms (group, value, count) are one aggregate; dealt to sorted ranges, they get running counts: each range
+    sums its own, and one row per range gives what lies before it. A value's places among all rows then follow, the group's
+    first place and size name the wanted places, and the values that cover them are picked. No task holds a group: one with
+    half of all rows is as many ranges as its distinct values fill. NULL values do not count; a group of NULLs alone
+    has NULL percentiles; NULL keys are a group.
+    """
+    spark = df.sparkSession
+    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    g = [f"__g{i}" for i in range(len(keys))]
+    named = df.select(*[F.col(k).alias(a) for k, a in zip(keys, g)], F.col(value).cast("double").alias("__v"))
+    hist = named.groupBy(*g, "__v").agg(F.count(F.lit(1)).alias("__c"))
+    order = [F.col(a).asc_nulls_first() for a in [*g, "__v"]]
+    dealt = pin(hist.repartitionByRange(ranges, *order).withColumn("__range", F.spark_partition_id()), "histogram")
+    sizes = dealt.groupBy("__range").agg(F.sum("__c").alias("__n"))
+    before = sizes.select("__range", F.coalesce(F.sum("__n").over(
+        Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))  # one row per range
+    inside = Window.partitionBy("__range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    placed = (dealt.withColumn("__in", F.coalesce(F.sum("__c").over(inside), F.lit(0)))
+              .join(F.broadcast(before), "__range").withColumn("__from", F.col("__before") + F.col("__in")))
+    full = placed.where(F.col("__v").isNotNull())
+    groups = placed.groupBy(*g).agg(F.min(F.when(F.col("__v").isNotNull(), F.col("__from"))).alias("__first"),
+                                    F.coalesce(F.sum(F.when(F.col("__v").isNotNull(), F.col("__c"))), F.lit(0)).alias("__n"))
+    wanted = groups.withColumns({f"__p{i}": (F.col("__n") - 1) * F.lit(float(p)) for i, p in enumerate(ps.values())})
+    same = F.lit(True)
+    for a in g:
+        same = same & F.col(f"h.{a}").eqNullSafe(F.col(f"w.{a}"))
+    at = F.col("h.__from") - F.col("w.__first")  # the value's first place in its group
+
+    def covers(place):
+        return (at <= place) & (place < at + F.col("h.__c"))
+
+    near = F.lit(False)
+    for i in range(len(ps)):
+        near = near | covers(F.floor(f"w.__p{i}")) | covers(F.ceil(f"w.__p{i}"))
+    picked = full.alias("h").join(wanted.alias("w"), same & near)  # two rows a group and percentile at most
+    aggs = []
+    for i, name in enumerate(ps):
+        p = F.col(f"w.__p{i}")
+        low = F.max(F.when(covers(F.floor(p)), F.col("h.__v")))
+        high = F.max(F.when(covers(F.ceil(p)), F.col("h.__v")))
+        aggs.append((low + (high - low) * F.max(p - F.floor(p))).alias(name))
+    found = picked.groupBy(*[F.col(f"w.{a}").alias(a) for a in g]).agg(*aggs)
+    back = F.lit(True)
+    for a in g:
+        back = back & groups[a].eqNullSafe(found[a])
+    return groups.join(found, back, "left").select(*[groups[a].alias(k) for a, k in zip(g, keys)], *ps)
+
+
+def grain_totals(base: DataFrame, grains: Mapping[str, Sequence[str]], aggs: Sequence[Column]) -> dict[str, DataFrame]:
+    """The totals of several grains from one aggregate (GROUPING SETS), stored once: one shuffle of the narrow rows (keys
+    and measures), distinct counts included, instead of one set of shuffles per grain."""
+    cols = list(dict.fromkeys(k for keys in grains.values() for k in keys))
+    sets = base.groupingSets([[F.col(k) for k in keys] for keys in grains.values()], *cols).agg(
+        F.grouping_id().alias("__gid"), *aggs)
+    stored = pin(sets, "grains")
+    out = {}
+    for name, keys in grains.items():
+        gid = sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in keys)
+        out[name] = stored.where(F.col("__gid") == gid).drop("__gid", *[c for c in cols if c not in keys])
+    return out
+
+
 def occupancy(days: Column, n: Column, month_days: float = 30.44) -> Column:
     """Days / (stays x 30.44) x 100, 0 when there are no stays."""
     return F.when(n > 0, days.cast("double") / (n * F.lit(month_days)) * 100).otherwise(F.lit(0.0))

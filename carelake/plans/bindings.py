@@ -461,12 +461,13 @@ def moving_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def median_stay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Median, min / max / mean and occupancy of stay length per establishment."""
-    li = table(spark, sf_dir, "lineitem").withColumn("jours", F.col("l_quantity").cast("int"))
-    return (li.groupBy("l_suppkey")
-            .agg(measures.median("jours").alias("duree_mediane"), *measures.stats("jours", "duree"),
-                 measures.occupancy(F.sum("jours"), F.count(F.lit(1))).alias("taux_occupation"),
-                 measures.share(F.sum(F.when(F.col("jours") > 25, 1).otherwise(0)), F.count(F.lit(1)))
-                 .alias("pct_longs")))
+    li = table(spark, sf_dir, "lineitem").select("l_suppkey", F.col("l_quantity").cast("int").alias("jours"))
+    stats = (li.groupBy("l_suppkey")
+             .agg(*measures.stats("jours", "duree"),
+                  measures.occupancy(F.sum("jours"), F.count(F.lit(1))).alias("taux_occupation"),
+                  measures.share(F.sum(F.when(F.col("jours") > 25, 1).otherwise(0)), F.count(F.lit(1)))
+                  .alias("pct_longs")))
+    return stats.join(measures.exact_percentiles(li, ["l_suppkey"], "jours", {"duree_mediane": 0.5}), "l_suppkey")
 
 
 def territorial_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

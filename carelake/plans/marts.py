@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carelake.operators.joins import attach_totals
-from carelake.operators.measures import avg_if, sum_if, weighted_mean
+from carelake.operators.measures import avg_if, grain_totals, sum_if, weighted_mean
 from carelake.session import pin
 
 
@@ -141,20 +141,16 @@ def dm_consultations_agregees(fc, d_temps, d_etab, d_diag, d_pro, d_spec, d_pati
                     "nombre_consultations", "duree_consultation"))
     base = _pin(base)
     n, dur = F.col("nombre_consultations"), F.col("duree_consultation")
-    g_etab = base.groupBy("sk_temps", "sk_etablissement").agg(
-        F.sum(n).alias("nb_consultations_etablissement"), F.sum(dur).alias("duree_totale_etablissement"),
-        F.count_distinct("sk_patient").alias("nb_patients_uniques_etablissement"))
-    g_diag = base.groupBy("sk_temps", "sk_etablissement", "sk_diagnostic").agg(
-        F.sum(n).alias("nb_consultations_diagnostic"), F.sum(dur).alias("duree_totale_diagnostic"),
-        F.count_distinct("sk_patient").alias("nb_patients_uniques_diagnostic"))
-    g_pro = base.groupBy("sk_temps", "sk_professionnel").agg(
-        F.sum(n).alias("nb_consultations_professionnel"), F.sum(dur).alias("duree_totale_professionnel"),
-        F.count_distinct("sk_patient").alias("nb_patients_uniques_professionnel"))
     prof_keys = ["sk_temps", "sexe", "tranche_age", "age"]
-    g_prof = (base.where((F.col("sexe") != "I") & (F.col("tranche_age") != "Non renseigne"))
-              .groupBy(*prof_keys).agg(
-                  F.sum(n).alias("nb_consultations_profil"), F.sum(dur).alias("duree_totale_profil"),
-                  F.count_distinct("sk_patient").alias("nb_patients_uniques_profil")))
+    grains = grain_totals(base, {
+        "etablissement": ["sk_temps", "sk_etablissement"], "diagnostic": ["sk_temps", "sk_etablissement", "sk_diagnostic"],
+        "professionnel": ["sk_temps", "sk_professionnel"], "profil": prof_keys},
+        [F.sum(n).alias("nb_consultations"), F.sum(dur).alias("duree_totale"),
+         F.count_distinct("sk_patient").alias("nb_patients_uniques")])
+    g_etab, g_diag, g_pro, g_prof = (
+        grains[g].withColumnsRenamed({c: f"{c}_{g}" for c in ("nb_consultations", "duree_totale", "nb_patients_uniques")})
+        for g in ("etablissement", "diagnostic", "professionnel", "profil"))
+    g_prof = g_prof.where((F.col("sexe") != "I") & (F.col("tranche_age") != "Non renseigne"))
     etab_m = ["nb_consultations_etablissement", "duree_totale_etablissement", "nb_patients_uniques_etablissement"]
     diag_m = ["nb_consultations_diagnostic", "duree_totale_diagnostic", "nb_patients_uniques_diagnostic"]
     # the (day, establishment) grain nests in (day, establishment, diagnosis): attach it
@@ -191,27 +187,27 @@ def dm_hospitalisations_agregees(fh, d_temps, d_etab, d_diag, d_patient, as_of)
     base = _pin(base)
     n, days = F.col("nombre_hospitalisations"), F.col("jour_hospitalisation")
 
-    def measures(suffix):
-        return [F.sum(n).alias(f"nb_hospitalisations_{suffix}"), F.sum(days).alias(f"duree_totale_{suffix}"),
-                F.count_distinct("sk_patient").alias(f"nb_patients_uniques_{suffix}"),
-                F.avg(days).alias(f"duree_moyenne_{suffix}")]
-
     def names(suffix):
         return [f"nb_hospitalisations_{suffix}", f"duree_totale_{suffix}", f"nb_patients_uniques_{suffix}",
                 f"duree_moyenne_{suffix}"]
 
     # the region is an attribute of the establishment, so the grains nest:
     # (day, region) <- (day, establishment) <- (day, establishment, diagnosis).
-    # Coarser totals are attached to the finer aggregates (one row per group), and the
-    # wide detail rows are shuffled once for all three instead of once per grain.
-    g_etab = base.groupBy("sk_temps", "sk_etablissement", "region_etablissement").agg(*measures("etablissement"))
-    g_diag = base.groupBy("sk_temps", "sk_etablissement", "sk_diagnostic").agg(*measures("diagnostic"))
+    # Coarser totals are attached to the finer aggregates (one row per group), and the wide
+    # detail rows are joined once for all three; the totals of all grains come from one aggregate.
     prof_keys = ["sk_temps", "sexe", "tranche_age", "age"]
-    g_prof = (base.where((F.col("sexe") != "I") & (F.col("tranche_age") != "Non renseigne"))
-              .groupBy(*prof_keys).agg(*measures("profil")))
-    g_reg = (base.where(F.col("region_etablissement").isNotNull()
-                        & (F.col("region_etablissement") != "Non renseigne"))
-             .groupBy("sk_temps", "region_etablissement").agg(*measures("region")))
+    grains = grain_totals(base, {
+        "etablissement": ["sk_temps", "sk_etablissement", "region_etablissement"],
+        "diagnostic": ["sk_temps", "sk_etablissement", "sk_diagnostic"], "profil": prof_keys,
+        "region": ["sk_temps", "region_etablissement"]},
+        [F.sum(n).alias("nb_hospitalisations"), F.sum(days).alias("duree_totale"),
+         F.count_distinct("sk_patient").alias("nb_patients_uniques"), F.avg(days).alias("duree_moyenne")])
+    g_etab, g_diag, g_prof, g_reg = (
+        grains[g].withColumnsRenamed({c: f"{c}_{g}" for c in ("nb_hospitalisations", "duree_totale", "nb_patients_uniques",
+                                                              "duree_moyenne")})
+        for g in ("etablissement", "diagnostic", "profil", "region"))
+    g_prof = g_prof.where((F.col("sexe") != "I") & (F.col("tranche_age") != "Non renseigne"))
+    g_reg = g_reg.where(F.col("region_etablissement").isNotNull() & (F.col("region_etablissement") != "Non renseigne"))
     g_etab = attach_totals(g_etab, g_reg, ["sk_temps", "region_etablissement"], names("region"))
     g_diag = attach_totals(g_diag, g_etab.drop("region_etablissement"), ["sk_temps", "sk_etablissement"],
                            names("etablissement") + names("region"))
