@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from typing import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -107,7 +107,7 @@ def pseudonymize(c: Column | str, n: int = 8) -> Column:
 def lookup(fact: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]] | Sequence[str],
            sk: str | Sequence[str], required: bool = True, default=-1,
            right_filter: Column | None = None, as_name: str | None = None,
-           strict: bool = False, broadcast: bool = False) -> DataFrame:
+           strict: bool | str = False, broadcast: bool = False) -> DataFrame:
     """Look up dimension column(s) ``sk`` for every fact row.
 
     * ``required``: inner join, unmatched facts are dropped (J01); otherwise a
@@ -116,6 +116,8 @@ def lookup(fact: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]] | Sequ
       the reference's ``LIKE`` residual on the right side).
     * ``strict``: keep one dimension row per key (smallest ``sk``) so duplicate
       keys cannot multiply facts; the default reproduces the reference's fan-out (T17).
+      ``"fail"``: a fact that meets a duplicate key fails the job, naming the key (duplicates that
+      no fact asks for do no harm).
     * ``broadcast``: only for dimensions with a size bound by construction;
       otherwise AQE picks broadcast from the runtime size.
     """
@@ -127,11 +129,16 @@ def lookup(fact: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]] | Sequ
     rkeys = [f"__lk_{i}" for i in range(len(pairs))]
     d = d.select(*[F.col(r).alias(a) for (_, r), a in zip(pairs, rkeys)], *sks)
     if strict:
-        d = d.groupBy(*rkeys).agg(F.min(F.struct(*sks)).alias("__v")).select(*rkeys, "__v.*")
+        d = d.groupBy(*rkeys).agg(F.min(F.struct(*sks)).alias("__v"), F.count(F.lit(1)).alias("__dup"))
+        d = d.select(*rkeys, "__v.*", *(["__dup"] if strict == "fail" else []))
     if broadcast:
         d = F.broadcast(d)
     cond = [fact[l] == d[r] for (l, _), r in zip(pairs, rkeys)]
     joined = fact.join(d, cond, "inner" if required else "left").drop(*rkeys)
+    if strict == "fail":
+        key = F.concat_ws(", ", *[fact[l].cast("string") for l, _ in pairs])
+        broken = F.raise_error(F.concat(F.lit("duplicate dimension key: "), key))
+        joined = joined.withColumn(sks[0], F.when(F.col("__dup") > 1, broken).otherwise(F.col(sks[0]))).drop("__dup")
     if not required and default is not None:
         joined = joined.withColumns({s: F.coalesce(F.col(s), F.lit(default)) for s in sks})
     if as_name and len(sks) == 1:
@@ -139,6 +146,43 @@ def lookup(fact: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]] | Sequ
     return joined
 
 
+def lookup_report(name: str, fact: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]] | Sequence[str],
+                  right_filter: Column | None = None) -> DataFrame:
+    """One row on what a lookup does, before it runs: fact rows that find a key (``matched``), that find none
+    (``missed``; NULL keys among them, ``null_keys``), that find several (``multiplied``) with the rows they add (``extra_rows``), and
+    the duplicate keys of the dimension. Both sides are counted by key first, so a hot key is one row of the join."""
+    pairs = [(k, k) if isinstance(k, str) else tuple(k) for k in on]
+    keys = [f"__k{i}" for i in range(len(pairs))]
+    f = fact.groupBy(*[F.col(l).alias(k) for (l, _), k in zip(pairs, keys)]).agg(F.count(F.lit(1)).alias("__f"))
+    d = (dim if right_filter is None else dim.where(right_filter))
+    d = d.groupBy(*[F.col(r).alias(k) for (_, r), k in zip(pairs, keys)]).agg(F.count(F.lit(1)).alias("__d"))
+    null_key = F.lit(False)
+    for k in keys:
+        null_key = null_key | F.col(k).isNull()
+    d = d.where(~null_key)
+    j = f.join(d, keys, "full_outer")
+    rows, found = F.coalesce("__f", F.lit(0)), F.coalesce("__d", F.lit(0))
+
+    def total(cond, value=None):
+        return F.coalesce(F.sum(F.when(cond, rows if value is None else value)), F.lit(0)).cast("bigint")
+
+    return j.agg(F.coalesce(F.sum(rows), F.lit(0)).cast("bigint").alias("fact_rows"), total(found > 0).alias("matched"),
+                 total(found == 0).alias("missed"), total(null_key).alias("null_keys"), total(found > 1).alias("multiplied"),
+                 total(found > 1, rows * (found - 1)).alias("extra_rows"),
+                 F.count_if(found > 1).alias("duplicate_keys")).select(F.lit(name).alias("lookup"), "*")
+
+
+def observed_lookup(fact: DataFrame, dim: DataFrame, on, sk: str, name: str, **kw) -> tuple[DataFrame, Observation]:
+    """An optional lookup that counts what it does while it runs: after the action on the returned frame,
+    ``observation.get`` has ``rows_out``, ``matched`` and ``missed``; no pass is added."""
+    obs = Observation(name)
+    out = lookup(fact, dim, on, sk, required=False, default=None, **kw)
+    col = kw.get("as_name") or sk
+    seen = out.observe(obs, F.count(F.lit(1)).alias("rows_out"), F.count(F.col(col)).alias("matched"),
+                       F.count_if(F.col(col).isNull()).alias("missed"))
+    return seen.withColumn(col, F.coalesce(F.col(col), F.lit(-1))), obs
+
+
 def duplicate_keys(dim: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once in a dimension (the T17 fan-out report)."""
     return dim.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)

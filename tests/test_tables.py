@@ -188,3 +188,60 @@ def test_containment_priorities_from_one_index(spark):
     assert got == want and {s for _, s in want.values()} == {-1, 1, 2, 3}
     plan = physical(out).split("== Initial Plan ==")[-1]
     assert plan.count("Exchange") < 15 and "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+# --- check suite, lookups, clustered writes ----------------------------------------------------------
+
+def test_suite_counts_planted_failures_with_one_scan_per_table(spark, tmp_root):
+    from carelake.operators import suite
+    child = [(1, "a", 5, True), (2, "a", 5, False), (2, None, 99, True), (None, "b", None, True), (2, "c", 7, True)]
+    spark.createDataFrame(child, "id int, v string, p int, cur boolean").write.parquet(f"{tmp_root}/child")
+    spark.createDataFrame([(5,), (7,), (7,), (None,)], "p int").write.parquet(f"{tmp_root}/parent")
+    t = {n: spark.read.parquet(f"{tmp_root}/{n}") for n in ("child", "parent")}
+    out = suite.run(t, [suite.not_null("child", "id", "v", "p"), suite.unique("child", "id"), suite.unique("child", "id", "v"),
+                        suite.unique("parent", "p"), suite.one_current("child", "id", flag="cur"),
+                        suite.accepted_values("child", "v", ["a", "b"]), suite.in_range("child", "p", 5, 50),
+                        suite.holds("child", "id_lt_p", lambda: F.col("id") < F.col("p")),
+                        suite.relationship("child", "p", "parent", "p"), suite.not_null("parent", "p")])
+    got = [(r.check_name, r.table_name, r.column_name, r.failures, r.passed) for r in out.collect()]
+    assert sorted(got, key=str) == sorted([
+        ("not_null", "child", "id", 1, False), ("not_null", "child", "v", 1, False), ("not_null", "child", "p", 1, False),
+        ("unique", "child", "id", 1, False), ("unique_combination", "child", "id,v", 0, True), ("unique", "parent", "p", 1, False),
+        ("one_current_version", "child", "id", 1, False), ("accepted_values", "child", "v", 1, False),
+        ("accepted_range", "child", "p", 1, False), ("holds:id_lt_p", "child", None, 0, True),
+        ("relationship", "child", "p", 1, False), ("not_null", "parent", "p", 1, False)], key=str)
+    plan = physical(out).split("== Initial Plan ==")[-1]
+    assert plan.count("FileScan parquet") == 2 and plan.count("Exchange hashpartitioning") <= 2
+    empty = suite.run({n: d.where("false") for n, d in t.items()}, [suite.unique("child", "id"), suite.relationship("child", "p", "parent", "p")])
+    assert [r.failures for r in empty.collect()] == [0, 0]
+    with pytest.raises(ValueError, match="not given"):
+        suite.run(t, [suite.unique("nowhere", "id")])
+
+
+def test_lookup_report_strict_failure_and_observation(spark):
+    from carelake.operators.keys import lookup, lookup_report, observed_lookup
+    fact = spark.createDataFrame([(1, "x"), (2, "y"), (2, "z"), (3, "w"), (None, "n")], "k int, v string")
+    dim = spark.createDataFrame([(1, 10), (2, 20), (2, 21), (9, 90), (9, 91), (None, 0)], "k int, sk int")
+    r = lookup_report("f", fact, dim, ["k"]).first()
+    assert r.asDict() == {"lookup": "f", "fact_rows": 5, "matched": 3, "missed": 2, "null_keys": 1, "multiplied": 2, "extra_rows": 2, "duplicate_keys": 2}
+    assert lookup_report("e", fact.where("false"), dim.where("false"), ["k"]).first()["fact_rows"] == 0
+    with pytest.raises(Exception, match="duplicate dimension key: 2"):
+        lookup(fact, dim, ["k"], "sk", required=False, strict="fail").collect()
+    fine = lookup(fact.where("k <> 2"), dim, ["k"], "sk", required=False, strict="fail").collect()  # no fact asks for key 9
+    assert sorted((x.v, x.sk) for x in fine) == [("w", -1), ("x", 10)]
+    out, obs = observed_lookup(fact, dim, ["k"], "sk", "seen")
+    assert len(out.collect()) == 7 and obs.get == {"rows_out": 7, "matched": 5, "missed": 2}
+
+
+def test_partitioned_writes_are_clustered_and_star_joins_prune(spark, tmp_root):
+    from carelake.sources.io import read_layer, write_layer
+    df = spark.range(4000).select("id", (F.col("id") % 6 + 2000).cast("int").alias("annee"), (F.col("id") % 12).cast("int").alias("mois")).repartition(16)
+    path = write_layer(df, tmp_root, "dwh", "t", partition_by=["annee", "mois"], sort_within=["id"])
+    counts = [len([f for f in fs if f.endswith(".parquet")]) for d, _, fs in os.walk(path) if "mois=" in d]
+    assert len(counts) == 12 and max(counts) == 1  # not one file per task and partition
+    t = read_layer(spark, tmp_root, "dwh", "t")
+    spark.range(2000, 2006).selectExpr("cast(id as int) annee", "id % 3 as q").write.parquet(f"{tmp_root}/years")
+    dim = spark.read.parquet(f"{tmp_root}/years").where("q = 0")
+    joined = t.join(F.broadcast(dim), "annee").groupBy("annee").count()
+    assert "dynamicpruning" in physical(joined)
+    assert {r.annee: r["count"] for r in joined.collect()} == {2001: 667, 2004: 666}
