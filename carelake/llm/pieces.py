@@ -9,6 +9,9 @@ No piece holds a space inside, so the lattice falls apart at spaces into chunks
 Chunks follow Zipf's law: each distinct chunk is filtered once, and kept by the worker; sampling
 then walks all chunks of a batch together, one piece at a step.
 
+A chunk of more than ``LONG`` characters (a text without spaces) is filtered and drawn alone, in windows, by a walk over its
+edges: time and temporaries stay in proportion to its length.
+
 Draws come from a counter: a mix of the row key, a seed and the place in the text. The result of a row
 depends on nothing else, whatever batch, task or attempt it is in.
 
@@ -22,6 +25,7 @@ and texts give equal results.
 
 from __future__ import annotations
 
+import math
 import zlib
 
 import numpy as np
@@ -37,6 +41,7 @@ SPACE = 0x2581
 _LITERAL = 0x110000  # stands for a U+2581 of the text itself: beyond Unicode, so no piece holds it
 _BASE = 0xA0761D6478BD642F
 MAX_NODES = 4_000_000  # lattice characters one worker keeps
+LONG = 512             # characters of a chunk that is walked alone, window by window
 
 
 class Vocabulary:
@@ -67,8 +72,7 @@ class Vocabulary:
         score = np.array(scores) if unigram else -np.log(rank + 10)
         score -= np.log(np.exp(score - score.max()).sum()) + score.max()
         self.longest = max(len(x) for x in names)
-        points = [np.array([ord(c) for c in x], dtype=np.int64) for x in names]
-        keys = np.array([_key(x)[0] for x in points], dtype=np.uint64)
+        keys = _keys(names)
         order = np.argsort(keys)
         self.keys, self.ids, self.weights = keys[order], np.array(ids, np.int32)[order], alpha * score[order]
         self.unknown = alpha * (score.min() - 10)
@@ -83,10 +87,14 @@ def _code(points: np.ndarray) -> np.ndarray:
     return mix(points.astype(np.uint64), seed=51) | np.uint64(1)
 
 
-def _key(points: np.ndarray) -> np.ndarray:
-    """The hash of one whole piece, as spans of a longer text are hashed."""
-    total = (_code(points) * _powers(_BASE, len(points))).sum(dtype=np.uint64)
-    return mix(np.array([total + np.uint64(len(points))], dtype=np.uint64), seed=52)
+def _keys(names: list[str]) -> np.ndarray:
+    """The hash of every piece, as spans of a longer text are hashed."""
+    size = np.array([len(x) for x in names], dtype=np.int64)
+    points = np.frombuffer("".join(names).encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
+    at = np.concatenate([[0], np.cumsum(size)[:-1]])
+    place = np.arange(len(points)) - np.repeat(at, size)
+    total = np.add.reduceat(_code(points) * _powers(_BASE, int(size.max()))[place], at)
+    return mix(total + size.astype(np.uint64), seed=52)
 
 
 class _Points:
@@ -148,61 +156,105 @@ class Lattices:
         base = self._first.n - 1
         at = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
         lo = 0
-        while lo < len(sizes):  # a bounded piece of the dense edge table at a time
-            hi = max(lo + 1, int(np.searchsorted(at, at[lo] + 100_000)))
-            a = int(at[lo])
-            b = int(at[hi - 1] + sizes[hi - 1])
-            self._filter(points[a:b], sizes[lo:hi])
+        while lo < len(sizes):  # a bounded piece at a time; a long chunk is a piece of its own
+            if sizes[lo] > LONG:
+                self._filter_long(points[at[lo]:at[lo] + sizes[lo]])
+                lo += 1
+                continue
+            long = lo + np.flatnonzero(sizes[lo:lo + 100_000] > LONG)[:1]
+            hi = max(lo + 1, min(int(np.searchsorted(at, at[lo] + 100_000)), int(long[0]) if len(long) else len(sizes)))
+            self._filter(points[at[lo]:at[hi - 1] + sizes[hi - 1]], sizes[lo:hi])
             lo = hi
         place = np.searchsorted(self.keys, keys)  # both are sorted
         self.keys, self.node = np.insert(self.keys, place, keys), np.insert(self.node, place, base + at)
 
-    def _filter(self, points, sizes) -> None:
-        v, n = self.v, len(points)
-        begin = np.repeat(np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64), sizes)
-        place = np.arange(n) - begin  # of the character in its chunk
-        spans = _Points(points)
-        weight = np.full((v.longest, n), -np.inf)
-        ids = np.zeros((v.longest, n), dtype=np.int32)
+    def _edges(self, points, place, first: int = 0):
+        """(end, length, weight, id) of all edges that end at the characters from ``first`` on, by end and length. ``place``: of
+        each character in its chunk."""
+        v, spans = self.v, _Points(points)
+        ends, lengths, weights, ids = [], [], [], []
+        nodes = np.arange(first, len(points))
         for length in range(1, v.longest + 1):
-            end = np.flatnonzero(place >= length - 1)
-            if not len(end):
+            nodes = nodes[place[nodes] >= length - 1]
+            if not len(nodes):
                 break
-            h = spans.spans(end - length + 1, length)
-            hit = v.filter[h >> np.uint64(44)]
-            end, h = end[hit], h[hit]
+            h = spans.spans(nodes - length + 1, length)
+            hit = np.flatnonzero(v.filter[h >> np.uint64(44)])
+            h = h[hit]
             i = np.minimum(np.searchsorted(v.keys, h), len(v.keys) - 1)
-            hit = v.keys[i] == h
-            weight[length - 1, end[hit]], ids[length - 1, end[hit]] = v.weights[i[hit]], v.ids[i[hit]]
-        bare = np.isneginf(weight[0])
-        weight[0, bare] = v.unknown
-        ids[0, bare] = -1 - points[bare].astype(np.int32)  # a byte fallback, told by its character
-        # forward: the log sum over all paths to each place, all chunks in step, longest first
-        order = np.argsort(-sizes, kind="stable")
-        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)[order]
-        alive = np.searchsorted(-sizes[order], -np.arange(1, int(sizes.max(initial=0)) + 1), side="right")
-        forward = np.zeros(n)
-        reach = np.full((v.longest, n), -np.inf)
-        for t, m in enumerate(alive.tolist()):
-            node = starts[:m] + t
-            paths = weight[:, node]
-            for length in range(1, min(t, v.longest) + 1):
-                paths[length - 1] += forward[node - length]
-            top = paths.max(axis=0)
-            forward[node] = top + np.log(np.exp(paths - top).sum(axis=0))
-            reach[:, node] = paths - forward[node]
-        p = np.exp(reach).T
-        rank = np.argsort(-p, axis=1, kind="stable")
-        p = np.take_along_axis(p, rank, axis=1)
-        real = p > 0
-        count = real.sum(axis=1)
-        cum = np.cumsum(p, axis=1)
-        cum /= cum[:, -1:]
-        cum[np.arange(n), count - 1] = 1.0
-        self._cum.append(cum[real])
-        self._length.append(rank[real] + 1)
-        self._id.append(np.take_along_axis(ids.T, rank, axis=1)[real])
-        self._first.append(self._first.all[self._first.n - 1] + np.cumsum(count))
+            same = v.keys[i] == h
+            end, i = nodes[hit[same]], i[same]
+            w, piece = v.weights[i], v.ids[i]
+            if length == 1:  # a character without a piece gets a byte fallback, told by its character
+                bare = np.ones(len(points), dtype=bool)
+                bare[end] = False
+                bare = nodes[bare[nodes]]
+                end = np.concatenate([end, bare])
+                w = np.concatenate([w, np.full(len(bare), v.unknown)])
+                piece = np.concatenate([piece, -1 - points[bare].astype(np.int32)])
+            ends.append(end)
+            lengths.append(np.full(len(end), length, dtype=np.int64))
+            weights.append(w)
+            ids.append(piece)
+        end = np.concatenate(ends)
+        order = np.argsort(end, kind="stable")
+        return end[order], np.concatenate(lengths)[order], np.concatenate(weights)[order], np.concatenate(ids)[order]
+
+    def _store(self, end, length, log_p, ids) -> None:
+        """Keep the edges of consecutive characters, which are ordered by end; every character has one."""
+        cut = np.flatnonzero(np.concatenate([[True], end[1:] != end[:-1], [True]]))
+        p = np.exp(log_p)
+        order = np.argsort(end + 0.5 * (1 - np.minimum(p, 1.0)), kind="stable")  # likelier edges of a character first
+        p = p[order]
+        cum = np.cumsum(p)
+        before = np.concatenate([[0.0], cum])[cut]
+        size = np.diff(cut)
+        cum = (cum - np.repeat(before[:-1], size)) / np.repeat(np.diff(before), size)
+        cum[cut[1:] - 1] = 1.0
+        self._cum.append(cum)
+        self._length.append(length[order])
+        self._id.append(ids[order])
+        self._first.append(self._first.all[self._first.n - 1] + cut[1:])
+
+    def _filter(self, points, sizes) -> None:
+        n = len(points)
+        begin = np.repeat(np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64), sizes)
+        place = np.arange(n) - begin
+        end, length, weight, ids = self._edges(points, place)
+        # forward: the log sum over all paths to each character, all chunks in step: edges by the place where they end
+        by = np.argsort(place[end].astype(np.uint16), kind="stable")
+        e, back, w = end[by], end[by] - length[by], weight[by]
+        back = np.where(length[by] > place[e], n, back)  # paths to a chunk's beginning have weight 0
+        cut = np.searchsorted(place[e], np.arange(int(sizes.max(initial=0)) + 1))
+        forward = np.zeros(n + 1)
+        for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()):
+            node, paths = e[a:b], w[a:b] + forward[back[a:b]]
+            first = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
+            top = np.maximum.reduceat(paths, first)
+            sums = np.add.reduceat(np.exp(paths - np.repeat(top, np.diff(np.append(first, b - a)))), first)
+            forward[node[first]] = top + np.log(sums)
+        source = np.where(length > place[end], n, end - length)
+        self._store(end, length, weight + forward[source] - forward[end], ids)
+
+    def _filter_long(self, points, window: int = 50_000) -> None:
+        """One long chunk, window by window: the same sums, one character after another."""
+        longest = self.v.longest
+        tail = [0.0]  # the sums at the last characters before the window, and 0 at the chunk's beginning
+        for a in range(0, len(points), window):
+            b = min(len(points), a + window)
+            lo = max(0, a - longest)
+            end, length, weight, ids = self._edges(points[lo:b], np.arange(lo, b), a - lo)
+            end -= a - lo
+            forward, at = tail, len(tail) - 1  # forward[at + 1 + i] is the sum at the window's character i
+            sizes, lengths, weights, i = np.bincount(end, minlength=b - a).tolist(), length.tolist(), weight.tolist(), 0
+            for k, m in enumerate(sizes):
+                paths = [weights[j] + forward[at + 1 + k - lengths[j]] for j in range(i, i + m)]
+                top = max(paths)
+                forward.append(top + math.log(sum([math.exp(x - top) for x in paths])))
+                i += m
+            f = np.array(forward)
+            self._store(end, length, weight + f[at + 1 + end - length] - f[at + 1 + end], ids)
+            tail = forward[-longest - 1:]
 
 
 _WORKER: dict[tuple, Lattices] = {}
@@ -232,6 +284,30 @@ def _points_of(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.nd
     return out, bounds
 
 
+def _uniform(draw, place) -> np.ndarray:
+    """Numbers in [0, 1) fixed by a row's draw key and a place in its text."""
+    return (mix(draw + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), seed=63) >> np.uint64(11)) * 2.0**-53
+
+
+def _draw_long(lattices: Lattices, node: int, size: int, draw, origin: int, window: int = 1 << 16) -> np.ndarray:
+    """The pieces of one long chunk, drawn from the last to the first."""
+    first, cum, length, ids = lattices.first, lattices.cum, lattices.length, lattices.id
+    out, left = [], size
+    while left > 0:
+        low = max(0, left - window)  # the places (low, left] of this window
+        u = _uniform(np.full(left - low, draw), origin + np.arange(low + 1, left + 1)).tolist()
+        a, z = int(first[node + low]), int(first[node + left])
+        at, c, n = (first[node + low:node + left] - a).tolist(), cum[a:z].tolist(), length[a:z].tolist()
+        stop = low
+        while left > stop:
+            e, x = at[left - 1 - low], u[left - 1 - low]
+            while x >= c[e]:
+                e += 1
+            out.append(a + e)
+            left -= n[e]
+    return ids[np.array(out, dtype=np.int64)]
+
+
 def encode(column, keys: np.ndarray, path: str, alpha: float = 1.0, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """(ids, bounds): one sampled segmentation of every row, row i at ids[bounds[i]:bounds[i + 1]].
     ``keys``: a 64-bit key of each row, which with ``seed`` fixes its draws."""
@@ -260,24 +336,36 @@ def encode(column, keys: np.ndarray, path: str, alpha: float = 1.0, seed: int =
     row = np.searchsorted(bounds, start, side="right") - 1
     draw = mix(keys.astype(np.uint64) ^ mix(np.array([seed], np.uint64), seed=61), seed=62)[row]
     # backward: every chunk draws its last piece, then the one before it, until all are at their beginnings
-    left, alive = size.copy(), np.arange(len(start))
     ids_at, ids_of, step = [], [], []
     taken = np.zeros(len(start), dtype=np.int64)
+    origin = start - bounds[row]
+    short = size <= LONG
+    for chunk in np.flatnonzero(~short).tolist():
+        drawn = _draw_long(lattices, int(node[chunk]), int(size[chunk]), draw[chunk], int(origin[chunk]))
+        taken[chunk] = len(drawn)
+        ids_at.append(np.full(len(drawn), chunk))
+        ids_of.append(drawn)
+        step.append(np.arange(len(drawn)))
+    alive = np.flatnonzero(short)
+    left, last, place, key = size[alive], (node + size - 1)[alive], (origin + size)[alive], draw[alive]
+    first, cum, lengths, pieces = lattices.first, lattices.cum, lattices.length, lattices.id
+    drawn = 0
     while len(alive):
-        at = node[alive] + left[alive] - 1
-        place = (start[alive] - bounds[row[alive]] + left[alive]).astype(np.uint64)
-        u = (mix(draw[alive] + place * np.uint64(0x9E3779B97F4A7C15), seed=63) >> np.uint64(11)) * 2.0**-53
-        edge = lattices.first[at]
-        behind = np.flatnonzero(u >= lattices.cum[edge])
+        u = _uniform(key, place)
+        edge = first[last]
+        behind = np.flatnonzero(u >= cum[edge])
         while len(behind):
             edge[behind] += 1
-            behind = behind[u[behind] >= lattices.cum[edge[behind]]]
+            behind = behind[u[behind] >= cum[edge[behind]]]
         ids_at.append(alive)
-        ids_of.append(lattices.id[edge])
-        step.append(taken[alive])
-        taken[alive] += 1
-        left[alive] -= lattices.length[edge]
-        alive = alive[left[alive] > 0]
+        ids_of.append(pieces[edge])
+        step.append(np.full(len(alive), drawn))
+        drawn += 1
+        jump = lengths[edge].astype(np.int64)
+        on = np.flatnonzero(left > jump)
+        taken[alive] = drawn
+        jump = jump[on]
+        alive, left, last, place, key = alive[on], left[on] - jump, last[on] - jump, place[on] - jump, key[on]
     # put the pieces, drawn from the last to the first, in order
     total = np.concatenate([[0], np.cumsum(taken)])
     ids = np.empty(int(total[-1]), dtype=np.int64)

@@ -126,6 +126,22 @@ def test_op2_draws_follow_the_lattice():
         assert abs(seen[parts] / n - w / total) < 4 * math.sqrt(0.25 / n)
 
 
+def test_op2_text_without_spaces_is_walked_in_linear_time(monkeypatch):
+    r = random.Random(7)
+    text = "".join(r.choice(["quick", "brown", "été", "日本", "x", "qq"]) for _ in range(260_000))
+    assert len(text.encode()) > 1_000_000
+    column, keys = pa.array([text, "a b", text[:900]]), np.array([1, 2, 3], dtype=np.uint64)
+    ids, at = pieces.encode(column, keys, PIECES, 1.0, 1)
+    assert pieces.decode(ids, at, PIECES) == [text.encode(), b"a b", text[:900].encode()]
+    # a chunk gets the same draws by either walk
+    short = pa.array([text[:400]])
+    one = pieces.encode(short, keys[:1], PIECES, 1.0, 1)[0]
+    monkeypatch.setattr(pieces, "LONG", 16)
+    pieces._WORKER.clear()
+    assert (pieces.encode(short, keys[:1], PIECES, 1.0, 1)[0] == one).all()
+    pieces._WORKER.clear()
+
+
 def test_op3_top_k(spark, docs):
     r = random.Random(2)
     rows = [(i, [r.uniform(-1, 1) for _ in range(6)]) for i in range(300)]
