@@ -95,27 +95,40 @@ class Model:
             hashes = mix(hashes + (coarse.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15), seed=87)
         return (hashes % np.uint64(ROWS)).astype(np.int64) + np.arange(TEMPLATES)[:, None] * ROWS
 
+    def _logits(self, factor: int, rows: np.ndarray, coarse: np.ndarray | None) -> np.ndarray:
+        """(tokens, classes); shifted, each token's largest to 0, where exponentials could leave single precision."""
+        w = self.w[factor]
+        z = w.take(rows[0], axis=0)
+        z += w.take(rows[1], axis=0)
+        z += w.take(rows[2], axis=0)
+        z += self.bias1 if coarse is None else self.bias2.take(coarse, axis=0)
+        if z.size and (z.max() > 60 or z.min() < -60):
+            z -= z.max(axis=1, keepdims=True)
+        return z
+
     def p(self, factor: int, rows: np.ndarray, coarse: np.ndarray | None = None) -> np.ndarray:
         """Probabilities (tokens, classes) of one factor."""
-        w = self.w[factor]
-        z = w[rows[0]]
-        z += w[rows[1]]
-        z += w[rows[2]]
-        z += self.bias1 if coarse is None else self.bias2[coarse]
-        z -= z.max(axis=1, keepdims=True)
+        z = self._logits(factor, rows, coarse)
         np.exp(z, out=z)
-        z /= z.sum(axis=1, keepdims=True)
+        z /= np.einsum("ij->i", z)[:, None]
         return z
 
+    def log_p(self, factor: int, rows: np.ndarray, target: np.ndarray, coarse: np.ndarray | None = None) -> np.ndarray:
+        """Log probability of each token's ``target`` class in one factor."""
+        z = self._logits(factor, rows, coarse)
+        at = z[np.arange(len(target)), target].astype(np.float64)
+        np.exp(z, out=z)
+        return at - np.log(np.einsum("ij->i", z).astype(np.float64))
+
     def class_log_p(self, hashes: np.ndarray, cls: np.ndarray) -> np.ndarray:
         """Natural log probability of every token's class given its history."""
         out = np.empty(len(cls))
         for a in range(0, len(cls), BATCH):
             h, c = hashes[:, a:a + BATCH], cls[a:a + BATCH]
-            coarse, fine, i = c % COARSE, c // COARSE, np.arange(len(c))
-            out[a:a + BATCH] = np.log(self.p(0, self.rows(h))[i, coarse].astype(np.float64))
-            out[a:a + BATCH] += np.log(self.p(1, self.rows(h, coarse), coarse)[i, fine].astype(np.float64))
-        return np.maximum(out, -200.0)  # beyond the range of single precision
+            coarse, fine = c % COARSE, c // COARSE
+            out[a:a + BATCH] = self.log_p(0, self.rows(h), coarse)
+            out[a:a + BATCH] += self.log_p(1, self.rows(h, coarse), fine, coarse)
+        return np.maximum(out, -200.0)
 
 
 class Trainer(Model):
@@ -132,14 +145,20 @@ class Trainer(Model):
         for factor, rows, target, given in ((0, self.rows(hashes), coarse, None), (1, self.rows(hashes, coarse), fine, coarse)):
             grad = self.p(factor, rows, given)
             grad[np.arange(len(target)), target] -= 1
+            pairs = grad.view(np.complex64)  # two classes a number: half as many steps in the sums by row
             for t in range(TEMPLATES):
                 order = np.argsort((rows[t] - t * ROWS).astype(np.uint16), kind="stable")  # a radix sort
                 sorted_rows = rows[t][order]
                 first = np.flatnonzero(np.concatenate([[True], sorted_rows[1:] != sorted_rows[:-1]]))
-                g = np.add.reduceat(grad[order], first, axis=0)
+                g = np.add.reduceat(pairs.take(order, axis=0), first, axis=0).view(np.float32)
                 r = sorted_rows[first]
-                self.square[factor][r] += g * g
-                self.w[factor][r] -= self.rate * g / np.sqrt(self.square[factor][r])
+                square = self.square[factor].take(r, axis=0)
+                square += g * g
+                self.square[factor][r] = square
+                np.sqrt(square, out=square)
+                g /= square
+                g *= np.float32(self.rate)
+                self.w[factor][r] = self.w[factor].take(r, axis=0) - g
                 self.met[factor][r] += np.diff(np.append(first, len(order)))
 
 
