@@ -25,8 +25,9 @@ whichever components have become the largest meanwhile, until none is left.
 Any linked pair shares a kept key, so it ends in one component: no link is lost.
 
 Defined cases: documents without words (null, empty, only white space) have an empty set and no links; a document with
-fewer words than a shingle is one shingle, its whole word sequence; a null id gets component null (it is compared
-as the largest id); equal rows are one class. Sets are compared as 64-bit shingle hashes.
+fewer words than a shingle is one shingle, its whole word sequence; a null id counts as larger than any other (a component
+of null ids alone has component null); rows that share an id, with equal or other texts, are compared each; equal sets are
+one class. Sets are compared as 64-bit shingle hashes, classes by a 63-bit code of their 128-bit identity.
 """
 
 from __future__ import annotations
@@ -151,9 +152,10 @@ def _signatures(n: int):
 
 
 class _Block:
-    """The representatives of one block: their sets and band keys."""
+    """The representatives of one block: their sets and band keys. A class goes by its code from here on: ids may repeat
+    or be null."""
 
-    def __init__(self, texts: pa.Table, chosen: set[int], n: int, measure: Measure, bits: int):
+    def __init__(self, texts: pa.Table, chosen: dict[int, dict[tuple[int, int], int]], n: int, measure: Measure, bits: int):
         self.docs, self.sets, keys, self.slots = [], [], [], []
         done: set[int] = set()
         for _, part in in_slices(texts):
@@ -163,10 +165,11 @@ class _Block:
                 continue
             part = part.take(wanted)
             for doc, shingles in zip(ids[wanted].tolist(), shingle_sets(Words(part.column("text"), fold=True), n)):
-                if doc in done:  # a repeated id stands once
+                code = chosen[doc].get(set_id(shingles))
+                if code is None or code in done:  # another text of the id, or the same once more
                     continue
-                done.add(doc)
-                self.docs.append(doc)
+                done.add(code)
+                self.docs.append(code)
                 self.sets.append(shingles)
                 for band in measure.bands(len(shingles)) if len(shingles) else []:
                     k, spare = part_keys(shingles, band, measure)
@@ -179,8 +182,14 @@ class _Block:
         self.present, self.cuts = bucket_cuts(self.keys, 32)
 
 
-def _chosen(right: pa.Table) -> set[int]:
-    return set(ids_of(right.filter(pc.equal(right.column("bucket"), -1)).column("doc_id")).tolist())
+def _chosen(right: pa.Table) -> dict[int, dict[tuple[int, int], int]]:
+    """id -> set identity -> class code of a block's representatives."""
+    rows = right.filter(pc.equal(right.column("bucket"), -1))
+    out: dict[int, dict[tuple[int, int], int]] = {}
+    for doc, text in zip(ids_of(rows.column("doc_id")).tolist(), rows.column("payload").to_pylist()):
+        h1, h2, code = (int(x) for x in text.split(b","))
+        out.setdefault(doc, {})[h1, h2] = code
+    return out
 
 
 def _ask(n, measure, bits):
@@ -376,10 +385,12 @@ def _kept(docs: DataFrame, n: int, measure: Measure, id_col: str, text: str) ->
     # null ids sort last, so a class has a null representative only if all its ids are null
     reps = (signed.where("n_shingles > 0").groupBy("n_shingles", "h1", "h2")
             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "block")).alias("r")))
-    reps = pin(reps.select("n_shingles", "h1", "h2", F.col("r.doc_id").alias("rep"), F.col("r.block").alias("block")), "classes")
+    code = F.shiftrightunsigned(F.xxhash64("n_shingles", "h1", "h2"), 1)
+    reps = pin(reps.select("n_shingles", "h1", "h2", F.col("r.doc_id").alias("rep"), F.col("r.block").alias("block"), code.alias("code")), "classes")
     # a set with no room for another linked size has no partner but its equals
-    chosen = (reps.where(F.col("rep").isNotNull() & (F.col("n_shingles") >= measure.num // max(1, measure.den - measure.num)))
-              .select(F.lit(-1).alias("bucket"), "block", F.col("rep").alias("doc_id"), F.lit(None).cast("binary").alias("payload")))
+    identity = F.encode(F.concat_ws(",", *[F.col(c).cast("string") for c in ("h1", "h2", "code")]), "utf-8")
+    chosen = (reps.where(F.col("n_shingles") >= measure.num // max(1, measure.den - measure.num))
+              .select(F.lit(-1).alias("bucket"), "block", F.col("rep").alias("doc_id"), identity.alias("payload")))
     texts = dealt.groupBy("block")
     asked = texts.cogroup(chosen.groupBy("block")).applyInArrow(_ask(n, measure, bits), "bucket int, block int, keys binary, counts binary")
     counted = asked.groupBy("bucket").applyInArrow(_count, "bucket int, block int, doc_id long, payload binary")
@@ -390,14 +401,16 @@ def _kept(docs: DataFrame, n: int, measure: Measure, id_col: str, text: str) ->
 
 def jaccard_links(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
                   text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(links, membership): every linked pair (u, v), u < v, of class representatives, and (doc_id, n_shingles, rep)
-    of every document (rep null for an empty set). Documents of one class are linked with each other, and the
-    links of their representative are theirs."""
+    """(links, membership): every linked pair of classes, as their representatives' ids u and v (u the smaller; null last) and
+    their codes, and (doc_id, n_shingles, rep, code) of every document (null rep and code for an empty set). Documents of one
+    class are linked with each other, and the links of their class are theirs."""
     measure = Measure(num, den)
     signed, reps, kept = _kept(docs, n, measure, id_col, text)
     pairs = _cross_pairs(kept, None, measure).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-    member = signed.join(reps.drop("block"), ["n_shingles", "h1", "h2"], "left").select("doc_id", "n_shingles", "rep")
-    return _links(pairs, kept, measure), member
+    side = lambda x: reps.select(F.col("code").alias(x), F.struct(F.col("rep").isNull().alias("z"), "rep", F.col("code").alias("c")).alias(f"s{x}"))
+    both = _links(pairs, kept, measure).join(side("u"), "u").join(side("v"), "v").select(F.least("su", "sv").alias("a"), F.greatest("su", "sv").alias("b"))
+    member = signed.join(reps.drop("block"), ["n_shingles", "h1", "h2"], "left").select("doc_id", "n_shingles", "rep", "code")
+    return both.select(F.col("a.rep").alias("u"), F.col("b.rep").alias("v"), F.col("a.c").alias("code_u"), F.col("b.c").alias("code_v")), member
 
 
 def jaccard_classes(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
@@ -405,16 +418,18 @@ def jaccard_classes(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
     """(doc_id, n_shingles, component_id): the set size and the smallest id reachable by links."""
     measure = Measure(num, den)
     signed, reps, kept = _kept(docs, n, measure, id_col, text)
-    labels = _all_labels(kept, measure).select(F.col("doc_id").alias("rep"), F.col("label").alias("component_id"))
-    classes = (reps.join(labels, "rep", "left")
-               .select("n_shingles", "h1", "h2", F.coalesce("component_id", "rep").alias("component_id")))
+    labels = _all_labels(kept, measure).select(F.col("doc_id").alias("code"), "label")
+    named = reps.join(labels, "code", "left").withColumn("label", F.coalesce("label", "code"))
+    least = named.groupBy("label").agg(F.min("rep").alias("component_id"))
+    classes = named.join(least, "label").select("n_shingles", "h1", "h2", "component_id")
     return (signed.where("n_shingles > 0").join(classes, ["n_shingles", "h1", "h2"]).select("doc_id", "n_shingles", "component_id")
             .union(signed.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))))
 
 
 def keep_one(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents without those whose component has a smaller id; rows that share an id stay together, and
+    """The documents without those whose component has a smaller id. Rows that share an id stay together, if one of them stays;
     documents without words or without an id stay."""
     found = jaccard_classes(docs, n, num, den, id_col, text)
-    gone = found.where("component_id != doc_id").select(F.col("doc_id").alias("__gone")).distinct()
+    gone = (found.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("__gone"))
+            .agg(F.min(F.col("component_id") != F.col("doc_id")).alias("__all")).where("__all").select("__gone"))
     return docs.join(gone, F.col(f"`{id_col}`").cast("long") == F.col("__gone"), "left_anti")

@@ -365,6 +365,23 @@ def test_op10_components_and_links(docs, none, odd):
     assert {r.doc_id for r in sketchjoin.keep_one(docs).collect()} == {d for d, _, g in want if d == g}
 
 
+def test_op10_repeated_and_null_ids_keep_their_links(spark, docs):
+    r = random.Random(1)
+    base = ["v%d" % r.randrange(10**6) for _ in range(120)]
+    alone = " ".join("u%d" % i for i in range(80))
+    rows = [(5, alone), (5, " ".join(base + ["one"])), (11, " ".join(base + ["one", "two"])), (None, " ".join(["zero"] + base)),
+            (None, " ".join("n%d" % i for i in range(100))), (None, " ".join("n%d" % i for i in range(101))), (20, alone + " x"), (20, "other words")]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(((x.doc_id, x.n_shingles, x.component_id) for x in sketchjoin.jaccard_classes(table).collect()), key=str)
+    want = [(5, 76, 5), (5, 117, 5), (11, 118, 5), (None, 117, 5), (None, 96, None), (None, 97, None), (20, 77, 5), (20, 1, 20)]
+    assert got == sorted(want, key=str)
+    links, member = sketchjoin.jaccard_links(table)
+    assert sorted(((x.u, x.v) for x in links.collect()), key=str) == sorted([(5, 11), (5, None), (11, None), (None, None), (5, 20)], key=str)
+    assert member.where("code is null").count() == 0
+    # 20 stays for its other text; rows without an id stay
+    assert sorted((x.doc_id is None, x.doc_id or 0) for x in sketchjoin.keep_one(table).collect()) == [(False, 5), (False, 5), (False, 20), (False, 20)] + [(True, 0)] * 3
+
+
 def test_op10_sketch_bounds():
     r = np.random.default_rng(3)
     m = sketchjoin.Measure()
