@@ -16,7 +16,9 @@ exact. Each block gives its k best rows of every query, and the k best of these
 The query rows (a stated set) are dealt to slots; a block of the index meets each slot once. Defined cases: a row
 with a null id or vector, or a null or non-finite component, takes no part; rows with one id and one
 vector stand once, rows with one id and other vectors stand each; no row with a query's id is its candidate, and the
-query rows of one id share its k places; missing components of shorter vectors count as 0; fewer than k candidates give all of them.
+query rows of one id share its k places; a component beyond 64 bits stands at
+the nearer end of their range; rows are ranked by exact scores of any size, and a score beyond 64 bits is reported as the nearer
+end of their range; missing components of shorter vectors count as 0; fewer than k candidates give all of them.
 """
 
 from __future__ import annotations
@@ -28,10 +30,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from carelake.llm.blocks import shuffle_partitions
 from carelake.session import pin
 
 BLOCK_ROWS = 32768
-SLOT_QUERIES = 128
+SLOT_BYTES = 1 << 20  # query vectors that meet a block of the index at once
 
 
 def quantised(vectors: DataFrame, id_col: str, vector: str, scale: int) -> DataFrame:
@@ -61,8 +64,8 @@ def _matrix(column, dim: int | None = None) -> np.ndarray:
 def build_slices(values: np.ndarray) -> tuple[np.ndarray, int]:
     """(slices[attribute, bit, word], width) of an integer matrix (rows, attributes)."""
     n, dim = values.shape
-    width = max(int(values.max(initial=0)).bit_length(), int(-1 - values.min(initial=0)).bit_length()) + 1
-    u = (values + (1 << (width - 1))).astype(np.uint64)
+    width = max(int(values.max(initial=0)).bit_length(), int(~values.min(initial=0)).bit_length()) + 1
+    u = values.astype(np.uint64) + np.uint64(1 << (width - 1))  # modulo 2**64
     words = -(-n // 64) or 1
     out = np.zeros((dim, width, words * 8), dtype=np.uint8)
     for b in range(width):
@@ -161,7 +164,13 @@ def _build(key, table):
 
 
 _INDEX = "block int, n int, dim int, width int, ids binary, slices binary"
-_RESULT = "query_id long, vec_id long, score long"
+_RESULT = "query_id long, vec_id long, score long, exact binary"
+EXACT_BYTES = 24  # products of 64-bit numbers, summed over up to 2**63 attributes
+
+
+def exact_key(score: int) -> bytes:
+    """Bytes that sort like the score; empty where the score itself fits a long (``score`` sorts before ``exact``)."""
+    return b"" if -2**63 < score < 2**63 - 1 else (score + (1 << (8 * EXACT_BYTES - 1))).to_bytes(EXACT_BYTES, "big")
 
 
 def build_index(rows: DataFrame) -> DataFrame:
@@ -171,9 +180,15 @@ def build_index(rows: DataFrame) -> DataFrame:
     return dealt.groupBy("block").applyInArrow(_build, _INDEX)
 
 
+def slots_for(queries: int, query_bytes: int, blocks: int, partitions: int) -> int:
+    """Into how many slots the queries are dealt. The index is shuffled once a slot, so slots are as large as a task's
+    memory allows; only where the blocks are too few to fill the cluster are there more, down to one query each."""
+    return max(1, math.ceil(query_bytes / SLOT_BYTES), min(queries, math.ceil(partitions / blocks)))
+
+
 def _search(k: int):
     def search(key, queries: pa.Table, index: pa.Table) -> pa.Table:
-        out = ([], [], [])
+        out = ([], [], [], [])
         if index.num_rows and queries.num_rows:
             row = index.to_pylist()[0]
             ids = np.frombuffer(row["ids"], dtype=np.int64)
@@ -189,8 +204,11 @@ def _search(k: int):
                 at = select_top(score, allowed, k)
                 out[0].extend([q] * len(at))
                 out[1].extend(ids[at].tolist())
-                out[2].extend(_score_at(score, at, extra))
-        return pa.table({c: pa.array(x, pa.int64()) for c, x in zip(("query_id", "vec_id", "score"), out)})
+                scores = _score_at(score, at, extra)
+                out[2].extend(min(max(s, -2**63), 2**63 - 1) for s in scores)
+                out[3].extend(exact_key(s) for s in scores)
+        return pa.table({c: pa.array(x, pa.int64()) for c, x in zip(("query_id", "vec_id", "score"), out)}
+                        | {"exact": pa.array(out[3], pa.binary())})
     return search
 
 
@@ -201,12 +219,13 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, id
     rows = pin(quantised(vectors, id_col, vector, scale), "vectors")
     index = pin(build_index(rows), "index")
     queries = rows.where(is_query)
-    slots = max(1, math.ceil(queries.count() / SLOT_QUERIES))
-    blocks = index.select("block")
+    asking = queries.agg(F.count(F.lit(1)), F.sum(F.size("v").cast("long"))).first()
+    blocks = (index.agg(F.max("block")).first()[0] or 0) + 1
+    slots = slots_for(asking[0], 8 * (asking[1] or 0), blocks, shuffle_partitions(vectors.sparkSession))
     # every slot of queries meets every block: both sides are dealt by (block, slot)
     asked = (queries.select(F.col("vec_id").alias("query_id"), "v", F.pmod(F.xxhash64("vec_id", F.lit(5)), F.lit(slots)).cast("int").alias("slot"))
-             .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(max(0, (blocks.agg(F.max("block")).first()[0] or 0)))))))
+             .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))))
     held = index.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
     best = (asked.groupBy("block", "slot").cogroup(held.groupBy("block", "slot")).applyInArrow(_search(k), _RESULT))
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")  # k rows from every block
+    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("exact").desc(), "vec_id")  # k rows from every block
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
