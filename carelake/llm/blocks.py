@@ -42,9 +42,11 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def text_blocks(docs: DataFrame, id_col: str, text: str, blocks: int, rest: bool = False) -> DataFrame:
-    """(block, doc_id, text[, rest]): null text is empty; ``rest`` keeps the whole row as a struct."""
-    cols = [F.pmod(F.xxhash64(F.col(f"`{id_col}`")), F.lit(blocks)).cast("int").alias("block"),
+def text_blocks(docs: DataFrame, id_col: str, text: str, blocks: int, rest: bool = False, by_text: bool = False) -> DataFrame:
+    """(block, doc_id, text[, rest]): null text is empty; ``rest`` keeps the whole row as a struct. With ``by_text``
+    the rows of one id (or of none) are spread by their texts; otherwise they share a block."""
+    of = [id_col, text] if by_text else [id_col]
+    cols = [F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in of]), F.lit(blocks)).cast("int").alias("block"),
             F.col(f"`{id_col}`").cast("long").alias("doc_id"),
             F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text")]
     if rest:

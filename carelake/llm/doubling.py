@@ -10,12 +10,13 @@ before, until the wanted length is reached or no candidate survives.
 Each level is one block-bucket exchange (``blocks.py``). Below the wanted length only "does another
 document hold it?" is asked, with short keys: a chance agreement adds a candidate and is dropped
 at the next level. At the wanted length the keys are 64-bit hashes of an independent polynomial and
-carry the smallest document id of the block, and one bit comes back: is there a smaller document
+carry the smallest document id of the block (a row names only the ids it needs), and one bit comes back: is there a smaller document
 elsewhere? If so, every occurrence in the block goes; if not, the block itself holds the smallest.
 
 Defined cases: null text holds no words; a null id sorts after all others (its windows yield to every
 other document's); rows with the same id are one document, so they do not remove each other's
-windows; documents shorter than the window lose nothing; other columns are not looked at.
+windows, and are dealt to blocks by their texts, so that many rows of one id or without one do not meet in
+one task; documents shorter than the window lose nothing; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -45,6 +46,23 @@ def level_lengths(n: int, first: int) -> list[int]:
     return out
 
 
+def _place_type(n: int):
+    """The narrowest unsigned type for places in a list of n."""
+    return np.uint8 if n <= 2**8 else np.uint16 if n <= 2**16 else np.uint32
+
+
+def pack_docs(doc_ids: np.ndarray, ranks: np.ndarray) -> tuple[bytes, bytes]:
+    """(places, ids) of one bucket row's documents, one a key: only the ids that the row names travel with it, so
+    its size follows its keys (at most 12 bytes each), not the documents of the block."""
+    named, place = np.unique(ranks, return_inverse=True)
+    return place.astype(_place_type(len(named))).tobytes(), doc_ids[named].tobytes()
+
+
+def unpack_docs(places: bytes, ids: bytes) -> np.ndarray:
+    doc_ids = np.frombuffer(ids, dtype=np.int64)
+    return doc_ids[np.frombuffer(places, dtype=_place_type(len(doc_ids)))]
+
+
 class _Block:
     """One block's words and, level by level, which window starts are still candidates."""
 
@@ -110,17 +128,15 @@ def _asker(lengths, bits, level):
         starts, keys, index = block.ask(level)
         last = level == len(lengths) - 1
         present, cuts = bucket_cuts(keys, 64 - bits if last else 32)
-        wide = np.uint16 if len(block.doc_ids) < 2**16 else np.uint32
-        best = block.smallest(starts, keys, index).astype(wide) if last else None
-        docs = block.doc_ids.tobytes() if last else b""
+        best = block.smallest(starts, keys, index) if last else None
         n = len(present)
-        parts = [keys[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+        at = list(zip(cuts[:-1], cuts[1:]))
+        named = [pack_docs(block.doc_ids, best[a:b]) if last else (b"", b"") for a, b in at]
         return pa.table({
             "bucket": pa.array(present, pa.int32()), "block": pa.array([key[0].as_py()] * n, pa.int32()),
             "level": pa.array([level] * n, pa.int32()),
-            "keys": pa.array([(p.tobytes() if last else pack_short(p)) for p in parts], pa.binary()),
-            "mins": pa.array([best[a:b].tobytes() if last else b"" for a, b in zip(cuts[:-1], cuts[1:])], pa.binary()),
-            "docs": pa.array([docs] * n, pa.binary())})
+            "keys": pa.array([keys[a:b].tobytes() if last else pack_short(keys[a:b]) for a, b in at], pa.binary()),
+            "mins": pa.array([m for m, _ in named], pa.binary()), "docs": pa.array([d for _, d in named], pa.binary())})
     if level:
         return lambda key, table, replies: ask(key, table, replies)
     return lambda key, table: ask(key, table)
@@ -139,11 +155,7 @@ def _combine(last: bool):
         every = np.concatenate(keys) if len(keys) else np.zeros(0, np.uint64)
         flags = np.zeros(len(every), dtype=bool)
         if last:
-            docs = []
-            for m, d in zip(table.column("mins").to_pylist(), table.column("docs").to_pylist()):
-                ids = np.frombuffer(d, dtype=np.int64)
-                rank = np.frombuffer(m, dtype=np.uint16 if len(ids) < 2**16 else np.uint32)
-                docs.append(ids[rank])
+            docs = [unpack_docs(m, d) for m, d in zip(table.column("mins").to_pylist(), table.column("docs").to_pylist())]
             order = np.argsort(every, kind="stable")
             doc = np.concatenate(docs)[order] if docs else np.zeros(0, np.int64)
             every = every[order]
@@ -177,7 +189,7 @@ def _find(docs: DataFrame, id_col: str, text: str, n: int, first: int, finish, s
         raise ValueError("1 <= first and n < 32768 are required")
     lengths = level_lengths(n, first)
     blocks, bits = plan_blocks(docs, text)
-    dealt = text_blocks(docs, id_col, text, blocks, rest)
+    dealt = text_blocks(docs, id_col, text, blocks, rest, by_text=True)
     grouped = dealt.groupBy("block")
     replies = None
     for level in range(len(lengths)):

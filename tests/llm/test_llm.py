@@ -170,6 +170,27 @@ def test_op3_one_id_with_two_vectors(spark, docs):
     assert sorted(tuple(x) for x in bitslice.top_k(df, F.col("vec_id") % 50 == 0).collect()) == want
 
 
+def test_op3_components_of_any_size(spark, docs):
+    """Scores beyond 64 bits rank by their exact values; the reported score stands at the end of the range."""
+    r = random.Random(8)
+    low, high = -2**63, 2**63 - 1
+    rows = [(i, [r.choice([1e15, -1e15, 1e18, -1e300, 3e16, 0.5, r.uniform(-1e16, 1e16)]) for _ in range(5)]) for i in range(120)]
+    good = {i: [min(max(math.floor(256 * x), low), high) if abs(x) < 1e300 else (high if x > 0 else low) for x in v] for i, v in rows}
+    want = set()
+    for q in (0, 50, 100):
+        s = sorted((-sum(a * b for a, b in zip(good[q], good[c])), c) for c in good if c != q)[:5]
+        want |= {(q, k + 1, c, min(max(-m, low), high)) for k, (m, c) in enumerate(s)}
+    df = spark.createDataFrame([(i, v, i, "s", b"x") for i, v in rows],
+                               "vec_id long, embedding array<double>, score long, block string, exact binary")
+    assert {tuple(x) for x in bitslice.top_k(df, F.col("vec_id") % 50 == 0).collect()} == want
+
+
+def test_op3_slots_follow_bytes_not_queries():
+    index_shuffles = [bitslice.slots_for(q, q * 512, blocks, 200) for q, blocks in ((1600, 3), (1 << 20, 1600), (1 << 24, 25600))]
+    assert index_shuffles == [67, 512, 8192]
+    assert bitslice.slots_for(0, 0, 1, 8) == 1 and bitslice.slots_for(3, 1536, 1, 8) == 3
+
+
 def _removed(texts, n):
     low = {}
     for d, t in texts:
@@ -195,6 +216,32 @@ def test_op4_removal(docs, none, n, first):
     assert doubling.removal_digest(none, n, first).count() == 0
 
 
+def test_op4_bucket_rows_follow_their_keys():
+    """A block of 2,000 documents spread over 4,096 buckets sends bytes by its keys, not its ids once a bucket."""
+    r = np.random.default_rng(3)
+    ids = np.sort(r.choice(2**40, 2000, replace=False)).astype(np.int64)
+    best = r.integers(0, 2000, 20000)
+    sent = 0
+    for part in np.array_split(best, 4096):
+        places, names = doubling.pack_docs(ids, part)
+        assert (doubling.unpack_docs(places, names) == ids[part]).all()
+        sent += len(places) + len(names)
+    assert sent <= 9 * len(best)
+    places, names = doubling.pack_docs(ids, best)
+    assert len(places) == 2 * len(best) and (doubling.unpack_docs(places, names) == ids[best]).all()
+
+
+def test_op4_many_rows_of_one_id_or_none(spark, docs):
+    """They are one document each, wherever their rows are dealt."""
+    rows = [(d, t) for t in list(TEXT.values())[:40] for d in (None, 4, 9)]
+    big = 2**63 - 1
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((big if r[0] is None else r[0], *r[1:]) for r in doubling.removal_digest(df).collect())
+    assert got == _removed([(big if d is None else d, t) for d, t in rows], 13)
+    dealt = doubling.text_blocks(df.where("doc_id is null"), "doc_id", "text", 16, by_text=True)
+    assert dealt.select("block").distinct().count() > 8
+
+
 def test_op4_odd_rows_and_texts(odd, docs):
     big = 2**63 - 1
     want = _removed([*TEXT.items(), (ROWS[5][0], ROWS[5][1]), (big, ROWS[5][1])], 13)
