@@ -15,7 +15,9 @@ from carelake.operators.match import containment_lookup
 from carelake.plans.bound import BoundWarehouse, table
 from carelake.session import pin, scratch_path
 from carelake.sources.bucketed import BucketedTable
+from carelake.sources.fileindex import IndexedTable
 from carelake.sources.io import read_layer, write_layer
+from carelake.streaming.incremental import incremental_fact_load
 
 ATTRS = ["segment", "nation"]
 
@@ -254,9 +256,26 @@ GROUP BY 2, 3
 UNION ALL SELECT 'people', 'M', 'b' || (c_custkey % 5)::VARCHAR, count(*), sum(c_custkey)::BIGINT FROM customer WHERE c_custkey % 2 = 0 GROUP BY 3"""
 
 
+def incremental_moved_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D08 by file index: orders before 1998 are appended; then a batch brings 1998 and replays late 1997 under the next
+    year, and a stream replays everything under another year. Every key stays where it came first."""
+    root = scratch_path(spark, f"indexed-{uuid.uuid4().hex}")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("jour"), F.year("o_orderdate").alias("annee"))
+    fact = IndexedTable(spark, f"{root}/fait", ["o_orderkey"], ["annee"])
+    fact.append_new(o.where(F.col("jour") < F.lit(dt.date(1998, 1, 1))))
+    late = o.where((F.col("jour") >= F.lit(dt.date(1997, 7, 1))) & (F.col("jour") < F.lit(dt.date(1998, 1, 1))))
+    fact.append_new(late.withColumn("annee", F.col("annee") + 1).unionByName(o.where(F.col("jour") >= F.lit(dt.date(1998, 1, 1)))))
+    o.withColumn("annee", F.col("annee") + 1).write.parquet(f"{root}/src/again")
+    incremental_fact_load(spark, f"{root}/src/*", o.schema, f"{root}/fait", ["o_orderkey"], "annee", checkpoint=f"{root}/ckpt")
+    return spark.read.parquet(f"{root}/fait").select("o_orderkey", "jour", F.col("annee").cast("int").alias("annee"))
+
+
+_INCREMENTAL_MOVED_KEYS = "SELECT o_orderkey, o_orderdate::DATE AS jour, year(o_orderdate)::INTEGER AS annee FROM orders"
+
+
 QUERIES = {f.__name__: f for f in (bucketed_scd2, bucketed_upsert, unique_patients_rollup, percentiles_price, containment_priorities,
-                                   dq_suite, lookup_reports, partitioned_storage)}
+                                   dq_suite, lookup_reports, partitioned_storage, incremental_moved_keys)}
 ORACLES = {"bucketed_scd2": _BUCKETED_SCD2, "bucketed_upsert": _BUCKETED_UPSERT, "unique_patients_rollup": _UNIQUE_PATIENTS_ROLLUP,
            "percentiles_price": _PERCENTILES_PRICE, "containment_priorities": _CONTAINMENT_PRIORITIES, "dq_suite": _DQ_SUITE,
-           "lookup_reports": _LOOKUP_REPORTS, "partitioned_storage": _PARTITIONED_STORAGE}
+           "lookup_reports": _LOOKUP_REPORTS, "partitioned_storage": _PARTITIONED_STORAGE, "incremental_moved_keys": _INCREMENTAL_MOVED_KEYS}
 DOUBLE_COLUMNS = {"percentiles_price": ["p25", "p50", "p75", "p90"]}

@@ -9,9 +9,9 @@ by the file stream source and appended to the fact table:
   stream source's bookkeeping;
 * the stream checkpoint (offsets + commits) lives in the shared checkpoint
   folder, so a restarted job resumes after the last committed batch;
-* each micro-batch drops keys already present in the target (``left_anti``,
-  restricted to the target partitions the batch touches) before appending, so
-  replaying a batch after a failure writes nothing twice.
+* each micro-batch drops keys already present in the target before appending
+  (``sources/fileindex.py``: only target files whose key range meets the batch are
+  read, in any partition), so replaying a batch after a failure writes nothing twice.
 """
 
 from __future__ import annotations
@@ -19,24 +19,11 @@ from __future__ import annotations
 import os
 from typing import Callable, Sequence
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from carelake.session import scratch_path
-
-
-def _existing_keys(spark: SparkSession, target: str, key: Sequence[str], part_col: str | None,
-                   batch: DataFrame) -> DataFrame | None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(target)
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        return None  # no target yet; any failure to read an existing one is an error
-    tgt = spark.read.parquet(target)
-    if part_col:
-        days = batch.select(part_col).distinct()  # the partitions this batch touches
-        tgt = tgt.join(F.broadcast(days), part_col, "left_semi")
-    return tgt.select(*key).distinct()
+from carelake.sources.fileindex import IndexedTable
 
 
 def incremental_fact_load(spark: SparkSession, source: str, schema: T.StructType, target: str,
@@ -46,30 +33,18 @@ def incremental_fact_load(spark: SparkSession, source: str, schema: T.StructType
                           source_format: str = "parquet") -> dict:
     """Append the rows of new files under ``source`` whose ``key`` is not yet in ``target``.
 
-    Returns ``{"batches": n, "rows_written": m}`` observed while the stream ran.
+    Returns ``{"batches": n, "rows_written": m, "files_read": f}``: what the stream did, and how many target files it
+    read to find known keys.
     """
     checkpoint = checkpoint or scratch_path(spark, f"stream-{os.path.basename(target.rstrip('/'))}")
-    stats = {"batches": 0, "rows_written": 0}
+    stats = {"batches": 0, "rows_written": 0, "files_read": 0}
+    table = IndexedTable(spark, target, key, [partition_col] if partition_col else [])
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = transform(batch) if transform else batch
-        # the batch (at most max_files_per_trigger files) feeds the partition list, the
-        # anti-join and the write: keep it for the batch instead of re-reading its files
-        # three times (a lost block is recomputed from the files)
-        rows = rows.dropDuplicates(list(key)).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            existing = _existing_keys(spark, target, key, partition_col, rows)
-            new = rows if existing is None else rows.join(existing, list(key), "left_anti")
-            obs = Observation(f"batch_{batch_id}")
-            new_obs = new.observe(obs, F.count(F.lit(1)).alias("n"))
-            w = new_obs.write.mode("append")
-            if partition_col:
-                w = w.partitionBy(partition_col)
-            w.parquet(target)
-            stats["batches"] += 1
-            stats["rows_written"] += int(obs.get["n"])
-        finally:
-            rows.unpersist()
+        done = table.append_new(transform(batch) if transform else batch)
+        stats["batches"] += 1
+        stats["rows_written"] += done.rows
+        stats["files_read"] += done.files_read
 
     stream = (spark.readStream.format(source_format).schema(schema)
               .option("maxFilesPerTrigger", max_files_per_trigger).load(source))
