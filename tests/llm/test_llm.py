@@ -271,42 +271,84 @@ def test_op5_pieces(docs, none, odd):
     assert packing.pack_powers(odd, path).select("sequence_id").distinct().count() == packing.pack_powers(odd, path).count()
 
 
-def _chunks(t):
-    raw = (t or "").encode().split(b"\n")
-    data = b"\n".join(raw)
-    at, spans_ = 0, []
-    for x in raw:
-        spans_.append((at, at + len(x)))
-        at += len(x) + 1
-    s = np.array(spans_)
-    h = linechunks.span_hashes(np.frombuffer(data, np.uint8), s[:, 0], s[:, 1])
-    out, a = [], 0
-    for e in linechunks.cut_lines(h, 2, 4, 32):
-        out.append(raw[a:e])
-        a = e
+def _removable(texts):
+    """Per document (in id order): of each line, whether a pair of lines that holds it also stands at an earlier place."""
+    seen, out = set(), {}
+    for d, t in texts:
+        lines = (t or "").split("\n")
+        flags = [False] * len(lines)
+        for i, pair in enumerate(zip(lines, lines[1:])):
+            if pair in seen:
+                flags[i] = flags[i + 1] = True
+            seen.add(pair)
+        out[d] = lines, flags
     return out
 
 
+def _subsequence(small, large):
+    rest = iter(large)
+    return all(x in rest for x in small)
+
+
 def test_op6_line_chunks(docs, none, odd):
-    seen, want = set(), {}
-    for d in sorted(TEXT):
-        kept, lines, gone = [], 0, 0
-        for c in _chunks(TEXT[d]):
-            known = len(c) > 1 and b"".join(c).split() and tuple(c) in seen
-            seen.add(tuple(c))
-            if known:
-                gone, lines = gone + 1, lines + len(c)
-            else:
-                kept += c
-        n = len((TEXT[d] or "").split("\n"))
-        want[d] = (n, lines, gone, hashlib.sha256(b"\n".join(kept)).hexdigest())
-    got = {r.doc_id: tuple(r)[1:] for r in linechunks.chunk_digest(docs).collect()}
-    assert got == want and sum(w[2] for w in want.values()) > 3
+    left = {r.doc_id: r.text for r in linechunks.remove_repeated_chunks(docs).collect()}
+    assert set(left) == set(TEXT) and [d for d in left if left[d] is None] == [d for d in TEXT if TEXT[d] is None]
+    gone = 0
+    for d, (lines, flags) in _removable(sorted(TEXT.items())).items():
+        kept = (left[d] or "").split("\n")
+        # what stands nowhere earlier stays, in order; what is left is the document's own, in order
+        assert _subsequence([x for x, f in zip(lines, flags) if not f], kept) and _subsequence([x for x in kept if x], lines), d
+        gone += len(lines) - len(kept)
+    assert gone > 20
+    # one copy of each line stays
+    assert {x for t in TEXT.values() for x in (t or "").split("\n")} - {""} <= {x for t in left.values() for x in (t or "").split("\n")}
+    for r in linechunks.chunk_digest(docs).collect():
+        assert r.n_lines == len((TEXT[r.doc_id] or "").split("\n")) and (r.n_removed >= 2) == (r.n_chunks_removed > 0)
+        assert r.kept_sha256 == hashlib.sha256((left[r.doc_id] or "").encode()).hexdigest()
     out = linechunks.remove_repeated_chunks(docs)
-    assert out.columns == docs.columns and out.count() == len(ROWS) and out.where("text is null").count() == 1
+    assert out.columns == docs.columns
     assert linechunks.chunk_digest(none).count() == 0 and linechunks.chunk_digest(odd).count() == len(ROWS) + 2
 
 
+def test_op6_recall_of_planted_blocks(spark):
+    """Blocks of 3 to 20 lines, each in three documents of otherwise unlike lines: nine of ten repeated lines go, whole
+    where anything of a block is found, and no other line goes."""
+    r = random.Random(11)
+    line = lambda: " ".join("w%d" % r.randrange(50000) for _ in range(r.randrange(3, 12)))
+    rows, size, block = [], {}, {}
+    for m in range(3, 21):
+        for _ in range(25):
+            shared = [line() for _ in range(m)]
+            for copy in range(3):
+                text = "\n".join([*[line() for _ in range(r.randrange(0, 9))], *shared, *[line() for _ in range(r.randrange(0, 9))]])
+                size[len(rows)], block[len(rows)] = (m if copy else 0), set(shared)
+                rows.append((len(rows), text))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    left = {x.doc_id: x.text.split("\n") for x in linechunks.remove_repeated_chunks(docs).collect()}
+    found = {m: 0 for m in range(21)}
+    for d, text in rows:
+        lost = [x for x in text.split("\n") if x not in left[d]]
+        assert set(lost) <= (block[d] if size[d] else set()) and len(lost) in (0, size[d]), d
+        found[size[d]] += len(lost)
+    planted = {m: m * 50 for m in range(3, 21)}
+    assert sum(found.values()) >= 0.9 * sum(planted.values())
+    assert all(found[m] >= 0.9 * planted[m] for m in range(8, 21)), found
+
+
+def test_op6_copies_go_whole(spark):
+    """Copies of documents of two lines or more go, their last lines and runs of one same line included; texts without a
+    repeated pair of lines stay."""
+    r = random.Random(3)
+    texts = ["\n".join("l%d" % r.randrange(10**9) for _ in range(n)) for n in (1, 2, 3, 4, 7, 33, 34, 65, 200)]
+    texts += ["\n".join(["same line"] * 70)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts + texts[:-1])], "doc_id long, text string")
+    got = {x.doc_id: x for x in linechunks.chunk_digest(docs).collect()}
+    for i, t in enumerate(texts[:-1]):
+        n = len(t.split("\n"))
+        assert got[i].n_removed == 0 and got[len(texts) + i].n_removed == (n if n > 1 else 0), n
+    assert got[len(texts) - 1].n_lines == 70 and 30 <= got[len(texts) - 1].n_removed <= 68
+
+
 def test_op7_files(docs, none, odd):
     from tokenizers import Tokenizer
     path = public_tokenizers.path("byte_bpe_50k.json")
