@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 FROM, TO, CURRENT, HASH, VERSION = ("date_debut_validite", "date_fin_validite", "est_actuel",
@@ -33,27 +33,47 @@ def attribute_hash(attrs: Sequence[str]) -> F.Column:
 
 
 def scd2_history(df: DataFrame, key: Sequence[str], attrs: Sequence[str], order: str | Sequence[str],
-                 date_col: str | None = None, **frame_kw) -> DataFrame:
+                 date_col: str | None = None, chunk: int = 100_000) -> DataFrame:
     """Versions from a dated feed of snapshots.
 
     A new version starts whenever the attribute hash differs from the previous
     snapshot of the key (``lag``); its validity ends the day before the next
     version starts (``lead``); the last version is current. ``order`` gives a
     total order of snapshots within a key, ``date_col`` the validity date.
-    Both passes use bounded frames (one row back, one row ahead) evaluated over
-    chunks of a global sequence, so a key with a huge history is not one task.
+
+    The snapshots are numbered once and cut into chunks of ``chunk`` numbers, so a key with a
+    huge history is not one task. A chunk numbers its own versions of a key; only a key that goes on over a
+    chunk's edge needs to know of other chunks, so one row per such key and chunk (at most two a chunk) carries
+    how many versions came before and when the next one starts.
     """
-    from carelake.operators.measures import framed
+    from carelake.operators.measures import SEQ, in_chunks
     order = [order] if isinstance(order, str) else list(order)
-    date_col = date_col or order[0]
-    h = df.withColumn(HASH, attribute_hash(attrs))
-    h = framed(h, key, order, {"__prev": lambda w: F.lag(HASH).over(w)}, before=1, **frame_kw)
-    changes = h.where(F.col("__prev").isNull() | (F.col("__prev") != F.col(HASH))).drop("__prev")
-    nxt = {"__next": lambda w: F.lead(F.col(date_col).cast("date")).over(w),
-           CURRENT: lambda w: F.lead(F.lit(1)).over(w).isNull()}
-    v = framed(changes, key, order, nxt, after=1, position=VERSION, **frame_kw)
-    return (v.withColumn(FROM, F.col(date_col).cast("date"))
-            .withColumn(TO, F.date_sub(F.col("__next"), 1)).drop("__next"))
+    start = F.struct(F.col(date_col or order[0]).cast("date").alias("d"))  # a struct: a version may start at a NULL date
+    _, rows = in_chunks(df.withColumn(HASH, attribute_hash(attrs)), key, order, before=1, chunk=chunk)
+    w = Window.partitionBy("__chunk", *key).orderBy(SEQ)
+    prev = F.lag(HASH).over(w)
+    own = rows.withColumn("__new", prev.isNull() | (prev != F.col(HASH))).where("__own").drop("__own")
+
+    edge = [F.col(k).alias(f"__key_{k}") for k in key]
+    groups = own.groupBy(F.col("__chunk").alias("__at"), *edge).agg(
+        F.count_if("__new").alias("__n"), F.min_by(F.when(F.col("__new"), start), F.when(F.col("__new"), F.col(SEQ))).alias("__first"),
+        F.min(F.pmod(F.col(SEQ) - 1, F.lit(chunk))).alias("__lo"), F.max(F.pmod(F.col(SEQ), F.lit(chunk)) == 0).alias("__ends"))
+    over = Window.partitionBy(*[f"__key_{k}" for k in key])
+    ahead = over.orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+    behind = over.orderBy(F.col("__at").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    edges = groups.where((F.col("__lo") == 0) | F.col("__ends")).select(
+        "__at", *[f"__key_{k}" for k in key], F.sum("__n").over(ahead).alias("__before"),
+        F.last("__first", ignorenulls=True).over(behind).alias("__after"))
+
+    versions = own.where("__new").select("*", F.row_number().over(w).alias("__pos"), F.lead(start).over(w).alias("__next"))
+    same = F.col("__chunk") == F.col("__at")
+    for k in key:
+        same = same & F.col(k).eqNullSafe(F.col(f"__key_{k}"))
+    following = F.coalesce("__next", "__after")
+    return versions.join(edges, same, "left").select(
+        *df.columns, HASH, following.isNull().alias(CURRENT),
+        (F.col("__pos") + F.coalesce("__before", F.lit(0))).cast("int").alias(VERSION),
+        start["d"].alias(FROM), F.date_sub(following["d"], 1).alias(TO))
 
 
 def scd2_merge(current: DataFrame, incoming: DataFrame, key: Sequence[str],

@@ -264,6 +264,23 @@ def top_n(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
 SEQ = "__seq"
 
 
+def in_chunks(df: DataFrame, key: Sequence[str], order: Sequence[str], before: int = 0, after: int = 0,
+              chunk: int = 100_000) -> tuple[DataFrame, DataFrame]:
+    """The rows numbered (``SEQ``) over (key, order, other columns), and the same rows in chunks of ``chunk`` numbers
+    (``__chunk``) with ``before`` rows of the chunk before and ``after`` rows of the chunk after as context (not ``__own``)."""
+    if max(before, after) > chunk:
+        raise ValueError("a frame must not reach beyond the next chunk")
+    seq = with_surrogate_key(df, SEQ, [*key, *order])
+    pos = F.pmod(F.col(SEQ) - 1, F.lit(chunk))
+    ch = F.floor((F.col(SEQ) - 1) / F.lit(chunk)).cast("long")
+    rows = seq.withColumns({"__chunk": ch, "__own": F.lit(True)})
+    if before:
+        rows = rows.unionByName(seq.where(pos >= chunk - before).withColumns({"__chunk": ch + 1, "__own": F.lit(False)}))
+    if after:
+        rows = rows.unionByName(seq.where(pos < after).withColumns({"__chunk": ch - 1, "__own": F.lit(False)}))
+    return seq, rows
+
+
 def framed(df: DataFrame, key: Sequence[str], order: Sequence[str],
            exprs: Mapping[str, Callable[[WindowSpec], Column]], before: int = 0, after: int = 0,
            chunk: int = 100_000, keep_seq: bool = False, position: str | None = None) -> DataFrame:
@@ -285,19 +302,7 @@ def framed(df: DataFrame, key: Sequence[str], order: Sequence[str],
     over the stored numbering and attached per (chunk, key), at most keys + chunks rows,
     so that a hot key's rows meet it in as many groups as they have chunks.
     """
-    if max(before, after) > chunk:
-        raise ValueError("a frame must not reach beyond the next chunk")
-    seq = with_surrogate_key(df, SEQ, [*key, *order])
-    pos = F.pmod(F.col(SEQ) - 1, F.lit(chunk))
-    ch = F.floor((F.col(SEQ) - 1) / F.lit(chunk)).cast("long")
-    parts = [seq.withColumns({"__chunk": ch, "__own": F.lit(True)})]
-    if before:
-        parts.append(seq.where(pos >= chunk - before).withColumns({"__chunk": ch + 1, "__own": F.lit(False)}))
-    if after:
-        parts.append(seq.where(pos < after).withColumns({"__chunk": ch - 1, "__own": F.lit(False)}))
-    rows = parts[0]
-    for p in parts[1:]:
-        rows = rows.unionByName(p)
+    seq, rows = in_chunks(df, key, order, before, after, chunk)
     w = Window.partitionBy("__chunk", *key).orderBy(SEQ)
     out = rows.select("*", *[fn(w).alias(name) for name, fn in exprs.items()]).where(F.col("__own")).drop("__own")
     if position:

@@ -214,6 +214,33 @@ def test_scd2_history_versions(spark):
     assert h[0].date_fin_validite == dt.date(2020, 2, 29)
 
 
+def test_scd2_history_of_a_hot_key_over_many_chunks(spark):
+    # a key (and the NULL key) whose snapshots run over many chunks, with chunks in which nothing changes, and NULL dates
+    rows = []
+    for k, n in ((7, 900), (None, 300), (3, 1), (9, 2), *((100 + i, 5) for i in range(60))):
+        for i in range(n):
+            v = "a" if k == 7 and 200 <= i < 500 else f"v{(i * 7 // 5) % 3}"
+            rows.append((k, i, v, dt.date(2020, 1, 1) + dt.timedelta(days=i) if i % 11 else None))
+    df = spark.createDataFrame(rows, "k int, i int, v string, d date")
+    changed = lambda r: (r[0], r[1]) not in same
+    by_key = {}
+    for r in sorted(rows, key=lambda r: r[1]):
+        by_key.setdefault(r[0], []).append(r)
+    same = {(k, b[1]) for k, rs in by_key.items() for a, b in zip(rs, rs[1:]) if a[2] == b[2]}
+    want = set()
+    for k, rs in by_key.items():
+        versions = [r for r in rs if changed(r)]
+        for n, r in enumerate(versions):
+            last = n + 1 == len(versions)
+            nxt = None if last else versions[n + 1][3]
+            want.add((k, r[1], r[2], n + 1, last, r[3], nxt and nxt - dt.timedelta(days=1)))
+    for chunk in (37, 100_000):
+        h = history.scd2_history(df, ["k"], ["v"], "i", "d", chunk=chunk)
+        got = h.select("k", "i", "v", history.VERSION, history.CURRENT, history.FROM, history.TO).collect()
+        assert len(got) == len(want) and {tuple(r) for r in got} == want, chunk
+    assert max(w[3] for w in want) > 300
+
+
 def test_scd2_merge_upsert_append(spark):
     cur = history.scd2_init(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), dt.date(2024, 1, 1))
     inc = spark.createDataFrame([(1, "a"), (2, "c"), (3, "d")], "k int, v string")
