@@ -7,10 +7,13 @@ hash. Inside a tail class words have their smoothed training frequency. The two
 maximum-entropy models over three hashed features of the history: the previous word (bigram), the word before it
 (skip), and both (trigram); each names a row of a weight table by its hash. History ends at the document's start.
 
-Training is one pass of mini-batch gradient updates (AdaGrad) in every task over its own documents, starting from the
-class frequencies; the tasks' weights are then averaged, each row by how often a task met it, in a shuffle by row. A
-task ships the rows it met; the averaged tables (a fixed size, whatever the corpus) are the model. Scores are
-computed in sparse numpy batches: of a token only the few weight rows its features name are read.
+Training takes every document once, in ``ROUNDS`` rounds. Documents are dealt to units by a hash of their id and text;
+a round's units each make mini-batch gradient updates (AdaGrad) over their own documents, starting from the merged
+model of the round before (the first from the class frequencies), and the units' weights are averaged, each row by how
+often a unit met it, in a tree of shuffles by row range. So the model does not depend on how the input is partitioned.
+The number of weight rows follows the square root of the training tokens up to ``MOST_ROWS`` (50 MB of weights, the most
+that is broadcast), and a unit's text follows the size of the tables, so what units ship stays in proportion to the corpus.
+Scores are computed in sparse numpy batches: of a token only the few weight rows its features name are read.
 
 Counts are exact and over all training documents. A block of documents asks for the counts of its distinct words
 (``blocks.py``); the vocabulary is never in one place. Only sums, the ``head`` words and the weight tables come
@@ -37,7 +40,11 @@ from carelake.session import pin
 END = mix(np.array([0x656E64], dtype=np.uint64), seed=81)[0]  # the end token's hash; no word has it but by chance
 COARSE = FINE = 32
 HEAD = 768          # words with a class of their own
-ROWS = 4096         # weight rows of each feature template
+LEAST_ROWS, MOST_ROWS = 1 << 12, 1 << 16  # weight rows of each feature template
+ROUNDS = 3          # merge-and-continue rounds of training
+RANGE = 1024        # weight rows that travel together
+TOKEN_BYTES = 6     # of text, about
+MERGED = 64         # units whose weights meet in one group
 TEMPLATES = 3
 BATCH = 8192        # tokens of one gradient update
 _TAIL = COARSE * FINE - HEAD
@@ -81,19 +88,25 @@ def features(tok: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.stack([mix(one, seed=83), mix(two, seed=84), mix(one * np.uint64(3) + mix(two, seed=85), seed=86)])
 
 
+def table_rows(train_tokens: int) -> int:
+    """Weight rows of a template: the power of two at the square root of the training tokens, within bounds."""
+    return int(min(MOST_ROWS, max(LEAST_ROWS, 2 ** math.ceil(math.log2(math.sqrt(train_tokens + 1))))))
+
+
 class Model:
-    """Weight tables: a shared start row and ``TEMPLATES * ROWS`` hashed rows for either factor."""
+    """Weight tables: a shared start row and ``TEMPLATES * n_rows`` hashed rows for either factor. ``square``: of
+    each row, the mean of its squared gradients so far."""
 
-    def __init__(self, bias1: np.ndarray, bias2: np.ndarray):
-        self.bias1, self.bias2 = bias1.astype(np.float32), bias2.astype(np.float32)
-        self.w = [np.zeros((TEMPLATES * ROWS, n), dtype=np.float32) for n in (COARSE, FINE)]
+    def __init__(self, bias1: np.ndarray, bias2: np.ndarray, n_rows: int = LEAST_ROWS):
+        self.bias1, self.bias2, self.n_rows = bias1.astype(np.float32), bias2.astype(np.float32), n_rows
+        self.w = [np.zeros((TEMPLATES * n_rows, n), dtype=np.float32) for n in (COARSE, FINE)]
+        self.square = [np.full(TEMPLATES * n_rows, 1e-1, dtype=np.float32) for _ in (COARSE, FINE)]
 
-    @staticmethod
-    def rows(hashes: np.ndarray, coarse: np.ndarray | None = None) -> np.ndarray:
+    def rows(self, hashes: np.ndarray, coarse: np.ndarray | None = None) -> np.ndarray:
         """(3, tokens) weight rows of feature hashes (with the coarse class for the second factor)."""
         if coarse is not None:
             hashes = mix(hashes + (coarse.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15), seed=87)
-        return (hashes % np.uint64(ROWS)).astype(np.int64) + np.arange(TEMPLATES)[:, None] * ROWS
+        return (hashes % np.uint64(self.n_rows)).astype(np.int64) + np.arange(TEMPLATES)[:, None] * self.n_rows
 
     def _logits(self, factor: int, rows: np.ndarray, coarse: np.ndarray | None) -> np.ndarray:
         """(tokens, classes); shifted, each token's largest to 0, where exponentials could leave single precision."""
@@ -134,10 +147,11 @@ class Model:
 class Trainer(Model):
     """AdaGrad on mini-batches; remembers how often each row was met."""
 
-    def __init__(self, bias1, bias2, rate: float):
-        super().__init__(bias1, bias2)
+    def __init__(self, start: Model, rate: float):
+        super().__init__(start.bias1, start.bias2, start.n_rows)
         self.rate = rate
-        self.square = [np.full(w.shape, 1e-1, dtype=np.float32) for w in self.w]
+        self.w = [w.copy() for w in start.w]
+        self.square = [np.repeat(q[:, None], w.shape[1], axis=1) for q, w in zip(start.square, start.w)]
         self.met = [np.zeros(len(w), dtype=np.int64) for w in self.w]
 
     def update(self, hashes: np.ndarray, cls: np.ndarray) -> None:
@@ -147,7 +161,7 @@ class Trainer(Model):
             grad[np.arange(len(target)), target] -= 1
             pairs = grad.view(np.complex64)  # two classes a number: half as many steps in the sums by row
             for t in range(TEMPLATES):
-                order = np.argsort((rows[t] - t * ROWS).astype(np.uint16), kind="stable")  # a radix sort
+                order = np.argsort((rows[t] - t * self.n_rows).astype(np.uint16), kind="stable")  # a radix sort
                 sorted_rows = rows[t][order]
                 first = np.flatnonzero(np.concatenate([[True], sorted_rows[1:] != sorted_rows[:-1]]))
                 g = np.add.reduceat(pairs.take(order, axis=0), first, axis=0).view(np.float32)
@@ -238,6 +252,7 @@ class Frame:
         np.subtract.at(tail_n, own, count)
         np.subtract.at(tail_v, own, 1)
         order = np.argsort(head)
+        self.n_rows = table_rows(self.total)
         self.head, self.head_class = head[order], np.arange(len(head))[order]
         self.tail_n, self.tail_v = tail_n, tail_v
         mass = np.concatenate([np.pad(count, (0, HEAD - len(count))), tail_n]) + 0.5
@@ -259,54 +274,79 @@ class Frame:
 
 # --- training --------------------------------------------------------------------------------------
 
-_WEIGHTS = "part int, rows binary, met binary, weights binary"
+_WEIGHTS = "part int, unit long, rows binary, met binary, weights binary, square binary"
 
 
-def _train(frame: Frame, rate: float, parts: int):
-    def train(batches):
-        trainer = Trainer(frame.bias1, frame.bias2, rate)
-        for batch in batches:
-            for _, part in in_slices(pa.Table.from_batches([batch])):
-                learn = ~held_out(part.column("doc_id").to_pylist())
-                if not learn.any():
-                    continue
-                tok, first = tokens(Words(part.column("text").filter(pa.array(learn)), fold=True))
-                hashes, cls = features(tok, first), frame.classes(tok)
-                for a in range(0, len(tok), BATCH):
-                    trainer.update(hashes[:, a:a + BATCH], cls[a:a + BATCH])
+def _train(shared, rate: float):
+    """The weights that one unit's documents make of the model, in row ranges."""
+    def train(key, table):
+        frame, model = shared.value
+        trainer = Trainer(model, rate)
+        table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+        for _, part in in_slices(table):
+            tok, first = tokens(Words(part.column("text"), fold=True))
+            hashes, cls = features(tok, first), frame.classes(tok)
+            for a in range(0, len(tok), BATCH):
+                trainer.update(hashes[:, a:a + BATCH], cls[a:a + BATCH])
+        out = []
         for factor in (0, 1):
             met = np.flatnonzero(trainer.met[factor])
-            for p in range(parts):
-                r = met[met % parts == p]
-                if len(r):
-                    yield pa.RecordBatch.from_pydict({
-                        "part": pa.array([factor * parts + p], pa.int32()), "rows": [r.astype(np.int32).tobytes()],
-                        "met": [trainer.met[factor][r].tobytes()], "weights": [trainer.w[factor][r].tobytes()]})
+            present, first = np.unique(met // RANGE, return_index=True)
+            ranges = TEMPLATES * model.n_rows // RANGE
+            for p, r in zip(present.tolist(), np.split(met, first[1:])):
+                out.append((factor * ranges + p, key[0].as_py(), r, trainer.met[factor][r], trainer.w[factor][r],
+                            trainer.square[factor][r].mean(axis=1)))
+        return _weight_rows(out)
     return train
 
 
-def _average(table: pa.Table) -> pa.Table:
-    """One part of the rows: the tasks' weights, averaged by how often each met the row."""
-    n = TEMPLATES * ROWS
-    width = FINE  # of either factor
-    total, met = np.zeros((n, width)), np.zeros(n)
-    for r, m, w in zip(table.column("rows"), table.column("met"), table.column("weights")):
+def _weight_rows(rows: list) -> pa.Table:
+    part, unit, *arrays = zip(*rows) if rows else [()] * 6
+    kinds = zip(("rows", "met", "weights", "square"), (np.int32, np.int64, np.float32, np.float32), arrays)
+    return pa.table({"part": pa.array(part, pa.int32()), "unit": pa.array(unit, pa.int64())}
+                    | {name: pa.array([x.astype(t).tobytes() for x in column], pa.binary()) for name, t, column in kinds})
+
+
+def _average(key, table):
+    """One row range of several units: weights averaged by how often each unit met the row."""
+    total, square, met, base = np.zeros((RANGE, FINE)), np.zeros(RANGE), np.zeros(RANGE), 0
+    table = table.sort_by("unit")  # the same sums whatever order the units came in
+    for r, m, w, q in zip(*[table.column(c) for c in ("rows", "met", "weights", "square")]):
         rows, times = np.frombuffer(r.as_py(), np.int32), np.frombuffer(m.as_py(), np.int64)
-        total[rows] += times[:, None] * np.frombuffer(w.as_py(), np.float32).reshape(len(rows), -1)
-        met[rows] += times
-    rows = np.flatnonzero(met)
-    mean = (total[rows] / met[rows, None]).astype(np.float32)
-    return pa.table({"part": pa.array([table.column("part")[0].as_py()], pa.int32()), "rows": [rows.astype(np.int32).tobytes()],
-                     "met": [met[rows].astype(np.int64).tobytes()], "weights": [mean.tobytes()]})
-
-
-def train_model(docs: DataFrame, frame: Frame, rate: float = 0.1, parts: int = 8) -> Model:
-    """The averaged model of (doc_id, text). Its tables have a fixed size, so they fit the driver whatever the corpus."""
-    sent = docs.mapInArrow(_train(frame, rate, parts), _WEIGHTS)
-    model = Model(frame.bias1, frame.bias2)
-    for row in sent.groupBy("part").applyInArrow(_average, _WEIGHTS).collect():
-        rows = np.frombuffer(row["rows"], np.int32)
-        model.w[row["part"] // parts][rows] = np.frombuffer(row["weights"], np.float32).reshape(len(rows), -1)
+        base = int(rows[0]) // RANGE * RANGE
+        at = rows - base
+        total[at] += times[:, None] * np.frombuffer(w.as_py(), np.float32).reshape(len(rows), -1)
+        square[at] += times * np.frombuffer(q.as_py(), np.float32)
+        met[at] += times
+    at = np.flatnonzero(met)
+    return _weight_rows([(key[0].as_py(), key[1].as_py(), at + base, met[at], total[at] / met[at, None], square[at] / met[at])])
+
+
+def train_model(docs: DataFrame, frame: Frame, rate: float = 0.1, rounds: int = ROUNDS) -> Model:
+    """The model of (doc_id, text) without the held-out documents. Its tables are bounded by ``MOST_ROWS``."""
+    spark = docs.sparkSession
+    model = Model(frame.bias1, frame.bias2, frame.n_rows)
+    table_bytes = sum(w.nbytes for w in model.w)
+    units = max(rounds, math.ceil(TOKEN_BYTES * frame.total / (2 * table_bytes)))
+    learnt = docs.where(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 10 != 0)
+    dealt = learnt.withColumn("unit", F.pmod(F.xxhash64("doc_id", "text"), F.lit(units)))
+    ranges = TEMPLATES * frame.n_rows // RANGE
+    for turn in range(rounds):
+        shared = spark.sparkContext.broadcast((frame, model))  # at most MOST_ROWS a template
+        mine = dealt.where(F.col("unit") % rounds == turn).withColumn("unit", F.floor(F.col("unit") / rounds).cast("long"))
+        sent, left = mine.groupBy("unit").applyInArrow(_train(shared, rate), _WEIGHTS), math.ceil(units / rounds)
+        while True:  # a tree: a group never takes more than MERGED units' rows of one range
+            sent = sent.withColumn("unit", F.floor(F.col("unit") / MERGED).cast("long")).groupBy("part", "unit").applyInArrow(_average, _WEIGHTS)
+            left = math.ceil(left / MERGED)
+            if left <= 1:
+                break
+        merged = Model(frame.bias1, frame.bias2, frame.n_rows)
+        merged.w, merged.square = [w.copy() for w in model.w], [q.copy() for q in model.square]
+        for row in sent.collect():
+            rows, factor = np.frombuffer(row["rows"], np.int32), row["part"] // ranges
+            merged.w[factor][rows] = np.frombuffer(row["weights"], np.float32).reshape(len(rows), -1)
+            merged.square[factor][rows] = np.frombuffer(row["square"], np.float32)
+        model = merged
     return model
 
 
@@ -376,7 +416,7 @@ def score_documents(docs: DataFrame, rate: float = 0.1, id_col: str = "doc_id",
         _vocabulary, "bucket int, keys binary, counts binary, tail_n array<long>, tail_v array<long>, top array<struct<c: long, h: long>>"), "vocabulary")
     frame = Frame(vocabulary)
     model = train_model(plain, frame, rate)
-    shared = spark.sparkContext.broadcast((frame, model))  # fixed size: the model's tables
+    shared = spark.sparkContext.broadcast((frame, model))  # at most MOST_ROWS a template
     texts = text_blocks(docs, id_col, text, blocks).groupBy("block")
     asked = texts.applyInArrow(_ask(bits), "bucket int, block int, keys binary")
     answered = (asked.groupBy("bucket").cogroup(vocabulary.select("bucket", "keys", "counts").groupBy("bucket"))

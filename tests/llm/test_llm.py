@@ -82,9 +82,21 @@ def test_op1_scores(docs, none, odd):
     assert lm.score_documents(odd).count() == len(ROWS) + 2
 
 
+def test_op1_scores_do_not_depend_on_the_partitions(odd, monkeypatch):
+    monkeypatch.setattr(lm, "TOKEN_BYTES", 6 << 13)  # more units than one a round
+    monkeypatch.setattr(lm, "MERGED", 3)             # and more than one level of merging
+    by_layout = [sorted(map(str, lm.score_documents(odd.repartition(n)).collect())) for n in (1, 8)]
+    assert by_layout[0] == by_layout[1] and len(by_layout[0]) == len(ROWS) + 2
+
+
+def test_op1_tables_follow_the_training_tokens():
+    sizes = [lm.table_rows(n) for n in (0, 10**6, 10**8, 10**9, 10**14)]
+    assert sizes == sorted(sizes) and sizes[0] == lm.LEAST_ROWS < sizes[2] < sizes[3] < sizes[4] == lm.MOST_ROWS
+
+
 def test_op1_factors_sum_to_one():
     r = np.random.default_rng(1)
-    t = lm.Trainer(np.log(np.full(lm.COARSE, 1 / lm.COARSE)), np.log(np.full((lm.COARSE, lm.FINE), 1 / lm.FINE)), 0.1)
+    t = lm.Trainer(lm.Model(np.log(np.full(lm.COARSE, 1 / lm.COARSE)), np.log(np.full((lm.COARSE, lm.FINE), 1 / lm.FINE))), 0.1)
     h, c = lm.mix(r.integers(0, 50, (3, 500)).astype(np.uint64)), r.integers(0, lm.COARSE * lm.FINE, 500)
     before = t.class_log_p(h, c).sum()
     t.update(h, c)
