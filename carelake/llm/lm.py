@@ -10,7 +10,7 @@ maximum-entropy models over three hashed features of the history: the previous w
 Training takes every document once, in ``ROUNDS`` rounds. Documents are dealt to units by a hash of their id and text;
 a round's units each make mini-batch gradient updates (AdaGrad) over their own documents, starting from the merged
 model of the round before (the first from the class frequencies), and the units' weights are averaged, each row by how
-often a unit met it, in a tree of shuffles by row range. So the model does not depend on how the input is partitioned.
+often a unit met it, in a tree of shuffles by row range (weights travel in half precision). So the model does not depend on how the input is partitioned.
 The number of weight rows follows the square root of the training tokens up to ``MOST_ROWS`` (50 MB of weights, the most
 that is broadcast), and a unit's text follows the size of the tables, so what units ship stays in proportion to the corpus.
 Scores are computed in sparse numpy batches: of a token only the few weight rows its features name are read.
@@ -302,7 +302,7 @@ def _train(shared, rate: float):
 
 def _weight_rows(rows: list) -> pa.Table:
     part, unit, *arrays = zip(*rows) if rows else [()] * 6
-    kinds = zip(("rows", "met", "weights", "square"), (np.int32, np.int64, np.float32, np.float32), arrays)
+    kinds = zip(("rows", "met", "weights", "square"), (np.int32, np.int64, np.float16, np.float32), arrays)
     return pa.table({"part": pa.array(part, pa.int32()), "unit": pa.array(unit, pa.int64())}
                     | {name: pa.array([x.astype(t).tobytes() for x in column], pa.binary()) for name, t, column in kinds})
 
@@ -315,7 +315,7 @@ def _average(key, table):
         rows, times = np.frombuffer(r.as_py(), np.int32), np.frombuffer(m.as_py(), np.int64)
         base = int(rows[0]) // RANGE * RANGE
         at = rows - base
-        total[at] += times[:, None] * np.frombuffer(w.as_py(), np.float32).reshape(len(rows), -1)
+        total[at] += times[:, None] * np.frombuffer(w.as_py(), np.float16).reshape(len(rows), -1)
         square[at] += times * np.frombuffer(q.as_py(), np.float32)
         met[at] += times
     at = np.flatnonzero(met)
@@ -344,7 +344,7 @@ def train_model(docs: DataFrame, frame: Frame, rate: float = 0.1, rounds: int =
         merged.w, merged.square = [w.copy() for w in model.w], [q.copy() for q in model.square]
         for row in sent.collect():
             rows, factor = np.frombuffer(row["rows"], np.int32), row["part"] // ranges
-            merged.w[factor][rows] = np.frombuffer(row["weights"], np.float32).reshape(len(rows), -1)
+            merged.w[factor][rows] = np.frombuffer(row["weights"], np.float16).reshape(len(rows), -1)
             merged.square[factor][rows] = np.frombuffer(row["square"], np.float32)
         model = merged
     return model
