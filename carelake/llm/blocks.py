@@ -16,6 +16,7 @@ key order; the answers meet the block again.
 
 from __future__ import annotations
 
+import ctypes
 import math
 
 import numpy as np
@@ -92,6 +93,15 @@ def in_slices(table: pa.Table, text: str = "text", size: int = 1 << 20):
         i = j
 
 
+def give_back() -> None:
+    """Hand memory that this worker has freed back to the system. A Python worker outlives its task and waits for the next one;
+    without this its peak stays in the executor's memory beside the workers of later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+    if trim is not None:
+        trim(0)
+
+
 # --- keys: sorted distinct 64-bit hashes; a bucket is the range of keys with the same leading bits ----
 
 def bucket_cuts(sorted_keys: np.ndarray, shift: int) -> tuple[np.ndarray, np.ndarray]:

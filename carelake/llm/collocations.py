@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from carelake.llm.blocks import bucket_cuts, in_slices, join_replies, plan_blocks, shuffle_partitions
+from carelake.llm.blocks import bucket_cuts, give_back, in_slices, join_replies, plan_blocks, shuffle_partitions
 from carelake.llm.hattrie import HatTrie, merge_runs, pack_run
 from carelake.llm.words import Words, mix
 from carelake.operators.keys import with_surrogate_key
@@ -100,6 +100,8 @@ def _count_words(most: int = 1 << 18):
                     seen.clear()
         if seen:
             yield rows()
+        seen.clear()
+        give_back()
     return count
 
 
@@ -168,7 +170,7 @@ def phrases_of(seq: np.ndarray, longest: int = 4) -> tuple[np.ndarray, np.ndarra
     return np.concatenate(his), np.concatenate(los)
 
 
-def _count_phrases(parts: int, hot: int, longest: int, batch_ids: int = 1 << 18):
+def _count_phrases(parts: int, hot: int, longest: int, batch_ids: int = 1 << 16):
     def count(batches):
         trie = HatTrie(parts, hot)
 
@@ -187,7 +189,9 @@ def _count_phrases(parts: int, hot: int, longest: int, batch_ids: int = 1 << 18)
                     held, size = [], 0
         if held:
             yield from rows(trie.add(*phrases_of(np.concatenate(held), longest)))
+        held = []
         yield from rows(trie.close())
+        give_back()
     return count
 
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelake.llm.blocks import in_slices
+from carelake.llm.blocks import give_back, in_slices
 from carelake.llm.numbering import running_sum
 from carelake.llm.tokens import encode_rows
 from carelake.session import pin
@@ -37,7 +37,7 @@ def piece_lengths(n: int, longest: int) -> list[int]:
 def _pieces(path: str, end_id: int, longest: int, with_ids: bool):
     def pieces(batches):
         for batch in batches:
-            for _, part in in_slices(pa.Table.from_batches([batch]), size=4 << 20):
+            for _, part in in_slices(pa.Table.from_batches([batch])):
                 ids, bounds = encode_rows(part.column("text"), path, end_id)
                 row, start, length, crc, data, last = [], [], [], [], [], []
                 for i, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
@@ -64,6 +64,7 @@ def _pieces(path: str, end_id: int, longest: int, with_ids: bool):
                 if with_ids:
                     cols["ids"] = pa.array(data, pa.list_(pa.uint32())).cast(pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_pydict(cols)
+            give_back()
     return pieces
 
 

@@ -21,6 +21,7 @@ _LETTER[[*range(65, 91), *range(97, 123)]] = True
 _MARK = np.zeros(256, dtype=bool)
 _MARK[list(b".,;:!?")] = True
 MAX_CACHED = 1_500_000  # chunks kept by one worker
+ENCODED = 1 << 12  # chunks the tokenizer encodes at a time: its results take far more room than their ids
 
 
 def chunk_spans(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -54,10 +55,12 @@ class _Cache:
 
     def encode(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         fast = getattr(self.encoder, "encode_batch_fast", self.encoder.encode_batch)
-        got = [e.ids for e in fast(chunks, add_special_tokens=False)]
-        size = np.array([len(x) for x in got], dtype=np.int64)
-        flat = np.fromiter((i for x in got for i in x), dtype=np.uint32, count=int(size.sum()))
-        return flat, size
+        flats, sizes = [np.zeros(0, dtype=np.uint32)], [np.zeros(0, dtype=np.int64)]
+        for i in range(0, len(chunks), ENCODED):
+            got = [e.ids for e in fast(chunks[i:i + ENCODED], add_special_tokens=False)]
+            sizes.append(np.array([len(x) for x in got], dtype=np.int64))
+            flats.append(np.fromiter((i for x in got for i in x), dtype=np.uint32, count=int(sizes[-1].sum())))
+        return np.concatenate(flats), np.concatenate(sizes)
 
     def add(self, keys, chunks):
         if len(self.keys) + len(keys) > MAX_CACHED:
