@@ -42,6 +42,7 @@ from carelake.functions import rules
 from carelake.operators.history import scd2_init
 from carelake.operators.keys import pseudonymize, with_surrogate_key
 from carelake.operators.match import containment_lookup
+from carelake.session import pin
 
 AS_OF = dt.datetime(2025, 1, 1)
 CAL_START = dt.date(1995, 1, 1)
@@ -81,6 +82,12 @@ class BoundWarehouse:
             self._memo[key] = build()
         return self._memo[key]
 
+    @staticmethod
+    def _dim(base: DataFrame, sk: str, keys: list[str]) -> DataFrame:
+        """A numbered dimension, stored: a plan over a stored table has its true size, so that Spark broadcasts a small one without
+        shuffling the fact first; the numbering's own joins, planned again in each use, would hide it."""
+        return pin(with_surrogate_key(base, sk, keys), sk)
+
     # --- dimensions -------------------------------------------------------------------
 
     def dim_temps(self) -> DataFrame:
@@ -99,7 +106,7 @@ class BoundWarehouse:
                 birth_of("c_custkey").cast("timestamp").alias("date_naissance"),
                 age.alias("age"), rules.age_band(age).alias("tranche_age"),
                 F.col("c_nationkey").alias("code_lieu"))
-            return with_surrogate_key(base, "sk_patient", ["id_patient"])
+            return self._dim(base, "sk_patient", ["id_patient"])
         return self._m("dim_patient", build)
 
     def _supplier_geo(self) -> DataFrame:
@@ -120,7 +127,7 @@ class BoundWarehouse:
                 F.col("r_name").alias("region"),
                 rules.facility_type(F.col("s_name")).alias("type_etablissement"),
                 rules.facility_sector(F.col("s_name")).alias("categorie"))
-            return with_surrogate_key(base, "sk_etablissement", ["id_etablissement"])
+            return self._dim(base, "sk_etablissement", ["id_etablissement"])
         return self._m("dim_etablissement", build)
 
     def dim_diagnostic(self) -> DataFrame:
@@ -133,7 +140,7 @@ class BoundWarehouse:
                 F.col("p_name").alias("libelle_diagnostic"),
                 catg.alias("categorie_cim10"),
                 rules.icd10_chapter(catg).alias("chapitre_cim10"))
-            return with_surrogate_key(base, "sk_diagnostic", ["id_diagnostic"])
+            return self._dim(base, "sk_diagnostic", ["id_diagnostic"])
         return self._m("dim_diagnostic", build)
 
     def dim_specialite(self) -> DataFrame:
@@ -143,7 +150,7 @@ class BoundWarehouse:
                             F.col("r_name").alias("code_specialite"),
                             F.lower("r_name").alias("fonction"), F.col("r_name").alias("specialite"),
                             rules.specialty_category(F.lower("r_name"), F.col("r_name")).alias("categorie"))
-            return with_surrogate_key(base, "sk_specialite", ["id_specialite"])
+            return self._dim(base, "sk_specialite", ["id_specialite"])
         return self._m("dim_specialite", build)
 
     def dim_professionnel(self) -> DataFrame:
@@ -159,14 +166,14 @@ class BoundWarehouse:
                             pseudonymize("s_name").alias("nom_anonyme"),
                             pseudonymize("n_name").alias("prenom_anonyme"),
                             F.col("n_name").alias("profession"), "fk_specialite", "fk_organisation"))
-            keyed = with_surrogate_key(base, "sk_professionnel", ["identifiant"])
+            keyed = self._dim(base, "sk_professionnel", ["identifiant"])
             return scd2_init(keyed, self.as_of.date())
         return self._m("dim_professionnel", build)
 
     def dim_mutuelle(self) -> DataFrame:
         def build():
             base = self.t("orders").select(F.col("o_orderpriority").alias("id_mut")).distinct()
-            return with_surrogate_key(base, "sk_mutuelle", ["id_mut"])
+            return self._dim(base, "sk_mutuelle", ["id_mut"])
         return self._m("dim_mutuelle", build)
 
     def dim_localisation(self) -> DataFrame:
@@ -198,8 +205,8 @@ class BoundWarehouse:
             t = F.broadcast(self.dim_temps().select(F.col("date_complete").alias("__date"), "sk_temps"))
             e = self.dim_etablissement().select(F.col("id_etablissement").alias("__sid"), "sk_etablissement")
             d = self.dim_diagnostic().select(F.col("id_diagnostic").alias("__pk"), "sk_diagnostic")
-            j = (li.join(o, li.l_orderkey == F.col("__ok"), "inner")
-                 .join(p, F.col("__cust") == F.col("__pid"), "inner")
+            # the patients meet the orders, of which there are fewer than lines
+            j = (li.join(o.join(p, F.col("__cust") == F.col("__pid"), "inner"), li.l_orderkey == F.col("__ok"), "inner")
                  .join(t, F.col("l_shipdate").cast("date") == F.col("__date"), "inner")
                  .join(e, li.l_suppkey == F.col("__sid"), "left")
                  .join(d, li.l_partkey == F.col("__pk"), "left"))
