@@ -175,20 +175,55 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, ps: Mappin
     return groups.join(found, back, "left").select(*[groups[a].alias(k) for a, k in zip(g, keys)], *ps)
 
 
-def grain_totals(base: DataFrame, grains: Mapping[str, Sequence[str]], aggs: Sequence[Column]) -> dict[str, DataFrame]:
+def grain_totals(base: DataFrame, grains: Mapping[str, Sequence[str]], aggs: Sequence[Column],
+                 distinct: tuple[str, str] | None = None) -> dict[str, DataFrame]:
     """The totals of several grains from one aggregate (GROUPING SETS), stored once: one shuffle of the narrow rows (keys
-    and measures), distinct counts included, instead of one set of shuffles per grain."""
+    and measures), distinct counts included, instead of one set of shuffles per grain.
+
+    ``distinct`` = (column, name) counts the column's distinct values: the rows are dealt once by the keys that all grains share
+    and the column, where each grain marks the first row of a value in its group. Those marks add up like any sum, so no row
+    travels once per grain, as it does for a ``count_distinct`` among ``aggs``."""
     cols = list(dict.fromkeys(k for keys in grains.values() for k in keys))
+    marks = [f"__first{i}" for i in range(len(grains))] if distinct else []
+    if distinct:
+        shared = [k for k in cols if all(k in keys for keys in grains.values())]
+        base = base.repartition(*shared, distinct[0])
+        base = base.withColumns({m: _first(keys, distinct[0]) for m, keys in zip(marks, grains.values())})
     sets = base.groupingSets([[F.col(k) for k in keys] for keys in grains.values()], *cols).agg(
-        F.grouping_id().alias("__gid"), *aggs)
+        F.grouping_id().alias("__gid"), *aggs, *[F.sum(m).alias(m) for m in marks])
+    gids = [sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in keys) for keys in grains.values()]
+    if distinct:
+        own = F.coalesce(*[F.when(F.col("__gid") == gid, F.col(m)) for gid, m in zip(gids, marks)])
+        sets = sets.withColumn(distinct[1], own).drop(*marks)
     stored = pin(sets, "grains")
     out = {}
-    for name, keys in grains.items():
-        gid = sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in keys)
+    for (name, keys), gid in zip(grains.items(), gids):
         out[name] = stored.where(F.col("__gid") == gid).drop("__gid", *[c for c in cols if c not in keys])
     return out
 
 
+def _first(keys: Sequence[str], who: str) -> Column:
+    """1 at one row of each value of ``who`` in its group, else 0; NULL is no value."""
+    at = F.row_number().over(Window.partitionBy(*keys, who).orderBy(who))
+    return F.when(F.col(who).isNotNull() & (at == 1), 1).otherwise(0)
+
+
+def totals_beside(df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column], distinct: tuple[str, str], fill=0) -> DataFrame:
+    """A11 / J11 for a grain with nearly as many groups as rows: a window puts the group's totals beside each row, so the
+    totals are not another table of that size to shuffle, store and join. Rows already dealt by some of ``keys`` stay where they are.
+    ``distinct`` = (column, name) counts the column's distinct values. Rows with a NULL key get ``fill``, as in ``attach_totals``."""
+    who, name = distinct
+    group = Window.partitionBy(*keys)
+    sorted_group = group.orderBy(F.col(who).asc_nulls_first())
+    new = F.col(who).isNotNull() & ~F.lag(who).over(sorted_group).eqNullSafe(F.col(who))
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    marked = df.withColumn("__new", F.when(new, 1).otherwise(0))
+    return marked.withColumns({m: F.coalesce(F.when(known, a.over(group)), F.lit(fill))
+                               for m, a in {**aggs, name: F.sum("__new")}.items()}).drop("__new")
+
+
 def occupancy(days: Column, n: Column, month_days: float = 30.44) -> Column:
     """Days / (stays x 30.44) x 100, 0 when there are no stays."""
     return F.when(n > 0, days.cast("double") / (n * F.lit(month_days)) * 100).otherwise(F.lit(0.0))

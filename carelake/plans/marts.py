@@ -6,9 +6,10 @@ does not plan, so each grain is a ``groupBy`` whose result (one row per group)
 joins back on the group keys. Grains are computed from one base written once
 as Parquet to the checkpoint folder (each grain reads only its columns).
 
-Grains that nest (a coarser grain whose keys are determined by a finer one) are
-attached to the finer aggregate first, so the wide detail rows are shuffled once
-per independent grain rather than once per grain. This relies on the fact keys
+The base holds keys, measures and the grains' own attributes; names and labels of the
+dimensions join the rows last, after all grains, so that they travel in no grain's shuffle.
+The finest grain, (day, establishment, diagnosis), has nearly as many groups as rows: its totals are
+a window over rows already dealt by (day, establishment). All this relies on the fact keys
 being non-NULL, which holds by construction: required keys come from inner
 joins and optional keys are coalesced to the unknown member -1.
 """
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carelake.operators.joins import attach_totals
-from carelake.operators.measures import avg_if, grain_totals, sum_if, weighted_mean
+from carelake.operators.measures import avg_if, grain_totals, sum_if, totals_beside, weighted_mean
 from carelake.session import pin
 
 
@@ -128,42 +129,41 @@ def dm_consultations_agregees(fc, d_temps, d_etab, d_diag, d_pro, d_spec, d_pati
         F.col("prenom_anonyme").alias("prenom_professionnel"), F.col("fk_specialite").alias("__fk_spec"))
     s = d_spec.select(F.col("sk_specialite").alias("__sk_spec"), "specialite", "fonction")
     pa = d_patient.select("sk_patient", "sexe", "tranche_age", "age")
-    base = (fc.join(t, "sk_temps", "left").join(d, "sk_diagnostic", "left")
-            .join(pr, "sk_professionnel", "inner")
-            .join(s, F.col("__fk_spec") == F.col("__sk_spec"), "left")
+    base = (fc.join(pr, "sk_professionnel", "left_semi")
             .join(pa, "sk_patient", "left")
-            .join(e, "sk_etablissement", "left")
-            .select("sk_temps", "date_complete", "annee", "trimestre", "mois", "sk_etablissement",
-                    "nom_etablissement", "region_etablissement", "departement_etablissement",
-                    "sk_diagnostic", "code_diagnostic", "libelle_diagnostic", "chapitre_cim10",
-                    "categorie_cim10", "sk_professionnel", "nom_professionnel", "prenom_professionnel",
-                    "specialite", "fonction", "sexe", "tranche_age", "age", "sk_patient",
+            .select("sk_temps", "sk_etablissement", "sk_diagnostic", "sk_professionnel", "sexe", "tranche_age", "age", "sk_patient",
                     "nombre_consultations", "duree_consultation"))
     base = _pin(base)
     n, dur = F.col("nombre_consultations"), F.col("duree_consultation")
+
+    def names(suffix):
+        return [f"nb_consultations_{suffix}", f"duree_totale_{suffix}", f"nb_patients_uniques_{suffix}"]
+
     prof_keys = ["sk_temps", "sexe", "tranche_age", "age"]
     grains = grain_totals(base, {
-        "etablissement": ["sk_temps", "sk_etablissement"], "diagnostic": ["sk_temps", "sk_etablissement", "sk_diagnostic"],
-        "professionnel": ["sk_temps", "sk_professionnel"], "profil": prof_keys},
-        [F.sum(n).alias("nb_consultations"), F.sum(dur).alias("duree_totale"),
-         F.count_distinct("sk_patient").alias("nb_patients_uniques")])
-    g_etab, g_diag, g_pro, g_prof = (
+        "etablissement": ["sk_temps", "sk_etablissement"], "professionnel": ["sk_temps", "sk_professionnel"], "profil": prof_keys},
+        [F.sum(n).alias("nb_consultations"), F.sum(dur).alias("duree_totale")], ("sk_patient", "nb_patients_uniques"))
+    g_etab, g_pro, g_prof = (
         grains[g].withColumnsRenamed({c: f"{c}_{g}" for c in ("nb_consultations", "duree_totale", "nb_patients_uniques")})
-        for g in ("etablissement", "diagnostic", "professionnel", "profil"))
+        for g in ("etablissement", "professionnel", "profil"))
     g_prof = g_prof.where((F.col("sexe") != "I") & (F.col("tranche_age") != "Non renseigne"))
-    etab_m = ["nb_consultations_etablissement", "duree_totale_etablissement", "nb_patients_uniques_etablissement"]
-    diag_m = ["nb_consultations_diagnostic", "duree_totale_diagnostic", "nb_patients_uniques_diagnostic"]
-    # the (day, establishment) grain nests in (day, establishment, diagnosis): attach it
-    # to that aggregate, so the wide detail rows are shuffled once for both grains
-    g_diag = attach_totals(g_diag, g_etab, ["sk_temps", "sk_etablissement"], etab_m)
-    out = attach_totals(base, g_diag, ["sk_temps", "sk_etablissement", "sk_diagnostic"], etab_m + diag_m)
-    out = attach_totals(out, g_pro, ["sk_temps", "sk_professionnel"],
-                  ["nb_consultations_professionnel", "duree_totale_professionnel",
-                   "nb_patients_uniques_professionnel"])
-    out = attach_totals(out, g_prof, prof_keys,
-                  ["nb_consultations_profil", "duree_totale_profil", "nb_patients_uniques_profil"])
-    return (out.drop("sk_patient", "nombre_consultations", "duree_consultation")
-            .withColumn("date_chargement", _ts(as_of)))
+    out = attach_totals(base, g_prof, prof_keys, names("profil"))
+    out = attach_totals(out, g_pro, ["sk_temps", "sk_professionnel"], names("professionnel"))
+    out = attach_totals(out, g_etab, ["sk_temps", "sk_etablissement"], names("etablissement"))
+    out = totals_beside(out, ["sk_temps", "sk_etablissement", "sk_diagnostic"],
+                        {"nb_consultations_diagnostic": F.sum(n), "duree_totale_diagnostic": F.sum(dur)},
+                        ("sk_patient", "nb_patients_uniques_diagnostic"))
+    out = out.drop("sk_patient", "nombre_consultations", "duree_consultation")
+    out = (out.join(d, "sk_diagnostic", "left").join(pr, "sk_professionnel", "inner")
+           .join(s, F.col("__fk_spec") == F.col("__sk_spec"), "left")
+           .join(e, "sk_etablissement", "left").join(t, "sk_temps", "left"))
+    return out.select("sk_temps", "date_complete", "annee", "trimestre", "mois", "sk_etablissement",
+                      "nom_etablissement", "region_etablissement", "departement_etablissement",
+                      "sk_diagnostic", "code_diagnostic", "libelle_diagnostic", "chapitre_cim10",
+                      "categorie_cim10", "sk_professionnel", "nom_professionnel", "prenom_professionnel",
+                      "specialite", "fonction", "sexe", "tranche_age", "age",
+                      *names("etablissement"), *names("diagnostic"), *names("professionnel"), *names("profil"),
+                      _ts(as_of).alias("date_chargement"))
 
 
 def dm_hospitalisations_agregees(fh, d_temps, d_etab, d_diag, d_patient, as_of) -> DataFrame:
@@ -177,46 +177,49 @@ def dm_hospitalisations_agregees(fh, d_temps, d_etab, d_diag, d_patient, as_of)
     d = d_diag.select("sk_diagnostic", "code_diagnostic", "libelle_diagnostic", "chapitre_cim10",
                       "categorie_cim10")
     pa = d_patient.select("sk_patient", "sexe", "tranche_age", "age")
-    base = (fh.join(t, "sk_temps", "left").join(e, "sk_etablissement", "left")
-            .join(d, "sk_diagnostic", "left").join(pa, "sk_patient", "left")
-            .select("sk_temps", "date_complete", "annee", "trimestre", "mois", "sk_etablissement",
-                    "nom_etablissement", "region_etablissement", "departement_etablissement",
-                    "sk_diagnostic", "code_diagnostic", "libelle_diagnostic", "chapitre_cim10",
-                    "categorie_cim10", "sexe", "tranche_age", "age", "sk_patient",
+    base = (fh.join(e.select("sk_etablissement", "region_etablissement"), "sk_etablissement", "left").join(pa, "sk_patient", "left")
+            .select("sk_temps", "sk_etablissement", "region_etablissement", "sk_diagnostic", "sexe", "tranche_age", "age", "sk_patient",
                     "nombre_hospitalisations", "jour_hospitalisation"))
     base = _pin(base)
     n, days = F.col("nombre_hospitalisations"), F.col("jour_hospitalisation")
 
-    def names(suffix):
-        return [f"nb_hospitalisations_{suffix}", f"duree_totale_{suffix}", f"nb_patients_uniques_{suffix}",
-                f"duree_moyenne_{suffix}"]
+    # a mean travels as its count: the doubles of four means would be a third of each shuffled row
+    def parts(suffix):
+        return [f"nb_hospitalisations_{suffix}", f"duree_totale_{suffix}", f"nb_patients_uniques_{suffix}", f"__nb_duree_{suffix}"]
+
+    def measures(suffix):
+        *sums, count = parts(suffix)
+        mean = F.col(f"duree_totale_{suffix}").cast("double") / F.nullif(F.col(count), F.lit(0))
+        return [*sums, F.coalesce(mean, F.lit(0)).alias(f"duree_moyenne_{suffix}")]
 
-    # the region is an attribute of the establishment, so the grains nest:
-    # (day, region) <- (day, establishment) <- (day, establishment, diagnosis).
-    # Coarser totals are attached to the finer aggregates (one row per group), and the wide
-    # detail rows are joined once for all three; the totals of all grains come from one aggregate.
+    # totals of (day, region), at most days of the calendar x regions, are broadcast once the rows have their region again
     prof_keys = ["sk_temps", "sexe", "tranche_age", "age"]
     grains = grain_totals(base, {
-        "etablissement": ["sk_temps", "sk_etablissement", "region_etablissement"],
-        "diagnostic": ["sk_temps", "sk_etablissement", "sk_diagnostic"], "profil": prof_keys,
+        "etablissement": ["sk_temps", "sk_etablissement", "region_etablissement"], "profil": prof_keys,
         "region": ["sk_temps", "region_etablissement"]},
-        [F.sum(n).alias("nb_hospitalisations"), F.sum(days).alias("duree_totale"),
-         F.count_distinct("sk_patient").alias("nb_patients_uniques"), F.avg(days).alias("duree_moyenne")])
-    g_etab, g_diag, g_prof, g_reg = (
+        [F.sum(n).alias("nb_hospitalisations"), F.sum(days).alias("duree_totale"), F.count(days).alias("__nb_duree")],
+        ("sk_patient", "nb_patients_uniques"))
+    g_etab, g_prof, g_reg = (
         grains[g].withColumnsRenamed({c: f"{c}_{g}" for c in ("nb_hospitalisations", "duree_totale", "nb_patients_uniques",
-                                                              "duree_moyenne")})
-        for g in ("etablissement", "diagnostic", "profil", "region"))
+                                                              "__nb_duree")})
+        for g in ("etablissement", "profil", "region"))
     g_prof = g_prof.where((F.col("sexe") != "I") & (F.col("tranche_age") != "Non renseigne"))
     g_reg = g_reg.where(F.col("region_etablissement").isNotNull() & (F.col("region_etablissement") != "Non renseigne"))
-    g_etab = attach_totals(g_etab, g_reg, ["sk_temps", "region_etablissement"], names("region"))
-    g_diag = attach_totals(g_diag, g_etab.drop("region_etablissement"), ["sk_temps", "sk_etablissement"],
-                           names("etablissement") + names("region"))
-    out = attach_totals(base, g_diag, ["sk_temps", "sk_etablissement", "sk_diagnostic"],
-                        names("etablissement") + names("diagnostic") + names("region"))
-    out = attach_totals(out, g_prof, prof_keys, names("profil"))
-    cols = [c for c in out.columns if c not in names("region")] + names("region")
-    return (out.select(*cols).drop("sk_patient", "nombre_hospitalisations", "jour_hospitalisation")
-            .withColumn("date_chargement", _ts(as_of)))
+    out = attach_totals(base.drop("region_etablissement"), g_prof, prof_keys, parts("profil"))
+    out = attach_totals(out, g_etab.drop("region_etablissement"), ["sk_temps", "sk_etablissement"],
+                        parts("etablissement"))
+    out = totals_beside(out, ["sk_temps", "sk_etablissement", "sk_diagnostic"],
+                        {"nb_hospitalisations_diagnostic": F.sum(n), "duree_totale_diagnostic": F.sum(days),
+                         "__nb_duree_diagnostic": F.count(days)}, ("sk_patient", "nb_patients_uniques_diagnostic"))
+    out = out.drop("sk_patient", "nombre_hospitalisations", "jour_hospitalisation")
+    out = out.join(d, "sk_diagnostic", "left").join(e, "sk_etablissement", "left").join(t, "sk_temps", "left")
+    out = attach_totals(out, F.broadcast(g_reg), ["sk_temps", "region_etablissement"], parts("region"))
+    return out.select("sk_temps", "date_complete", "annee", "trimestre", "mois", "sk_etablissement",
+                      "nom_etablissement", "region_etablissement", "departement_etablissement",
+                      "sk_diagnostic", "code_diagnostic", "libelle_diagnostic", "chapitre_cim10",
+                      "categorie_cim10", "sexe", "tranche_age", "age",
+                      *measures("etablissement"), *measures("diagnostic"), *measures("profil"), *measures("region"),
+                      _ts(as_of).alias("date_chargement"))
 
 
 def dm_analyse_territoriale(fd, fs, d_temps, d_loc, d_patient, d_etab, as_of) -> DataFrame:
