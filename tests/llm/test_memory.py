@@ -39,3 +39,54 @@ def test_workers_hand_freed_memory_back(monkeypatch):
     ids = pa.RecordBatch.from_pydict({"ids": pa.array([np.array([1, 2, 1], np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes()], pa.binary())})
     assert list(collocations._count_phrases(2, 0, 4)(iter([ids]))) and len(done) == 3
     blocks.give_back()
+
+
+def _counting(monkeypatch, path):
+    """A fresh cache whose tokenizer notes the texts it is given."""
+    monkeypatch.setattr(tokens, "_CACHES", {})
+    cache, asked = tokens._cache(path), []
+
+    class Counting:
+        def encode(self, one, **kw):
+            asked.append(one)
+            return real.encode(one, **kw)
+
+        def encode_batch_fast(self, some, **kw):
+            asked.extend(some)
+            return real.encode_batch(some, **kw)
+
+        encode_batch = encode_batch_fast
+
+    real, cache.encoder = cache.encoder, Counting()
+    return cache, real, asked
+
+
+def test_new_chunks_are_encoded_side_by_side(monkeypatch):
+    odd = ["a" + " word" * 3 + "\n\n x. ´é é ́b", " <|endoftext|> y<|endoftext|", "|> I'M it's '　 z  ", None, "", " ﬁ İ ＡＢ 12,5 ß\t\tq", "̸= = ̸"]
+    texts = odd + [" ".join(f"w{i}x{i * 7 % 1000}" for i in range(900))] + odd[::-1]
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        path = public_tokenizers.path(name)
+        _, real, asked = _counting(monkeypatch, path)
+        ids, bounds = tokens.encode_rows(pa.array(texts), path, 1)
+        whole = [real.encode(t or "", add_special_tokens=False).ids + [1] for t in texts]
+        assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == whole
+        assert len(asked) < 60, len(asked)  # more than 900 distinct chunks
+
+
+def test_offsets_out_of_order_tell_nothing(monkeypatch):
+    cache, real, asked = _counting(monkeypatch, PATH)
+    chunks, whole = [" one", " two", " threefold"], [real.encode(c).ids for c in (" one", " two", " threefold")]
+    odd = type("Odd", (), {"ids": [1, 2, 3], "offsets": [(5, 6), (0, 1), (9, 10)]})
+    monkeypatch.setattr(type(cache.encoder), "encode", lambda self, one, **kw: odd)
+    flat, size = cache.encode_joined(chunks)
+    assert flat.tolist() == sum(whole, []) and size.tolist() == [len(x) for x in whole] and asked == chunks
+
+
+def test_a_full_cache_starts_again(monkeypatch):
+    monkeypatch.setattr(tokens, "_CACHES", {})
+    monkeypatch.setattr(tokens, "MAX_CACHED", 50)
+    text = [" ".join(f"n{i + k}" for i in range(40)) for k in range(0, 90, 30)]
+    real = tokens._cache(PATH).encoder
+    for t in text:
+        ids, _ = tokens.encode_rows(pa.array([t]), PATH)
+        assert ids.tolist() == real.encode(t, add_special_tokens=False).ids
