@@ -100,10 +100,12 @@ def parse_date_any(c: ColumnOrName,
     """First successful parse wins: month-first, then day-first, then ISO.
 
     Returns a TIMESTAMP like the reference (T2). Input is trimmed first; 2-digit
-    years stay NULL (documented deviation, T11).
+    years stay NULL (documented deviation, T11). A text without the format's slash
+    is not parsed: each failed parse costs an exception.
     """
     s = F.btrim(_c(c).cast("string"), F.lit(TRIM_CHARS))
-    parsed = [F.try_to_timestamp(s, F.lit(fmt)) for fmt in formats]
+    parsed = [F.when(s.contains("/"), F.try_to_timestamp(s, F.lit(fmt))) if "/" in fmt and "'" not in fmt and "[" not in fmt
+              else F.try_to_timestamp(s, F.lit(fmt)) for fmt in formats]
     parsed.append(iso_date(s).cast("timestamp"))
     return F.coalesce(*parsed)
 

@@ -129,9 +129,11 @@ def fait_consultation(cons: DataFrame, d_patient: DataFrame, d_pro: DataFrame, d
     d = d_diag.select(F.col("code_diagnostic").alias("__diag"), "sk_diagnostic")
     t = F.broadcast(d_temps.select(F.col("date_complete").alias("__date"), "sk_temps"))
     m = d_mut.select(F.col("id_mut").alias("__mut"), "sk_mutuelle")
-    j = (cons.join(p, cons.id_patient == p.__pid, "inner")
+    # the diagnosis first: M23 leaves its rows dealt and sorted by that code, so a diagnosis dimension too large to
+    # broadcast meets them where they are
+    j = (cons.join(d, cons.code_diagnostic == d.__diag, "inner")
          .join(pr, cons.id_professionnel == pr.__prid, "inner")
-         .join(d, cons.code_diagnostic == d.__diag, "inner")
+         .join(p, cons.id_patient == p.__pid, "inner")
          .join(t, cons.date_consultation == t.__date, "inner")
          .join(m, cons.id_mut == m.__mut, "left"))
     base = j.select(
